@@ -585,8 +585,8 @@ def _model(name: str, fit: Callable[[DataFrame], object]) -> None:
 
 
 _model("model_logreg", lambda train: models.logistic(train.count()).fit(train))
-_model("model_logreg_l1", lambda train: models.fit_penalised(train, l1=True))
-_model("model_logreg_l2", lambda train: models.fit_penalised(train, l1=False))
+_model("model_logreg_l1", lambda train: models.fit_penalised(train, l1=True, folds=5, max_iter=25))
+_model("model_logreg_l2", lambda train: models.fit_penalised(train, l1=False, folds=5, max_iter=25))
 _model("model_linear_svm", models.fit_linear_svm)
 _model("model_decision_tree", lambda train: models.decision_tree().fit(train))
 _model("model_random_forest", lambda train: models.random_forest(trees=100).fit(train))
@@ -612,26 +612,26 @@ def cv_mlp(spark, d):
 @query
 def sweep_mlp_iters(spark, d):
     train, _ = turn_training(spark, d)
-    return models.search_net(train, N_FEATURES, models.NETS["mlp_2"], {"maxIter": [100, 200], "blockSize": [64, 128]})
+    return models.search_net(train, N_FEATURES, models.NETS["mlp_2"], {"maxIter": [100, 200], "blockSize": [64, 128]}, folds=3)
 
 
 @query
 def sweep_mlp_solver(spark, d):
     train, _ = turn_training(spark, d)
-    return models.search_net(train, N_FEATURES, models.NETS["mlp_2"], {"solver": ["l-bfgs", "gd"], "maxIter": [50]})
+    return models.search_net(train, N_FEATURES, models.NETS["mlp_2"], {"solver": ["l-bfgs", "gd"], "maxIter": [50]}, folds=3)
 
 
 @query
 def grid_mlp(spark, d):
     train, _ = turn_training(spark, d)
-    return models.search_net(train, N_FEATURES, models.NETS["mlp_2"], {"maxIter": [20, 50], "stepSize": [0.03, 0.1]})
+    return models.search_net(train, N_FEATURES, models.NETS["mlp_2"], {"maxIter": [20, 50], "stepSize": [0.03, 0.1]}, folds=5)
 
 
 @query
 def grid_logreg(spark, d):
     train, _ = turn_training(spark, d)
     n = train.count()
-    estimator = models.logistic(n)
+    estimator = models.logistic(n, max_iter=50)
     grid = models.penalised_grid(estimator, n, [0.5, 1.0, 2.0], [True, False])
     fitted = models.cross_validated(estimator, grid, models.folded(train, 5), 5)
     return models.cv_summary(train, fitted, grid)

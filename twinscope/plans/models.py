@@ -29,6 +29,8 @@ from twinscope.sources.scratch import ensure_checkpoint_dir
 
 # The inverse penalties searched by the penalised regressions.
 C_GRID = [10.0**e for e in range(-2, 7)]
+# Fixed value: where the linear fits stop.
+TOLERANCE = 1e-4
 
 
 def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:
@@ -41,13 +43,14 @@ def training_tables(
     """Split by digest, scale with the training statistics, repair, assemble.
 
     The numeric table is checkpointed once: an iterative fit then never goes back to
-    the text features, whatever executors are lost.
+    the text features, whatever executors are lost. Its layout is by id, so AQE packs
+    it by size: an iteration over a small table is a few tasks, over a large one many.
     """
     ensure_checkpoint_dir(df.sparkSession)
     numeric = df.select(
         F.col(key).alias("id"), F.col(label).cast("double").alias("label"), *[F.col(c).cast("double") for c in columns]
     )
-    numeric = sampling.with_split(numeric, "id", seed).checkpoint()
+    numeric = sampling.with_split(numeric.repartition("id"), "id", seed).checkpoint()
     train = numeric.where(F.col("split") == "train")
     if standardise:
         numeric = prepare.Standardizer.fit(train, list(columns)).transform(numeric)
@@ -56,7 +59,8 @@ def training_tables(
 
 
 def folded(train: DataFrame, k: int, seed: int = 99) -> DataFrame:
-    return sampling.with_folds(train, "label", "id", k, seed)
+    """Fold numbers are fixed once; every fit of a search reads the same table."""
+    return sampling.with_folds(train, "label", "id", k, seed).repartition("id").checkpoint()
 
 
 # --- estimators -----------------------------------------------------------------
@@ -65,7 +69,7 @@ def folded(train: DataFrame, k: int, seed: int = 99) -> DataFrame:
 def logistic(n_rows: int, c: float = 1.0, l1: bool = False, max_iter: int = 200) -> LogisticRegression:
     """Penalty ``1 / (C n)``: Spark averages the loss where others sum it."""
     return LogisticRegression(
-        maxIter=max_iter, regParam=1.0 / (c * n_rows), elasticNetParam=float(l1), standardization=False
+        maxIter=max_iter, tol=TOLERANCE, regParam=1.0 / (c * n_rows), elasticNetParam=float(l1), standardization=False
     )
 
 
@@ -100,9 +104,9 @@ NETS = {"mlp_1": (18, 18, 18), "mlp_2": (18, 9), "mlp_3": (18, 9, 6)}
 
 def fit_linear_svm(train: DataFrame, max_iter: int = 100) -> PipelineModel:
     """A linear SVM, then a logistic regression on its margin for probabilities."""
-    svm = LinearSVC(maxIter=max_iter, rawPredictionCol="margin", predictionCol="svm_side").fit(train)
+    svm = LinearSVC(maxIter=max_iter, tol=TOLERANCE, rawPredictionCol="margin", predictionCol="svm_side").fit(train)
     margins = svm.transform(train)
-    calibrate = LogisticRegression(featuresCol="margin", maxIter=100)
+    calibrate = LogisticRegression(featuresCol="margin", maxIter=100, tol=TOLERANCE)
     return PipelineModel(stages=[svm, calibrate.fit(margins)])
 
 
@@ -126,7 +130,7 @@ def accuracy_metric() -> MulticlassClassificationEvaluator:
 
 
 def cross_validated(
-    estimator: Estimator, grid: list[dict], train: DataFrame, folds: int, parallelism: int = 4
+    estimator: Estimator, grid: list[dict], train: DataFrame, folds: int, parallelism: int = 8
 ) -> CrossValidatorModel:
     """Search a grid on stratified folds given by the ``fold`` column."""
     return CrossValidator(
@@ -157,10 +161,12 @@ def penalised_grid(estimator: LogisticRegression, n_rows: int, cs: Sequence[floa
     )
 
 
-def fit_penalised(train: DataFrame, l1: bool, cs: Sequence[float] = tuple(C_GRID), folds: int = 10) -> CrossValidatorModel:
+def fit_penalised(
+    train: DataFrame, l1: bool, cs: Sequence[float] = tuple(C_GRID), folds: int = 10, max_iter: int = 100
+) -> CrossValidatorModel:
     """Logistic regression with its penalty chosen by cross-validation."""
     n = train.count()
-    estimator = logistic(n)
+    estimator = logistic(n, max_iter=max_iter)
     return cross_validated(estimator, penalised_grid(estimator, n, cs, [l1]), folded(train, folds), folds)
 
 
