@@ -26,12 +26,12 @@ DISTANCES = [
 
 
 def vocabulary(tokens1: Column, tokens2: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.concat(tokens1, tokens2)))
+    return F.sort_array(F.array_distinct(F.concat(tokens1, tokens2)))
 
 
 def marked(vocab: Column, tokens: Column) -> Column:
     """Vocabulary and tokens sorted together, each word's own mark before its tokens."""
-    return F.array_sort(
+    return F.sort_array(
         F.concat(
             F.transform(vocab, lambda w: F.struct(w.alias("w"), F.lit(0).alias("k"))),
             F.transform(tokens, lambda w: F.struct(w.alias("w"), F.lit(1).alias("k"))),
@@ -87,49 +87,54 @@ def _ratio(num: Column, den: Column, if_zero: float) -> Column:
     return F.when(den == 0, F.lit(if_zero)).otherwise(num / F.when(den != 0, den))
 
 
-def distances(vec1: Column, vec2: Column) -> Column:
-    """All distances of one vector pair, from a single pass over it."""
-    zero = F.struct(*[F.lit(0.0).alias(n) for n in ("dot", "uu", "vv", "l1", "sq", "tot", "can", "ne", "nz")])
-
-    def step(acc: Column, x: Column) -> Column:
-        u, v = x["u"], x["v"]
-        gap, total = F.abs(u - v), u + v
-        return F.struct(
-            (acc["dot"] + u * v).alias("dot"),
-            (acc["uu"] + u * u).alias("uu"),
-            (acc["vv"] + v * v).alias("vv"),
-            (acc["l1"] + gap).alias("l1"),
-            (acc["sq"] + gap * gap).alias("sq"),
-            (acc["tot"] + total).alias("tot"),
-            (acc["can"] + F.when(total > 0, gap / F.when(total > 0, total)).otherwise(0.0)).alias("can"),
-            (acc["ne"] + F.when(gap > 0, 1.0).otherwise(0.0)).alias("ne"),
-            (acc["nz"] + F.when(total > 0, 1.0).otherwise(0.0)).alias("nz"),
-        )
+def _total(c: Column) -> Column:
+    return F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x)
 
-    def finish(acc: Column) -> Column:
-        root = F.sqrt(acc["sq"])
-        return F.struct(
-            (F.lit(1.0) - _ratio(acc["dot"], F.sqrt(acc["uu"]) * F.sqrt(acc["vv"]), float("nan"))).alias(
-                "cosine_distance"
-            ),
-            acc["l1"].alias("cityblock_distance"),
-            _ratio(acc["ne"], acc["nz"], 0.0).alias("jaccard_distance"),
-            acc["can"].alias("canberra_distance"),
-            root.alias("euclidean_distance"),
-            root.alias("minkowski_distance"),
-            _ratio(acc["l1"], acc["tot"], float("nan")).alias("braycurtis_distance"),
-        )
 
-    zipped = F.zip_with(
-        vec1, vec2, lambda u, v: F.struct(u.cast("double").alias("u"), v.cast("double").alias("v"))
-    )
-    return F.aggregate(zipped, zero, step, finish)
+def vector_sums(vec1: str, vec2: str) -> dict[str, Column]:
+    """The sums that the distances are made of.
+
+    Plain numeric accumulators: a struct accumulator builds a row per element.
+    """
+
+    def over(fn) -> Column:
+        return _total(F.zip_with(vec1, vec2, lambda u, v: fn(u.cast("double"), v.cast("double"))))
+
+    def canberra(u: Column, v: Column) -> Column:
+        return F.when(u + v > 0, F.abs(u - v) / F.when(u + v > 0, u + v)).otherwise(0.0)
+
+    return {
+        "_dot": over(lambda u, v: u * v),
+        "_uu": over(lambda u, v: u * u),
+        "_vv": over(lambda u, v: v * v),
+        "_l1": over(lambda u, v: F.abs(u - v)),
+        "_sq": over(lambda u, v: (u - v) * (u - v)),
+        "_tot": over(lambda u, v: u + v),
+        "_can": over(canberra),
+        "_ne": over(lambda u, v: (u != v).cast("double")),
+        "_nz": over(lambda u, v: (u + v > 0).cast("double")),
+    }
+
+
+def distances() -> dict[str, Column]:
+    """All distances, from the columns of ``vector_sums``."""
+    c = F.col
+    cosine = F.lit(1.0) - _ratio(c("_dot"), F.sqrt("_uu") * F.sqrt("_vv"), float("nan"))
+    return {
+        "cosine_distance": cosine,
+        "cityblock_distance": c("_l1"),
+        "jaccard_distance": _ratio(c("_ne"), c("_nz"), 0.0),
+        "canberra_distance": c("_can"),
+        "euclidean_distance": F.sqrt("_sq"),
+        "minkowski_distance": F.sqrt("_sq"),
+        "braycurtis_distance": _ratio(c("_l1"), c("_tot"), float("nan")),
+    }
 
 
 def minkowski(vec1: Column, vec2: Column, p: float) -> Column:
     """Minkowski distance of any order; order 2 is what ``distances`` reports."""
     powers = F.zip_with(vec1, vec2, lambda u, v: F.pow(F.abs(u - v).cast("double"), F.lit(float(p))))
-    return F.pow(F.aggregate(powers, F.lit(0.0), lambda a, x: a + x), F.lit(1.0 / p))
+    return F.pow(_total(powers), F.lit(1.0 / p))
 
 
 def ngrams(tokens: Column, n: int) -> Column:

@@ -201,15 +201,15 @@ def with_fuzzy_scores(df: DataFrame, left: str, right: str) -> DataFrame:
     kept = df.columns
     df = df.withColumns({"_p1": full_process(F.col(left)), "_p2": full_process(F.col(right))})
     df = df.withColumns(
-        {f"_t{k}": F.array_sort(F.array_remove(F.split(F.col(f"_p{k}"), " +"), "")) for k in (1, 2)}
+        {f"_t{k}": F.sort_array(F.array_remove(F.split(F.col(f"_p{k}"), " +"), "")) for k in (1, 2)}
     )
     df = df.withColumns(
         {
             "_s1": F.array_join("_t1", " "),
             "_s2": F.array_join("_t2", " "),
-            "_sect": F.array_join(F.array_sort(F.array_intersect("_t1", "_t2")), " "),
-            "_d1": F.array_join(F.array_sort(F.array_except("_t1", "_t2")), " "),
-            "_d2": F.array_join(F.array_sort(F.array_except("_t2", "_t1")), " "),
+            "_sect": F.array_join(F.sort_array(F.array_intersect("_t1", "_t2")), " "),
+            "_d1": F.array_join(F.sort_array(F.array_except("_t1", "_t2")), " "),
+            "_d2": F.array_join(F.sort_array(F.array_except("_t2", "_t1")), " "),
             "_l1": F.length("_p1"),
             "_l2": F.length("_p2"),
         }

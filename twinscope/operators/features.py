@@ -62,10 +62,10 @@ def with_vectors(df: DataFrame, left: str, right: str) -> DataFrame:
 
 
 def with_distances(df: DataFrame, left: str, right: str) -> DataFrame:
-    """The seven vector distances, from one pass over one pair of vectors."""
+    """The seven vector distances, all from one pair of vectors per row."""
     kept = df.columns
-    df = with_vectors(df, left, right).withColumn("_d", bags.distances(F.col("vec1"), F.col("vec2")))
-    return df.select(*kept, *[F.col(f"_d.{n}").alias(n) for n in bags.DISTANCES])
+    df = with_vectors(df, left, right).withColumns(bags.vector_sums("vec1", "vec2"))
+    return df.select(*kept, *[c.alias(n) for n, c in bags.distances().items()])
 
 
 def with_minkowski(df: DataFrame, left: str, right: str, p: float) -> DataFrame:
@@ -109,7 +109,7 @@ def with_tfidf_cosine(df: DataFrame, left: str, right: str, max_features: int =
         F.col("_b_c2"),
         lambda x, b: F.struct((-(x["a"] + b)).alias("rank"), x["w"].alias("w"), x["a"].alias("a"), b.alias("b")),
     )
-    top = F.slice(F.array_sort(counted), F.lit(1), F.lit(max_features))
+    top = F.slice(F.sort_array(counted), F.lit(1), F.lit(max_features))
     idf = lambda x: F.when((x["a"] > 0) & (x["b"] > 0), 1.0).otherwise(1.0 + F.log(F.lit(1.5)))
     zero = F.struct(*[F.lit(0.0).alias(n) for n in ("dot", "aa", "bb")])
 

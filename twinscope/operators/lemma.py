@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinscope.functions import text
+from twinscope.sources.pairs import spread_by
 
 # Plural endings of nouns and what they stand for.
 SUFFIX_RULES = [
@@ -75,7 +76,7 @@ def lemmatise(df: DataFrame, key: str, columns: list[str], lemmas: DataFrame) ->
         .groupBy(key)
         .agg(F.map_from_entries(F.collect_list(F.struct("word", "lemma"))).alias("_lemmas"))
     )
-    joined = df.join(found, key, "left")
+    joined = spread_by(df, key).join(found, key, "left")
     return joined.withColumns(
         {
             c: F.array_join(

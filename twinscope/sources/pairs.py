@@ -71,3 +71,13 @@ def write_word_vectors(df: DataFrame, path: str) -> None:
 
 def repartitioned(df: DataFrame, n: int) -> DataFrame:
     return df.repartition(n)
+
+
+def spread_by(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash layout in exactly ``spark.sql.shuffle.partitions`` parts.
+
+    A fixed number keeps AQE from packing the parts by bytes: the stages that follow
+    cost by the square of a text's length, so few bytes may still be much work. A join
+    or aggregate on the same keys reuses the layout.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

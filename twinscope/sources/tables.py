@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinscope.functions import text
-from twinscope.sources.pairs import repartitioned
+from twinscope.sources.pairs import repartitioned, spread_by
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,7 +62,7 @@ def document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # A much-copied document leaves its pairs in one task; the stages that follow cost
     # far more than moving the rows once, and joins on the pair id reuse this layout.
-    return found.repartition("id")
+    return spread_by(found, "id")
 
 
 def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +95,8 @@ def open_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = table(spark, sf_dir, "conversations")
     left = messages.select("conv_id", (F.col("turn") + 1).alias("at"), F.col("role").alias("r1"), F.col("text").alias("question1"))
     right = messages.select("conv_id", F.col("turn").alias("at"), F.col("role").alias("r2"), F.col("text").alias("question2"))
-    return left.join(right, ["conv_id", "at"], "full").select(
+    keys = ("conv_id", "at")
+    return spread_by(left, *keys).join(spread_by(right, *keys), list(keys), "full").select(
         (F.col("conv_id") * 10000 + F.col("at")).alias("id"),
         (F.col("conv_id") * 10000 + F.col("at")).alias("qid1"),
         (F.col("conv_id") * 10000 + F.col("at") + 1).alias("qid2"),
