@@ -79,17 +79,8 @@ def report(df: DataFrame, label: str, predicted: str) -> DataFrame:
     )
 
 
-def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
-    """``(threshold, tpr, fpr)`` for every distinct score, highest first."""
-    points = _score_totals(df, label, score)
-    return points.select(
-        F.col("score").alias("threshold"),
-        _ratio(F.col("tp"), F.col("n_pos")).alias("tpr"),
-        _ratio(F.col("fp"), F.col("n_neg")).alias("fpr"),
-    )
-
-
-def _score_totals(df: DataFrame, label: str, score: str) -> DataFrame:
+def _score_totals(df: DataFrame, label: str, score: str) -> tuple[DataFrame, int, int]:
+    """Running positives and negatives per distinct score, and both totals."""
     y = F.col(label)
     per_score = df.groupBy(F.col(score).alias("score")).agg(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
@@ -97,14 +88,24 @@ def _score_totals(df: DataFrame, label: str, score: str) -> DataFrame:
     running = with_running_totals(
         per_score, [F.col("score").desc()], {"tp": F.col("pos"), "fp": F.col("neg")}
     )
-    # one row
-    totals = df.agg(F.count_if(y == 1).alias("n_pos"), F.count_if(y == 0).alias("n_neg"))
-    return running.join(F.broadcast(totals), F.lit(True))
+    # the last running totals are the class sizes; one row comes back
+    last = running.agg(F.max("tp").alias("tp"), F.max("fp").alias("fp")).first()
+    return running, last["tp"] or 0, last["fp"] or 0
+
+
+def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
+    """``(threshold, tpr, fpr)`` for every distinct score, highest first."""
+    points, n_pos, n_neg = _score_totals(df, label, score)
+    return points.select(
+        F.col("score").alias("threshold"),
+        _ratio(F.col("tp"), F.lit(n_pos)).alias("tpr"),
+        _ratio(F.col("fp"), F.lit(n_neg)).alias("fpr"),
+    )
 
 
 def auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Area under the ROC curve by trapezoids: each score adds its negatives times the
     positives above it, half of its own positives included."""
-    points = _score_totals(df, label, score)
+    points, n_pos, n_neg = _score_totals(df, label, score)
     area = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2.0))
-    return points.agg((area / F.when(F.max(F.col("n_pos") * F.col("n_neg")) > 0, F.max(F.col("n_pos") * F.col("n_neg")))).alias("auc"))
+    return points.agg(_ratio(area, F.lit(float(n_pos) * n_neg)).alias("auc"))

@@ -82,7 +82,7 @@ def mirrored_pairs(df: DataFrame, key: str, left: str, right: str) -> DataFrame:
     ).select(key, "s.*")
     firsts = sides.groupBy("a", "b").agg(
         F.min(F.struct("side", key)).alias("first"),
-        F.countDistinct("side").alias("n_sides"),
+        (F.max("side") > F.min("side")).alias("mirrored"),
         F.count(F.lit(1)).alias("n"),
     ).where(F.col("n") > 1)
     return (
@@ -92,7 +92,7 @@ def mirrored_pairs(df: DataFrame, key: str, left: str, right: str) -> DataFrame:
             F.col(key),
             "side",
             F.concat_ws("-", "a", "b").alias("pair_key"),
-            (F.col("n_sides") > 1).alias("mirrored"),
+            "mirrored",
         )
     )
 
