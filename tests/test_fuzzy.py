@@ -54,7 +54,9 @@ def test_partial_ratio_mixed_lengths_in_one_batch():
     rng = random.Random(7)
     word = lambda n: "".join(rng.choice("abcdef ") for _ in range(n))
     pairs = [(word(rng.randint(1, 60)), word(rng.randint(1, 200))) for _ in range(60)]
-    assert fuzzy.partial_ratios(pairs) == {p: slow_partial(*p) for p in pairs}
+    ratios = {}
+    assert fuzzy.partial_ratios(pairs, ratios) == {p: slow_partial(*p) for p in pairs}
+    assert len(ratios) > 30 and all(r == slow_ratio(*p) for p, r in ratios.items())
 
 
 def slow_process(s):

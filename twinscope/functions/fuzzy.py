@@ -69,8 +69,8 @@ def ratio(a: str, b: str) -> int:
     return _percent(lcs_length(a, b), len(a) + len(b))
 
 
-def _window_lcs(shorts: list[str], longs: list[str]) -> list[int]:
-    """Best window of each long string against its short string, many pairs at once.
+def _window_lcs(shorts: list[str], longs: list[str]) -> list[tuple[int, int]]:
+    """``(best window, whole)`` common subsequence of many string pairs at once.
 
     Semi-local LCS by combing (Tiskin): every cell of the alignment grid either
     crosses or keeps two strands, and the final strand order answers all windows.
@@ -103,18 +103,24 @@ def _window_lcs(shorts: list[str], longs: list[str]) -> list[int]:
         width, last = len(s), len(t) - len(s)
         start = down[: len(t), k].astype(np.int64) - m
         end = np.flatnonzero(start >= 0)
+        whole = len(t) - len(end)
         start = np.minimum(start[end], last)
         first = np.maximum(end - width + 1, 0)
         covers = first <= start
         step = np.zeros(last + 2, dtype=np.int64)
         np.add.at(step, first[covers], 1)
         np.add.at(step, start[covers] + 1, -1)
-        best.append(int(width - np.cumsum(step)[: last + 1].min()))
+        best.append((int(width - np.cumsum(step)[: last + 1].min()), whole))
     return best
 
 
-def partial_ratios(pairs: Iterable[tuple[str, str]]) -> dict[tuple[str, str], int]:
-    """Best-window ratio of every distinct pair."""
+def partial_ratios(
+    pairs: Iterable[tuple[str, str]], ratios: dict[tuple[str, str], int] | None = None
+) -> dict[tuple[str, str], int]:
+    """Best-window ratio of every distinct pair.
+
+    The window search yields the whole-string ratio too; it is put into ``ratios``.
+    """
     out: dict[tuple[str, str], int] = {}
     hard = []
     for a, b in set(pairs):
@@ -132,8 +138,10 @@ def partial_ratios(pairs: Iterable[tuple[str, str]]) -> dict[tuple[str, str], in
 
     def flush() -> None:
         best = _window_lcs([h[2] for h in batch], [h[3] for h in batch])
-        for (m, _, _, _, a, b), common in zip(batch, best):
-            out[a, b] = _percent(common, 2 * m)
+        for (m, n, _, _, a, b), (window, whole) in zip(batch, best):
+            out[a, b] = _percent(window, 2 * m)
+            if ratios is not None:
+                ratios[a, b] = _percent(whole, m + n)
         batch.clear()
 
     for h in hard:
@@ -162,28 +170,25 @@ def _kernel(
     sets1: pd.Series, sets2: pd.Series,
     wide: pd.Series, apart: pd.Series,
 ) -> pd.DataFrame:
-    whole = {
-        "full": zip(full1, full2),
-        "sorted": zip(sorted1, sorted2),
-        "sets": zip(sets1, sets2),
+    windows = {
+        "part": list(zip(raw1, raw2)),
+        "part_full": [(a, b) if w else ("", "") for a, b, w in zip(full1, full2, wide)],
+        "part_sorted": list(zip(sorted1, sorted2)),
+        "part_sets": [(a, b) if w else ("", "") for a, b, w in zip(sets1, sets2, apart)],
     }
     known: dict[tuple[str, str], int] = {}
+    best = partial_ratios((p for ab in windows.values() for p in ab), known)
+    out = {name: [best[p] for p in ab] for name, ab in windows.items()}
 
-    def cached(a: str, b: str) -> int:
+    def whole(a: str, b: str) -> int:
         if (a, b) not in known:
             known[a, b] = ratio(a, b)
         return known[a, b]
 
-    out = {name: [cached(a, b) for a, b in ab] for name, ab in whole.items()}
-    windows = {
-        "part": list(zip(raw1, raw2)),
-        "part_full": [(a, b) if w else ("", "") for a, b, w in zip(full1, full2, wide)],
-        "part_sorted": list(zip(sorted1, sorted2)),
-        "part_sets": [(a, b) if w else ("", "") for a, b, w in zip(sets1, sets2, apart)],
-    }
-    best = partial_ratios(p for ab in windows.values() for p in ab)
-    out.update({name: [best[p] for p in ab] for name, ab in windows.items()})
-    return pd.DataFrame(out)
+    out["full"] = [whole(a, b) for a, b in zip(full1, full2)]
+    out["sorted"] = [whole(a, b) for a, b in zip(sorted1, sorted2)]
+    out["sets"] = [whole(a, b) for a, b in zip(sets1, sets2)]
+    return pd.DataFrame({f.name: out[f.name] for f in _KERNEL.fields})
 
 
 def full_process(c: Column) -> Column:

@@ -28,7 +28,7 @@ def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with the next one, and with the first document that shares its
     first line, its last line, or its whole text. Duplicates end in the same line."""
-    docs = text_table(spark, sf_dir, "documents").select(
+    docs = table(spark, sf_dir, "documents").select(
         "doc_id",
         "text",
         F.lower(F.split_part("text", F.lit("\n"), F.lit(1))).alias("opening"),
