@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from twinscope.llm.chat import format_chats, read_back
 from twinscope.llm.decontaminate import find_contamination
+from twinscope.llm.neardup import near_duplicates
 from twinscope.llm.packing import pack
 from twinscope.llm.reputation import judge_urls
 from twinscope.llm.sharding import external_shuffle
@@ -44,6 +45,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs, width=3, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(table(spark, sf_dir, "documents").select("doc_id", "text"), length=2048, end_id=1)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -75,6 +81,7 @@ def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_sharding": op3_sharding,
     "op4_decontamination": op4_decontamination,
+    "op5_near_duplicates": op5_near_duplicates,
     "op7_packing": op7_packing,
     "op9_chat_format": op9_chat_format,
     "op10_url_reputation": op10_url_reputation,
