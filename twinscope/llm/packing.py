@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -15,57 +17,60 @@ from twinscope.operators.ranking import with_running_totals
 from twinscope.sources.scratch import scratch_path
 
 #: Distinct words whose ids a task remembers before it starts afresh.
-CACHED_WORDS = 200_000
-#: Spaces between other white space: such a text is not cut at its spaces.
-_LOOSE = r"\s \s|\s $"
+CACHED_WORDS = 300_000
+#: How a byte-level vocabulary of this kind cuts a text before merging.
+PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def tokenizer_json(path: str | None) -> str:
-    """The vocabulary file's text; by default the public byte-level one with 50k entries."""
+def byte_ranks(path: str | None) -> dict[bytes, int]:
+    """Ids of a byte-level vocabulary file by bytes; by default the public one with 50k entries.
+
+    In such a file ids follow the order of the merges, so they serve as merge ranks. The file
+    writes bytes without a printable form of their own as the characters from 256 on.
+    """
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path("byte_bpe_50k.json")
-    return Path(path).read_text(encoding="utf-8")
+    model = json.loads(Path(path).read_text(encoding="utf-8"))
+    special = {t["content"] for t in model.get("added_tokens", [])}
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    byte_of = {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
+    return {bytes(byte_of[c] for c in t): i for t, i in model["model"]["vocab"].items() if t not in special}
+
+
+class _Words(dict):
+    """Ids of words that follow a space, as little-endian unsigned 32-bit bytes, made when first asked for."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        ids = self[word] = self.encode(" " + word)
+        return ids
 
 
 class _Encoder:
-    """Ids as little-endian unsigned 32-bit bytes, by words: a byte-level pattern never matches
-    across the place before a single space, so a word with its space always has the same ids."""
-
-    def __init__(self, vocabulary: str):
-        import os
-        import re
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True
-        self.loose = re.compile(_LOOSE)
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut, whole = [], []
-        for i, t in enumerate(texts):
-            if self.loose.search(t):
-                whole.append(i)
-                cut.append([])
-            else:
-                head, *rest = t.split(" ")
-                cut.append([head, *[" " + w for w in rest]])
-        missing = list({w for words in cut for w in words} - self.known.keys())
-        if len(self.known) + len(missing) > CACHED_WORDS:
-            self.known = {}
-            missing = list({w for words in cut for w in words})
-        self.known.update(zip(missing, self._ids(missing), strict=True))
-        out = [b"".join(map(self.known.__getitem__, words)) for words in cut]
-        for i, ids in zip(whole, self._ids([texts[i] for i in whole]), strict=True):
-            out[i] = ids
-        return out
+    """Encodes texts word by word: no piece of the pattern goes on across the place before a
+    single space, so a word with the space before it has the same ids in every text."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        import tiktoken
+
+        encoding = tiktoken.Encoding("bytes", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
+        self.whole = lambda t: np.array(encoding.encode_ordinary(t), "<u4").tobytes()
+        # A space before more white space or the end may belong to a piece of several spaces.
+        self.loose = re.compile(r" (?:\s|\Z)").search
+        self.words = _Words(self.whole)
+
+    def encode(self, text: str) -> bytes:
+        if self.loose(text):
+            return self.whole(text)
+        head, *rest = text.split(" ")
+        return self.whole(head) + b"".join(map(self.words.__getitem__, rest))
 
 
 def _tokenize(vocabulary, text: str, columns: list[str], end_id: int):
@@ -75,7 +80,7 @@ def _tokenize(vocabulary, text: str, columns: list[str], end_id: int):
         encoder, before = _Encoder(vocabulary.value), 0
         end = np.array([end_id], "<u4").tobytes()
         for batch in slices(batches, text):
-            ids = [b + end for b in encoder.encode([t or "" for t in batch.column(text).to_pylist()])]
+            ids = [encoder.encode(t or "") + end for t in batch.column(text).to_pylist()]
             n = np.array([len(b) // 4 for b in ids], np.int64)
             at = before + np.cumsum(n) - n
             before += int(n.sum())
@@ -100,7 +105,7 @@ def pack(docs: DataFrame, length: int = 2048, text: str = "text", end_id: int =
     """
     spark = docs.sparkSession
     columns = [c for c in docs.columns if c not in {text, "start", "length", "ids", "doc_tokens", "sequence_id", "offset"}]
-    shipped = spark.sparkContext.broadcast(tokenizer_json(vocabulary))
+    shipped = spark.sparkContext.broadcast(byte_ranks(vocabulary))
     empty = docs.select(*columns, F.lit(b"").alias("_ids"), *[F.lit(0).cast("long").alias(c) for c in ("_n", "_at")])
     schema = empty.schema
     with_part = empty.withColumn("_part", F.lit(0)).schema
@@ -110,7 +115,8 @@ def pack(docs: DataFrame, length: int = 2048, text: str = "text", end_id: int =
     written = spark.read.schema(with_part).parquet(path)
     totals = written.groupBy("_part").agg(F.sum("_n").alias("_total"))
     shifts = with_running_totals(totals, [F.col("_part")], {"_end": F.col("_total")})
-    placed = written.join(shifts, "_part").withColumn("_from", F.col("_end") - F.col("_total") + F.col("_at"))
+    # One row per written partition.
+    placed = written.join(F.broadcast(shifts), "_part").withColumn("_from", F.col("_end") - F.col("_total") + F.col("_at"))
     first, last = F.expr(f"_from div {length}L"), F.expr(f"(_from + _n - 1L) div {length}L")
     pieces = placed.withColumn("sequence_id", F.explode(F.sequence(first, last)))
     begin = F.greatest(F.col("_from"), F.col("sequence_id") * length)
