@@ -11,6 +11,7 @@ from twinscope.llm.neardup import near_duplicates
 from twinscope.llm.packing import pack
 from twinscope.llm.reputation import judge_urls
 from twinscope.llm.sharding import external_shuffle
+from twinscope.llm.substrings import remove_repeats
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +56,12 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=400)
+    n_bytes = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
+    return cut.select("doc_id", n_bytes.alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -83,6 +90,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_near_duplicates": op5_near_duplicates,
     "op7_packing": op7_packing,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_chat_format": op9_chat_format,
     "op10_url_reputation": op10_url_reputation,
 }
