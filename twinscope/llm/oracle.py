@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from twinscope.llm.fingerprint import LEAF_CHARS, SECTION_ENDS
 from twinscope.llm.reputation import LEAST_PRIOR, MOST_PRIOR, TWO_LABEL_SUFFIXES
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -81,4 +82,37 @@ SELECT page_id, host, path, rule,
 FROM v
 """
 
-SQL: dict[str, str] = {"op4_decontamination": OP4, "op9_chat_format": OP9, "op10_url_reputation": OP10}
+
+
+def _leaves(text: str) -> str:
+    found = rf"regexp_extract_all({text}, '[^.!?\n]{{0,{LEAF_CHARS}}}[.!?\n]+ ?|[^.!?\n]{{1,{LEAF_CHARS}}}')"
+    return f"list_transform({found}, lambda x: length(x) || '-' || md5(x)[1:12])"
+
+
+def _root(text: str) -> str:
+    paras = f"list_transform(string_split({text}, chr(10)), lambda p: sha256(array_to_string({_leaves('p')}, ' ')))"
+    joined = f"array_to_string(list_transform({paras}, lambda d: d || CASE WHEN d[1] IN ({', '.join(repr(c) for c in SECTION_ENDS)}) THEN '|' ELSE ' ' END), '')"
+    secs = f"list_transform(list_filter(string_split({joined}, '|'), lambda s: length(s) > 0), lambda s: sha256(s))"
+    return f"sha256(array_to_string({secs}, ' '))"
+
+
+def _likeness(a: str, b: str) -> str:
+    weight = "coalesce(list_sum(list_transform({0}, lambda c: CAST(split_part(c, '-', 1) AS BIGINT))), 0)"
+    total = f"({weight.format(f'list_distinct({a})')} + {weight.format(f'list_distinct({b})')})"
+    return f"coalesce(2.0::DOUBLE * {weight.format(f'list_intersect({a}, {b})')} / nullif({total}, 0)::DOUBLE, 0.0::DOUBLE)"
+
+
+OP2 = f"""
+WITH n AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS (SELECT doc_id, t, coalesce(lead(t) OVER w, first_value(t) OVER w) AS f
+  FROM n WINDOW w AS (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+e AS (SELECT *, substring(t, 1, length(t) - length(t) // 4) || substring(f, 1, length(t) // 4) AS d FROM m),
+l AS (SELECT *, {_leaves("t")} AS lt, {_leaves("d")} AS ld, {_leaves("f")} AS lf, {_root("t")} AS rt, {_root("d")} AS rd FROM e)
+SELECT doc_id, CAST(length(t) AS BIGINT) AS n_chars, sha256(d) AS edited_sha256,
+  rt || ':' || array_to_string(lt, ',') AS fingerprint, rd || ':' || array_to_string(ld, ',') AS edited_fingerprint,
+  CASE WHEN t = d THEN 1.0::DOUBLE ELSE {_likeness("lt", "ld")} END AS near_edited,
+  CASE WHEN t = f THEN 1.0::DOUBLE ELSE {_likeness("lt", "lf")} END AS near_next
+FROM l
+"""
+
+SQL: dict[str, str] = {"op2_fingerprints": OP2, "op4_decontamination": OP4, "op9_chat_format": OP9, "op10_url_reputation": OP10}

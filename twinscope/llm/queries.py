@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from twinscope.llm.chat import format_chats, read_back
 from twinscope.llm.decontaminate import find_contamination
+from twinscope.llm.fingerprint import as_string, compare_with_next
 from twinscope.llm.neardup import near_duplicates
 from twinscope.llm.packing import pack
 from twinscope.llm.reputation import judge_urls
@@ -18,6 +19,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = compare_with_next(table(spark, sf_dir, "documents"))
+    return compared.select(
+        "doc_id",
+        F.col("chars").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        as_string(F.col("tree")).alias("fingerprint"),
+        as_string(F.col("edited_tree")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     shuffled = external_shuffle(docs, n_shards=8, seed=7)
@@ -86,6 +100,7 @@ def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_fingerprints": op2_fingerprints,
     "op3_sharding": op3_sharding,
     "op4_decontamination": op4_decontamination,
     "op5_near_duplicates": op5_near_duplicates,
