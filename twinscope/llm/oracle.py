@@ -115,4 +115,26 @@ SELECT doc_id, CAST(length(t) AS BIGINT) AS n_chars, sha256(d) AS edited_sha256,
 FROM l
 """
 
-SQL: dict[str, str] = {"op2_fingerprints": OP2, "op4_decontamination": OP4, "op9_chat_format": OP9, "op10_url_reputation": OP10}
+OP6 = r"""
+WITH l AS (
+  SELECT doc_id, i - 1 AS line, string_split(trim(regexp_replace(lower(raw[i]), '\s+', ' ', 'g')), ' ') AS w, raw[i] AS r
+  FROM (SELECT doc_id, raw, unnest(range(1, len(raw) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS raw FROM documents))
+),
+f AS (SELECT w, array_to_string(w, ' ') AS t, min((doc_id, line)) AS first FROM l WHERE len(w) >= 5 GROUP BY w),
+c AS (SELECT t, first, w, unnest(range(1, len(w) + 2)) AS i FROM f WHERE len(w) >= 10),
+v AS (
+  SELECT t, first, array_to_string(w[1 : i - 1], ' ') AS x, array_to_string(w[i + 1 :], ' ') AS y FROM c WHERE i <= len(w)
+  UNION ALL
+  SELECT t, first, array_to_string(w[1 : i - 1], ' ') AS x, array_to_string(w[i :], ' ') AS y FROM c
+),
+n AS (SELECT t, min(e) AS near FROM v JOIN (SELECT x, y, min(first) AS e FROM v GROUP BY x, y) USING (x, y) GROUP BY t),
+d AS (
+  SELECT l.*, coalesce(least(f.first, coalesce(n.near, f.first)) < (l.doc_id, l.line), false) AS gone
+  FROM l LEFT JOIN f ON f.w = l.w LEFT JOIN n ON n.t = f.t
+)
+SELECT doc_id, count(*) AS n_lines, count_if(gone)::BIGINT AS n_dropped, coalesce(string_agg(r, chr(10) ORDER BY line) FILTER (WHERE NOT gone), '') AS text
+FROM d GROUP BY doc_id
+UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL
+"""
+
+SQL: dict[str, str] = {"op6_line_dedup": OP6, "op2_fingerprints": OP2, "op4_decontamination": OP4, "op9_chat_format": OP9, "op10_url_reputation": OP10}

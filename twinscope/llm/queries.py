@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from twinscope.llm.chat import format_chats, read_back
 from twinscope.llm.decontaminate import find_contamination
 from twinscope.llm.fingerprint import as_string, compare_with_next
+from twinscope.llm.linededup import dedup_lines
 from twinscope.llm.neardup import near_duplicates
 from twinscope.llm.packing import pack
 from twinscope.llm.reputation import judge_urls
@@ -65,6 +66,11 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs, width=3, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", "text")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(table(spark, sf_dir, "documents").select("doc_id", "text"), length=2048, end_id=1)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -104,6 +110,7 @@ QUERIES = {
     "op3_sharding": op3_sharding,
     "op4_decontamination": op4_decontamination,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_line_dedup": op6_line_dedup,
     "op7_packing": op7_packing,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_chat_format": op9_chat_format,
