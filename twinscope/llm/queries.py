@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinscope.llm.chat import format_chats, read_back
@@ -14,12 +14,26 @@ from twinscope.llm.packing import pack
 from twinscope.llm.reputation import judge_urls
 from twinscope.llm.sharding import external_shuffle
 from twinscope.llm.substrings import remove_repeats
+from twinscope.llm.toxicity import CUT, score_toxicity, train
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out() -> Column:
+    """A third of all documents, by a checksum of the id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    net = train(docs, table(spark, sf_dir, "labels").where(~held_out()))
+    return score_toxicity(docs, net).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"), "threshold", "rejected"
+    )
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     compared = compare_with_next(table(spark, sf_dir, "documents"))
     return compared.select(
@@ -106,6 +120,7 @@ def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_fingerprints": op2_fingerprints,
     "op3_sharding": op3_sharding,
     "op4_decontamination": op4_decontamination,
