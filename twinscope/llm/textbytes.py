@@ -73,8 +73,11 @@ WHITE_SPACE = lower_table(np.array([32, 9, 10, 11, 12, 13]))
 ALPHANUMERIC = lower_table(np.array([*range(48), *range(58, 65), *range(91, 97), *range(123, 128)]))
 
 
-def hash_words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each word, and the word index where each text begins (one more than texts)."""
+def hash_words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, heads: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
+    """A 64-bit hash of each word, and the word index where each text begins (one more than texts).
+
+    ``heads`` adds, for each number of bytes, hashes of the words' beginnings of that length.
+    """
     n = len(data)
     low = table[data]
     inside = low != 0
@@ -90,4 +93,5 @@ def hash_words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tupl
     up, down = powers(n)
     total = prefix_hashes(low, up)
     words = mix((total[stops] - total[starts]) * down[starts])
-    return words, np.searchsorted(starts, offsets)
+    cut = [mix((total[np.minimum(stops, starts + k)] - total[starts]) * down[starts] ^ np.uint64(k)) for k in heads]
+    return words, np.searchsorted(starts, offsets), *cut
