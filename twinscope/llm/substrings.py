@@ -21,8 +21,8 @@ PHRASE_GRAM, PHRASE_MASK = 8, 31
 #: Context bytes merged at once, and symbols of a shard.
 CHUNK_BYTES = 3 << 19
 SHARD_SYMBOLS = 1 << 14
-#: Anchors with more places than this are decided by Spark's aggregation of their windows.
-HOT_PLACES = 5000
+#: Places of an anchor that meet in one group; more are dealt to several groups by hash.
+GROUP_PLACES = 5000
 
 
 # --- anchors -------------------------------------------------------------------------------
@@ -90,12 +90,12 @@ def _contexts(length: int):
             spots = batch.column("spots")
             flat = spots.flatten()
             row = np.repeat(np.arange(batch.num_rows), pa.compute.list_value_length(spots).to_numpy())
-            anchor, place, lo, hi, hot = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("anchor", "place", "lo", "hi", "hot"))
+            anchor, place, lo, hi, groups = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("anchor", "place", "lo", "hi", "groups"))
             raw = data.tobytes()
             cut = [raw[a:b] for a, b in zip((offsets[row] + lo).tolist(), (offsets[row] + hi + length).tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_key").take(pa.array(row)), pa.array(anchor), pa.array(place), pa.array(lo), pa.array(hot), pa.array(cut, pa.binary())],
-                ["_key", "anchor", "place", "lo", "hot", "context"],
+                [batch.column("_key").take(pa.array(row)), pa.array(anchor), pa.array(place), pa.array(lo), pa.array(groups), pa.array(cut, pa.binary())],
+                ["_key", "anchor", "place", "lo", "groups", "context"],
             )
 
     return contexts
@@ -208,8 +208,12 @@ def _phrases(data: np.ndarray, total: np.ndarray, down: np.ndarray, offsets: np.
     return begins, np.searchsorted(begins, offsets)
 
 
-def repeated_windows(contexts: pa.Array, anchor: np.ndarray, relative: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Windows (context, start in it) that also begin at another place of the same anchor.
+def repeated_windows(contexts: pa.Array, anchor: np.ndarray, relative: np.ndarray, split: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Windows that also begin at another place of the same anchor: (context, start in it).
+
+    Of contexts whose anchor is dealt to several groups (``split``) it also returns all other
+    windows and one of each sort of repeated ones, with their hash and whether they are settled,
+    as they may have equals in other groups: (context, start, hash, settled).
 
     ``relative`` is where each context begins, seen from its anchor. Contexts become strings of
     phrases, whose symbols hold content, anchor and place relative to it, so equal symbols are
@@ -251,40 +255,48 @@ def repeated_windows(contexts: pa.Array, anchor: np.ndarray, relative: np.ndarra
     whole = mix((total[start[full] + length] - total[start[full]]) * down[start[full]]) ^ spot[full]
     _, back, count = np.unique(mix(whole), return_inverse=True, return_counts=True)
     sure[full[count[back] > 1]] = True
-    return of[sure], (start - offsets[of])[sure]
-
-
-def _ranges(keys: list, lo: np.ndarray, of: np.ndarray, start: np.ndarray, length: int) -> pa.RecordBatch:
-    """Byte ranges that repeated windows cover, joined where starts follow each other."""
-    cut = np.ones(len(of), bool)
-    cut[1:] = (of[1:] != of[:-1]) | (start[1:] != start[:-1] + 1)
-    first = np.flatnonzero(cut)
-    last = np.append(first[1:], len(of)) - 1
-    of = of[first] if len(first) else of
-    return pa.RecordBatch.from_arrays(
-        [keys.take(pa.array(of)), pa.array(lo[of] + start[first] if len(first) else lo[:0]), pa.array(lo[of] + start[last] + length if len(first) else lo[:0])],
-        ["_key", "start", "stop"],
-    )
+    local = start - offsets[of]
+    shared = np.flatnonzero(split[of])
+    whole = mix((total[start[shared] + length] - total[start[shared]]) * down[start[shared]] ^ spot[shared])
+    one = np.zeros(len(shared), bool)
+    one[np.unique(whole, return_index=True)[1]] = True
+    shared, whole = shared[one | ~sure[shared]], whole[one | ~sure[shared]]
+    return of[sure], local[sure], of[shared], local[shared], whole, sure[shared]
 
 
 def _decide(length: int):
-    """Contexts that come ordered by anchor: chunks of whole anchors are merged and decided."""
+    """Contexts that come ordered by group: chunks of whole groups are merged and decided.
+
+    Rows out are byte ranges that repeated windows cover (``hash`` null), joined where starts
+    follow each other, and windows that other groups may have too (see ``repeated_windows``).
+    """
 
     def settle(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         chunk = pa.Table.from_batches(rows).combine_chunks()
         # A row may come twice (equal rows of the input): it is one place.
-        chunk = chunk.group_by(["_key", "anchor", "place", "lo", "context"]).aggregate([]).combine_chunks()
+        chunk = chunk.group_by(["_key", "anchor", "place", "lo", "groups", "context"]).aggregate([]).combine_chunks()
         column = lambda c: chunk.column(c).to_numpy()
-        of, start = repeated_windows(chunk.column("context").combine_chunks(), column("anchor"), column("lo") - column("place"), length)
-        return _ranges(chunk.column("_key").combine_chunks(), column("lo"), of, start, length)
+        keys, lo = chunk.column("_key").combine_chunks(), column("lo")
+        of, start, open_of, open_start, whole, settled = repeated_windows(
+            chunk.column("context").combine_chunks(), column("anchor"), lo - column("place"), column("groups") > 1, length
+        )
+        cut = np.ones(len(of), bool)
+        cut[1:] = (of[1:] != of[:-1]) | (start[1:] != start[:-1] + 1)
+        first = np.flatnonzero(cut)
+        last = np.append(first[1:], len(of))[: len(first)] - 1
+        owner = np.concatenate([of[first], open_of])
+        begin = np.concatenate([lo[of[first]] + start[first], lo[open_of] + open_start])
+        stop = np.concatenate([lo[of[first]] + start[last] + length, lo[open_of] + open_start + length])
+        hashes = pa.concat_arrays([pa.nulls(len(first), pa.int64()), pa.array(whole.view(np.int64))])
+        settled = pa.array(np.concatenate([np.ones(len(first), bool), settled]))
+        return pa.RecordBatch.from_arrays([keys.take(pa.array(owner)), pa.array(begin), pa.array(stop), hashes, settled], ["_key", "start", "stop", "hash", "settled"])
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in slices(batches, "context", CHUNK_BYTES):
-            anchors = batch.column("anchor").to_numpy()
             if held and size >= CHUNK_BYTES:
-                # Rows of the last anchor so far stay with it.
-                same = int((anchors == held[-1].column("anchor")[-1].as_py()).cumprod().sum())
+                # Rows of the last group so far stay with it.
+                same = int((batch.column("group").to_numpy() == held[-1].column("group")[-1].as_py()).cumprod().sum())
                 if same:
                     held.append(batch.slice(0, same))
                     batch = batch.slice(same)
@@ -300,28 +312,6 @@ def _decide(length: int):
     return decide
 
 
-def _windows(length: int):
-    """Every window of the contexts of hot anchors: its hash, and its place."""
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "context"):
-            data, offsets = buffers(batch.column("context"))
-            _, down = powers(len(data) + 1)
-            total = prefix_hashes(data, powers(len(data))[0])
-            n = np.diff(offsets) - length + 1
-            of = np.repeat(np.arange(len(n)), n)
-            step = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-            start = step + offsets[of]
-            content = (total[start + length] - total[start]) * down[start]
-            whole = mix(content ^ mix(batch.column("anchor").to_numpy()[of].view(np.uint64)))
-            place = batch.column("lo").to_numpy()[of] + step
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_key").take(pa.array(of)), pa.array(place), pa.array(whole.view(np.int64))], ["_key", "start", "whole"]
-            )
-
-    return windows
-
-
 def _cut_out(text: str, columns: list[str]):
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
@@ -362,8 +352,9 @@ def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", ident
     Every window has an anchor, its least gram. Only windows whose anchor occurs at two places
     can repeat, so only the contexts of such anchors (two fifths to three times ``length``
     bytes) meet, by anchor. Shards of these contexts are transformed and merged; see
-    ``repeated_windows``. Anchors with more than ``HOT_PLACES`` places are decided by Spark's
-    aggregation of window hashes, so that no task gathers them.
+    ``repeated_windows``. The places of a frequent anchor are dealt to several groups of about
+    ``GROUP_PLACES``; windows without an equal in their group meet those of other groups by
+    hash, so no task gathers a frequent anchor and none of its repeats is missed.
 
     A null or empty text is empty; null ids and repeated rows are texts like others (equal rows
     are equal texts). Columns of ``docs`` named like the added ones are replaced; names that
@@ -378,21 +369,22 @@ def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", ident
     anchors = written(source.select("_key", "_text").mapInArrow(_anchors(length), spot_schema), "anchors")
     place = F.xxhash64("_key", "place")
     counted = anchors.groupBy("anchor").agg(F.min(place).alias("_a"), F.max(place).alias("_b"), F.count(F.lit(1)).alias("_m"))
-    shared = counted.where("_a <> _b").select("anchor", (F.col("_m") > HOT_PLACES).alias("hot"))
-    spots = anchors.join(shared, "anchor").groupBy("_key").agg(F.collect_set(F.struct("anchor", "place", "lo", "hi", "hot")).alias("spots"))
+    shared = counted.where("_a <> _b").select("anchor", F.ceil(F.col("_m") / GROUP_PLACES).alias("groups"))
+    spots = anchors.join(shared, "anchor").groupBy("_key").agg(F.collect_set(F.struct("anchor", "place", "lo", "hi", "groups")).alias("spots"))
     wanted = copies.join(spots, "_key", "left")
     once = source.join(wanted.where(F.col("spots").isNotNull()), "_key").where(F.col("_id").eqNullSafe(F.col("_least")))
     contexts = once.select("_key", "_text", "spots").mapInArrow(
-        _contexts(length), "_key binary, anchor long, place long, lo long, hot boolean, context binary"
+        _contexts(length), "_key binary, anchor long, place long, lo long, groups long, context binary"
     )
-    contexts = written(contexts, "contexts")
-    cold = contexts.where("not hot").drop("hot").repartition("anchor").sortWithinPartitions("anchor")
-    found = cold.mapInArrow(_decide(length), "_key binary, start long, stop long")
-    windows = contexts.where("hot").mapInArrow(_windows(length), "_key binary, start long, whole long")
+    group = F.xxhash64("anchor", F.pmod(F.xxhash64("_key", "place"), F.col("groups")))
+    grouped = contexts.withColumn("group", group).repartition("group").sortWithinPartitions("group")
+    found = written(grouped.mapInArrow(_decide(length), "_key binary, start long, stop long, hash long, settled boolean"), "windows")
+    windows = found.where("hash is not null")
     at = F.xxhash64("_key", "start")
-    twice = windows.groupBy("whole").agg(F.min(at).alias("_a"), F.max(at).alias("_b")).where("_a <> _b").select("whole")
-    hot = windows.join(twice, "whole").select("_key", "start", (F.col("start") + length).alias("stop"))
-    ranges = found.unionByName(hot).groupBy("_key").agg(F.collect_set(F.struct("start", "stop")).alias("_ranges"))
+    twice = windows.groupBy("hash").agg(F.min(at).alias("_a"), F.max(at).alias("_b")).where("_a <> _b").select("hash")
+    late = windows.where("not settled").join(twice, "hash").select("_key", "start", "stop")
+    covered = found.where("hash is null").select("_key", "start", "stop").unionByName(late)
+    ranges = covered.groupBy("_key").agg(F.collect_set(F.struct("start", "stop")).alias("_ranges"))
     marks = copies.join(ranges, "_key", "left").select("_key", "_ranges", (F.col("copies") > 1).alias("_whole"))
     marked = keyed.join(marks.where("_whole or _ranges is not null"), "_key", "left").withColumn("_whole", F.coalesce("_whole", F.lit(False)))
     schema = docs.withColumns({"n_removed": F.lit(0).cast("long"), "n_spans": F.lit(0).cast("long"), "kept": F.lit(b"")}).schema
