@@ -108,15 +108,15 @@ def pack(docs: DataFrame, length: int = 2048, text: str = "text", end_id: int =
     shipped = spark.sparkContext.broadcast(byte_ranks(vocabulary))
     empty = docs.select(*columns, F.lit(b"").alias("_ids"), *[F.lit(0).cast("long").alias(c) for c in ("_n", "_at")])
     schema = empty.schema
-    with_part = empty.withColumn("_part", F.lit(0)).schema
+    with_part = empty.withColumn("_source", F.lit(0)).schema
     path = scratch_path(spark, "ids")
     encoded = docs.select(*columns, text).mapInArrow(_tokenize(shipped, text, columns, end_id), schema)
-    encoded.withColumn("_part", F.spark_partition_id()).write.option("compression", "zstd").parquet(path)
+    encoded.withColumn("_source", F.spark_partition_id()).write.option("compression", "zstd").parquet(path)
     written = spark.read.schema(with_part).parquet(path)
-    totals = written.groupBy("_part").agg(F.sum("_n").alias("_total"))
-    shifts = with_running_totals(totals, [F.col("_part")], {"_end": F.col("_total")})
+    totals = written.groupBy("_source").agg(F.sum("_n").alias("_total"))
+    shifts = with_running_totals(totals, [F.col("_source")], {"_end": F.col("_total")})
     # One row per written partition.
-    placed = written.join(F.broadcast(shifts), "_part").withColumn("_from", F.col("_end") - F.col("_total") + F.col("_at"))
+    placed = written.join(F.broadcast(shifts), "_source").withColumn("_from", F.col("_end") - F.col("_total") + F.col("_at"))
     first, last = F.expr(f"_from div {length}L"), F.expr(f"(_from + _n - 1L) div {length}L")
     pieces = placed.withColumn("sequence_id", F.explode(F.sequence(first, last)))
     begin = F.greatest(F.col("_from"), F.col("sequence_id") * length)
