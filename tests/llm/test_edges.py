@@ -95,7 +95,8 @@ def test_near_duplicates(spark, odd_docs, clash, no_docs):
 
 def test_near_duplicates_in_a_hot_group(spark, monkeypatch):
     """A third of the rows nearly equal, in chains that only blocks resolve."""
-    monkeypatch.setattr(neardup, "BLOCK", 7)
+    monkeypatch.setattr(neardup, "BLOCK_MEMBERS", 7)
+    monkeypatch.setattr(neardup, "CHUNK_BYTES", 2000)
     rng = random.Random(3)
     base = [f"w{k}" for k in range(60)]
     rows = []

@@ -28,7 +28,7 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
         found = joined.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:
         found = joined.select(F.explode(F.array("u", "v")).alias("a"), F.col("m").alias("b"))
-    return found.where("a <> b").distinct()
+    return found.where("a <> b")
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -37,15 +37,15 @@ def connected_components(links: DataFrame) -> DataFrame:
     ``links`` has long columns ``a`` and ``b``. Each step shuffles pre-aggregated links and is
     written out; the steps grow with the logarithm of the longest path.
     """
-    state = F.struct(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0)))
-    links = written(links.where("a <> b").select("a", "b").distinct(), "links")
-    before = None
+    links = written(links.where("a <> b").select("a", "b"), "links")
     while True:
-        links = written(_star(_star(links, True), False), "links")
-        now = links.agg(state.alias("s")).first().s
-        if now == before:
+        links = written(_star(_star(links, True), False).distinct(), "links")
+        # Done when no node that others are linked to has a link itself, or two.
+        ends = links.select(F.col("a").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+        ends = ends.unionByName(links.select(F.col("b").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        counts = ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if not counts.where("up > 1 or up = 1 and down = 1").agg(F.count(F.lit(1))).first()[0]:
             break
-        before = now
     nodes = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return nodes.unionByName(roots)

@@ -7,7 +7,7 @@ from math import ceil, comb, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinscope.llm.components import connected_components, written
@@ -17,10 +17,10 @@ from twinscope.llm.textbytes import WHITE_SPACE, buffers, hash_words, mix, slice
 CHUNK = 5
 #: Bits kept of each minimum.
 BITS = 16
-#: Most members of a bucket compared with each other at once.
-BLOCK = 2048
-#: Rounds in which each bucket's hub is compared with the other members, before blocks are.
-HUB_ROUNDS = 2
+#: Members and text bytes of a block of a hub's group; larger groups are compared block by block.
+BLOCK_MEMBERS, BLOCK_BYTES = 2048, 4 << 20
+#: Text bytes of whole groups compared at once.
+CHUNK_BYTES = 2 << 20
 
 
 def n_chunks(percent: int, miss: float = 1e-6) -> int:
@@ -30,16 +30,6 @@ def n_chunks(percent: int, miss: float = 1e-6) -> int:
     return ceil(log(miss) / log(bad))
 
 
-def most_errors(positions: int, percent: int, miss: float = 1e-9) -> int:
-    """The signature distance that a pair at the threshold exceeds with probability ``miss``."""
-    p, tail = 1 - percent / 100, 0.0
-    for t in range(positions, 0, -1):
-        tail += comb(positions, t) * p**t * (1 - p) ** (positions - t)
-        if tail > miss:
-            return t
-    return 0
-
-
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.ndarray]:
     """The sorted distinct hashes of each text's runs of ``width`` words; a shorter text is one run."""
     words, at = hash_words(data, offsets, WHITE_SPACE)
@@ -108,138 +98,112 @@ def _index(chunks: int):
             for k in range(CHUNK - 1):
                 keys = mix(keys * np.uint64(0xD1342543DE82EF95) + parts[..., k])
             per = chunks * CHUNK
-            yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), batch.column("cls").take(pa.array(np.repeat(np.arange(n), per)))], ["key", "cls"])
+            each = pa.array(np.repeat(np.arange(n), per))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.reshape(-1).view(np.int64)), *[batch.column(c).take(each) for c in ("cls", "copies")]], ["key", "cls", "copies"]
+            )
 
     return index
 
 
-def _close(sig_a: np.ndarray, sig_b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int, errors: int) -> np.ndarray:
-    """Whether pairs can reach the threshold, by sizes and signature distance."""
-    fits = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
-    return fits & ((sig_a != sig_b).sum(axis=-1) <= errors)
-
+def group_links(sets: list[np.ndarray], blocks: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links that connect the members of a group exactly as all their links do.
 
-def _filter_pairs(percent: int, errors: int):
-    def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
+    Sets are coded by which hashes of the first (the hub) they hold, as bits, and how many others.
+    The others that two sets share are at most those of the smaller, which bounds their
+    similarity; only pairs of different components under which the bound reaches the threshold
+    are compared in full. Members of one block are compared unless the group holds two blocks.
+    """
+    n = len(sets)
+    least = list(range(n))
+
+    def find(x: int) -> int:
+        while least[x] != x:
+            least[x] = least[least[x]]
+            x = least[x]
+        return x
+
+    sizes = np.array([len(s) for s in sets])
+    bits = np.zeros((n, -(-len(sets[0]) // 8)), np.uint8)
+    for k, s in enumerate(sets):
+        at = np.minimum(np.searchsorted(s, sets[0]), len(s) - 1)
+        bits[k] = np.packbits(s[at] == sets[0])
+    inside = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+    outside = sizes - inside
+    roots = np.arange(n)
+    several = len(set(blocks.tolist())) > 1
+    found = []
+    for i in range(n - 1):
+        rest = slice(i + 1, n)
+        common = np.bitwise_count(bits[i] & bits[rest]).sum(axis=1, dtype=np.int64) + np.minimum(outside[i], outside[rest])
+        possible = (100 * common >= percent * (sizes[i] + sizes[rest] - common)) & (roots[rest] != roots[i])
+        if several:
+            possible &= blocks[rest] != blocks[i]
+        for j in (np.flatnonzero(possible) + i + 1).tolist():
+            a, b = find(i), find(j)
+            if a == b:
                 continue
-            sig = lambda c: np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(n, -1)
-            size = lambda c: batch.column(c).to_numpy()
-            keep = _close(sig("sig_a"), sig("sig_b"), size("n_a"), size("n_b"), percent, errors)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-    return filtered
-
-
-def _compare_blocks(percent: int, errors: int):
-    """Pairs of two blocks of one bucket that lie in different components and can reach the threshold."""
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def side(row, name):
-            ids = np.array([m["cls"] for m in row[name]], np.int64)
-            comps = np.array([m["comp"] for m in row[name]], np.int64)
-            sizes = np.array([m["n"] for m in row[name]], np.int64)
-            sigs = np.frombuffer(b"".join(m["sig"] for m in row[name]), "<u2").reshape(len(ids), -1)
-            return ids, comps, sizes, sigs
-
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1).to_pylist()[0]
-                ids, comps, sizes, sigs = side(row, "left")
-                ids2, comps2, sizes2, sigs2 = side(row, "right")
-                found = []
-                for i in range(len(ids)):
-                    near = _close(sigs2, sigs[i], sizes2, sizes[i], percent, errors) & (comps2 != comps[i])
-                    if row["same"]:
-                        near[: i + 1] = False
-                    found += [(min(ids[i], j), max(ids[i], j)) for j in ids2[near]]
-                if found:
-                    pairs = np.array(found, np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
-
-    return compare
-
-
-def _verify(percent: int, width: int):
-    """Keep the pairs whose full sets reach the threshold."""
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text_b"):
-            # A hub's pairs come together: its set is made once per slice.
-            hubs, first, of = np.unique(batch.column("a").to_numpy(), return_index=True, return_inverse=True)
-            sets_a = shingle_sets(*buffers(batch.column("text_a").take(pa.array(first))), width)
-            sets_b = shingle_sets(*buffers(batch.column("text_b")), width)
-            keep = []
-            for i, sb in enumerate(sets_b):
-                sa = sets_a[of[i]]
-                same = len(np.intersect1d(sa, sb, assume_unique=True))
-                keep.append(100 * same >= percent * (len(sa) + len(sb) - same))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return verify
-
-
-class _Links:
-    """Pairs of classes confirmed so far, on the tables that all rounds read."""
-
-    def __init__(self, docs: DataFrame, classes: DataFrame, index: DataFrame, percent: int, width: int, errors: int):
-        self.docs, self.classes, self.index = docs, classes, index
-        self.percent, self.width, self.errors = percent, width, errors
-
-    def _sides(self, pairs: DataFrame) -> DataFrame:
-        """Sizes and signatures of both sides."""
-        for side in ("b", "a"):
-            values = self.classes.select(F.col("cls").alias(side), F.col("_sig").alias(f"sig_{side}"), F.col("_n").alias(f"n_{side}"))
-            pairs = pairs.join(values, side)
-        return pairs
-
-    def confirm(self, pairs: DataFrame, filtered: bool) -> DataFrame:
-        """The pairs whose full sets reach the threshold; texts are fetched for the classes of close pairs only."""
-        if not filtered:
-            pairs = self._sides(pairs).mapInArrow(_filter_pairs(self.percent, self.errors), "a long, b long")
-        pairs = written(pairs.distinct(), "pairs")
-        needed = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(self.classes.select("cls", "_rep", "_hash"), "cls")
-        texts = self.docs.join(needed, (F.col("_id") == F.col("_rep")) & (F.col("_text_hash") == F.col("_hash"))).select("cls", "_text")
-        texts = written(texts, "texts")
-        for side in ("b", "a"):
-            pairs = pairs.join(texts.select(F.col("cls").alias(side), F.col("_text").alias(f"text_{side}")), side)
-        return written(pairs.mapInArrow(_verify(self.percent, self.width), "a long, b long").distinct(), "confirmed")
-
-    def open_buckets(self, components: DataFrame | None) -> DataFrame:
-        """Index rows with their component, of the buckets whose members are not all in one."""
-        rows = self.index
-        if components is None:
-            rows = rows.withColumn("comp", F.col("cls"))
-        else:
-            labels = components.select(F.col("node").alias("cls"), F.col("component").alias("_c"))
-            rows = rows.join(labels, "cls", "left").select("key", "cls", F.coalesce("_c", "cls").alias("comp"))
-        spread = rows.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo < _hi").select("key")
-        return rows.join(spread, "key")
-
-    def hub_pairs(self, rows: DataFrame, rank: DataFrame) -> DataFrame:
-        """Each open bucket's highest ranked member with all members of other components."""
-        ranked = rows.join(rank, "cls", "left").withColumn("_rank", F.coalesce("rank", F.lit(0)))
-        hubs = ranked.groupBy("key").agg(F.max(F.struct("_rank", (-F.col("cls")).alias("_neg"), F.col("comp").alias("_comp"))).alias("h"))
-        pairs = rows.join(hubs, "key").where("comp <> h._comp").withColumn("hub", -F.col("h._neg"))
-        return pairs.select(F.least("hub", "cls").alias("a"), F.greatest("hub", "cls").alias("b")).distinct()
-
-    def block_pairs(self, rows: DataFrame) -> DataFrame:
-        """All close pairs in the open buckets, by blocks of bounded size."""
-        values = self.classes.select("cls", F.col("_sig").alias("sig"), F.col("_n").alias("n"))
-        number = F.row_number().over(Window.partitionBy("key").orderBy("cls")) - 1
-        member = F.struct("cls", "comp", "n", "sig")
-        blocks = (
-            rows.join(values, "cls")
-            .withColumn("block", F.floor(number / BLOCK))
-            .groupBy("key", "block")
-            .agg(F.collect_list(member).alias("members"))
-        )
-        left = blocks.select("key", F.col("block").alias("i"), F.col("members").alias("left"))
-        right = blocks.select("key", F.col("block").alias("j"), F.col("members").alias("right"))
-        both = left.join(right, "key").where("i <= j").select((F.col("i") == F.col("j")).alias("same"), "left", "right")
-        return both.mapInArrow(_compare_blocks(self.percent, self.errors), "a long, b long").distinct()
+            same = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 100 * same >= percent * (sizes[i] + sizes[j] - same):
+                found.append((i, j))
+                least[max(a, b)] = min(a, b)
+                roots[roots == max(a, b)] = min(a, b)
+    return found
+
+
+def _link(percent: int, width: int):
+    """Links of groups that come ordered by group, the hub before the other members."""
+
+    def settle(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        chunk = pa.Table.from_batches(rows).combine_chunks()
+        group, cls, block = (chunk.column(c).to_numpy() for c in ("group", "cls", "block"))
+        # Equal rows of the input bring a class twice.
+        once = np.ones(len(cls), bool)
+        once[1:] = (group[1:] != group[:-1]) | (cls[1:] != cls[:-1])
+        group, cls, block = group[once], cls[once], block[once]
+        sets = shingle_sets(*buffers(chunk.column("_text").filter(pa.array(once)).combine_chunks()), width)
+        cuts = np.flatnonzero(np.append(True, group[1:] != group[:-1])).tolist()
+        a, b = [], []
+        for x, y in zip(cuts, [*cuts[1:], len(cls)], strict=True):
+            for i, j in group_links(sets[x:y], block[x:y], percent):
+                a.append(cls[x + i])
+                b.append(cls[x + j])
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in slices(batches, "_text", CHUNK_BYTES):
+            if held and size >= CHUNK_BYTES:
+                same = int((batch.column("group").to_numpy() == held[-1].column("group")[-1].as_py()).cumprod().sum())
+                if same:
+                    held.append(batch.slice(0, same))
+                    batch = batch.slice(same)
+                if batch.num_rows:
+                    yield settle(held)
+                    held, size = [], 0
+            if batch.num_rows:
+                held.append(batch)
+                size += pa.compute.sum(pa.compute.binary_length(batch.column("_text"))).as_py()
+        if held:
+            yield settle(held)
+
+    return link
+
+
+def _groups(index: DataFrame, classes: DataFrame) -> DataFrame:
+    """Each bucket's hub, the class with the most copies, with all members: (hub, class) once.
+
+    Rows carry the block they are dealt to and the pair of blocks (as ``group``) they meet in.
+    """
+    hubs = index.groupBy("key").agg(F.max(F.struct("copies", (-F.col("cls")).alias("_neg"))).alias("h"))
+    pairs = index.join(hubs.select("key", (-F.col("h._neg")).alias("hub")), "key").select("hub", "cls").distinct()
+    members = pairs.join(classes.select("cls", "_rep", "_hash", "_bytes"), "cls")
+    sizes = members.groupBy("hub").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS), F.ceil(F.sum("_bytes") / BLOCK_BYTES)).alias("blocks")
+    )
+    dealt = members.join(sizes, "hub").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return met.select("hub", "cls", "_rep", "_hash", "block", F.xxhash64("hub", F.least("block", "other"), F.greatest("block", "other")).alias("group"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: str = "text", ident: str = "doc_id") -> DataFrame:
@@ -252,9 +216,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: st
     of five; each chunk gives a key for every position left out, so two signatures that differ
     in fewer than twice as many positions as there are chunks share a key for certain
     (pigeonhole). The number of chunks makes a pair at the threshold share no key with
-    probability 1e-6. Members of a bucket that are already connected need no comparison: hubs
-    are compared with all other members first, and only buckets that still hold several
-    components are compared in full, by blocks. Every link is confirmed on the full sets.
+    probability 1e-6. The members of all buckets with one hub form a group; in a task, a group
+    (large ones by pairs of blocks) gives only the links that connect its members, so no pairs
+    are written out. Every link is confirmed on the full sets.
 
     A text without words (or null) has an empty set and no link. A null id is linked with
     nothing, has a null component and is kept. Rows that share an id are one node: their links
@@ -265,35 +229,32 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: st
     chunks = n_chunks(percent)
     positions = chunks * CHUNK
     source = docs.select(F.col(ident).alias("_id"), F.col(text).alias("_text"), F.xxhash64(text).alias("_text_hash"))
-    schema = "_id long, _text_hash long, _n long, _sig binary, _set binary"
-    signed = written(source.mapInArrow(_sign("_text", ["_id", "_text_hash"], width, positions), schema), "signed")
+    sized = source.withColumn("_bytes", F.octet_length("_text"))
+    schema = "_id long, _text_hash long, _bytes int, _n long, _sig binary, _set binary"
+    signed = written(sized.mapInArrow(_sign("_text", ["_id", "_text_hash", "_bytes"], width, positions), schema), "signed")
     full = signed.where("_n > 0 and _id is not null")
     grouped = full.groupBy("_set").agg(
-        F.min(F.struct("_id", "_text_hash")).alias("_r"), F.count(F.lit(1)).alias("copies"), F.first("_sig").alias("_sig"), F.first("_n").alias("_n")
+        F.min(F.struct("_id", "_text_hash", "_bytes")).alias("_r"), F.count(F.lit(1)).alias("copies"), F.first("_sig").alias("_sig")
     )
     classes = written(
-        grouped.select("_set", F.col("_r._id").alias("_rep"), F.col("_r._text_hash").alias("_hash"), "copies", "_sig", "_n").withColumn(
+        grouped.select("_set", F.col("_r._id").alias("_rep"), F.col("_r._text_hash").alias("_hash"), F.col("_r._bytes").alias("_bytes"), "copies", "_sig").withColumn(
             "cls", F.monotonically_increasing_id()
         ),
         "classes",
     )
-    keys = classes.select("cls", "_sig").mapInArrow(_index(chunks), "key long, cls long")
+    keys = classes.select("cls", "copies", "_sig").mapInArrow(_index(chunks), "key long, cls long, copies long")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1").select("key")
     index = written(keys.join(shared, "key"), "index")
-    links = _Links(source, classes, index, percent, width, most_errors(positions, percent))
+    groups = _groups(index, classes)
+    with_text = source.join(groups, (F.col("_id") == F.col("_rep")) & (F.col("_text_hash") == F.col("_hash")))
+    # The hub stands first in its groups.
+    ordered = with_text.repartition("group").sortWithinPartitions("group", F.col("cls") != F.col("hub"), "cls")
+    links = written(ordered.select("group", "cls", "block", "_text").mapInArrow(_link(percent, width), "a long, b long"), "links")
     of_class = written(full.join(classes.select("_set", "cls"), "_set").select("_id", "cls"), "members")
     # Rows that share an id connect their classes.
-    confirmed = (
-        of_class.groupBy("_id").agg(F.min("cls").alias("a"), F.max("cls").alias("_hi")).where("a < _hi").join(of_class, "_id").select("a", F.col("cls").alias("b")).where("a <> b")
-    )
-    rank = classes.select("cls", F.col("copies").alias("rank"))
-    components = None
-    for _ in range(HUB_ROUNDS):
-        confirmed = confirmed.unionByName(links.confirm(links.hub_pairs(links.open_buckets(components), rank), filtered=False))
-        components = written(connected_components(confirmed), "components")
-        rank = confirmed.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count(F.lit(1)).alias("rank"))
-    confirmed = confirmed.unionByName(links.confirm(links.block_pairs(links.open_buckets(components)), filtered=True))
-    components = connected_components(confirmed).select(F.col("node").alias("cls"), "component")
+    several = of_class.groupBy("_id").agg(F.min("cls").alias("a"), F.max("cls").alias("_hi")).where("a < _hi")
+    links = links.unionByName(several.join(of_class, "_id").select("a", F.col("cls").alias("b")))
+    components = connected_components(links).select(F.col("node").alias("cls"), "component")
     named = classes.select("cls", "_set", "_rep").join(components, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     least = named.groupBy("component").agg(F.min("_rep").alias("_least"))
     by_set = named.join(least, "component").select("_set", "_least")
