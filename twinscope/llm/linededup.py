@@ -9,6 +9,8 @@ from twinscope.llm.components import written
 
 #: Hash bits of one word; sums of this many words can't leave 64 bits: 2**23.
 WORD_BITS = 40
+#: Bits of the map that keeps most lines without a near copy from being moved; as rows of 64.
+MAP_BITS = 1 << 24
 
 
 def normalised(line: Column) -> Column:
@@ -39,23 +41,39 @@ def _keys(words: Column) -> Column:
 
 
 def line_table(docs: DataFrame, text: str, ident: str, min_words: int) -> DataFrame:
-    """One row per line of ``min_words`` words at least: the line's hashes, its place and its words."""
+    """One row per line of ``min_words`` words at least: its hashes, its place, its text as compared."""
     lines = docs.select(F.col(ident).alias("id"), F.xxhash64(text).alias("body"), F.posexplode(F.split(text, "\n")).alias("line", "raw"))
-    words = F.split(normalised(F.col("raw")), " ")
     return (
-        lines.withColumn("words", words)
+        lines.withColumn("norm", normalised(F.col("raw")))
+        .withColumn("words", F.split("norm", " "))
         .where(F.size("words") >= min_words)
-        .select(F.struct("id", "body", "line").alias("place"), "words", _keys(F.col("words")).alias("k"))
-        .select("place", "words", "k.k1", "k.k2")
+        .select(F.struct("id", "body", "line").alias("place"), "norm", "words", _keys(F.col("words")).alias("k"))
+        .select("place", "norm", "words", "k.k1", "k.k2")
     )
 
 
+def _bit(key: str) -> tuple[Column, Column]:
+    """Row and bit of a key in the map."""
+    at = F.pmod(F.xxhash64(key), F.lit(MAP_BITS))
+    return F.expr(f"pmod(xxhash64({key}), {MAP_BITS}L) div 64"), F.pmod(at, F.lit(64)).cast("int")
+
+
+def _maybe_in(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose key is wanted, and few others: a map of ``MAP_BITS`` bits, whatever
+    the size of the tables, is sent to all tasks."""
+    row, bit = _bit(key)
+    bits = wanted.select(row.alias("_row"), F.expr(f"shiftleft(1L, cast(pmod(pmod(xxhash64({key}), {MAP_BITS}L), 64) as int))").alias("_one"))
+    rows = bits.groupBy("_row").agg(F.bit_or("_one").alias("_bits"))
+    # MAP_BITS / 64 rows at most.
+    return df.withColumns({"_row": row, "_at": bit}).join(F.broadcast(rows), "_row").where(F.expr("shiftrightunsigned(_bits, _at) & 1L") == 1).select(*df.columns)
+
+
 def _variants(candidates: DataFrame) -> DataFrame:
     """The deletion neighbourhood of each line: what stands before and after each word, and after
     each gap, as two hashes. Lines that share a variant are one word edit apart at most: a word
     replaced, put in or left out. Sums of word hashes by place from either end make each variant
     one addition; they run over the line's words by window, as a line may be very long."""
-    words = candidates.select("k1", "k2", "first", F.posexplode("words").alias("at", "word"), F.size("words").alias("n"))
+    words = candidates.select("k1", "k2", "first", F.posexplode(F.split("norm", " ")).alias("at", "word"), F.size(F.split("norm", " ")).alias("n"))
     front = lambda s: _word_hash(s, F.col("at"), F.col("word"))
     back = lambda s: _word_hash(s, F.col("n") - F.col("at"), F.col("word"))
     line = Window.partitionBy("k1", "k2").orderBy("at")
@@ -102,21 +120,22 @@ def repeated_lines(docs: DataFrame, text: str = "text", ident: str = "doc_id", m
     halves = [F.min(F.get("h", i)).alias(f"h{i}") for i in range(4)]
     firsts = written(distinct.groupBy("k1", "k2").agg(F.min("place").alias("first"), *halves), "lines")
     # Lines that share a half with another line.
-    half = firsts.select("k1", "k2", "first", F.explode(F.array(*[f"h{i}" for i in range(4)])).alias("h")).where("h is not null")
+    half = firsts.select("k1", F.explode(F.array(*[f"h{i}" for i in range(4)])).alias("h")).where("h is not null")
     shared = half.groupBy("h").agg(F.min("k1").alias("_a"), F.max("k1").alias("_b")).where("_a < _b").select("h")
-    wanted = half.join(shared, "h").select("k1", "k2", "first").distinct()
-    at_first = lines.withColumnRenamed("place", "first").select("first", "words")
-    same_place = [wanted["first"][c].eqNullSafe(at_first["first"][c]) for c in ("id", "body", "line")]
-    # Equal rows of the input have equal places: one of them is enough.
-    with_words = wanted.join(at_first, same_place[0] & same_place[1] & same_place[2]).select("k1", "k2", wanted["first"], "words").dropDuplicates(["k1", "k2"])
-    candidates = written(with_words, "candidates")
+    wanted = written(half.join(shared, "h").select("k1").distinct(), "wanted")
+    firsts_of = firsts.select("k1", "k2", "first").join(wanted, "k1")
+    texts = _maybe_in(lines.select("k1", "k2", "norm").where(F.size("words") >= min_edit_words), wanted, "k1")
+    # Equal lines have equal texts.
+    texts = texts.groupBy("k1", "k2").agg(F.min("norm").alias("norm"))
+    candidates = written(firsts_of.join(texts, ["k1", "k2"]), "candidates")
     variants = _variants(candidates)
     earliest = variants.groupBy("variant", "check").agg(F.min(F.struct("first", "k1", "k2")).alias("e"), F.max("first").alias("_last")).where(F.col("e.first") < F.col("_last"))
     pairs = variants.join(earliest, ["variant", "check"]).where(F.col("e.first") < F.col("first"))
     pairs = pairs.select("k1", "k2", F.col("e.first").alias("near"), F.col("e.k1").alias("e1"), F.col("e.k2").alias("e2")).distinct()
-    texts = candidates.select("k1", "k2", "words")
-    others = candidates.select(F.col("k1").alias("e1"), F.col("k2").alias("e2"), F.col("words").alias("other"))
-    verified = pairs.join(texts, ["k1", "k2"]).join(others, ["e1", "e2"]).where(_one_edit(F.col("words"), F.col("other")))
+    texts = candidates.select("k1", "k2", "norm")
+    others = candidates.select(F.col("k1").alias("e1"), F.col("k2").alias("e2"), F.col("norm").alias("other"))
+    both = pairs.join(texts, ["k1", "k2"]).join(others, ["e1", "e2"])
+    verified = both.where(_one_edit(F.split("norm", " "), F.split("other", " ")))
     near = verified.groupBy("k1", "k2").agg(F.min("near").alias("near"))
     least = firsts.select("k1", "k2", "first").join(near, ["k1", "k2"], "left").select("k1", "k2", F.least("first", "near").alias("least"))
     return lines.select("place", "k1", "k2").join(least, ["k1", "k2"]).where(F.col("least") < F.col("place")).select("place.*")
