@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -26,6 +27,7 @@ HEADLINE = [
     "feat_wratio",
     "feat_partial_ratio",
     "pair_features",
+    "pair_features_documents",
     "unique_questions",
     "vocabulary_index",
     "encode_docs",
@@ -47,6 +49,8 @@ def main() -> None:
         .appName("bench")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "12g")
+        # One machine: a local folder is shared by all tasks.
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="twinscope-bench-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -91,11 +91,11 @@ def with_readability(df: DataFrame, left: str, right: str) -> DataFrame:
     )
 
 
-def with_tfidf_cosine(df: DataFrame, left: str, right: str, max_features: int = 200) -> DataFrame:
+def with_tfidf_cosine(df: DataFrame, left: str, right: str, max_features: int | None = None) -> DataFrame:
     """Cosine of the two texts' TF-IDF vectors, fitted on the pair itself.
 
     Words of two or more word characters; smoothed inverse document frequency over
-    the two texts; the vocabulary keeps the ``max_features`` words most frequent in
+    the two texts; with ``max_features`` the vocabulary keeps the words most frequent in
     both texts together, ties in byte order.
     """
     kept = df.columns
@@ -109,7 +109,7 @@ def with_tfidf_cosine(df: DataFrame, left: str, right: str, max_features: int =
         F.col("_b_c2"),
         lambda x, b: F.struct((-(x["a"] + b)).alias("rank"), x["w"].alias("w"), x["a"].alias("a"), b.alias("b")),
     )
-    top = F.slice(F.sort_array(counted), F.lit(1), F.lit(max_features))
+    top = counted if max_features is None else F.slice(F.sort_array(counted), F.lit(1), F.lit(max_features))
     idf = lambda x: F.when((x["a"] > 0) & (x["b"] > 0), 1.0).otherwise(1.0 + F.log(F.lit(1.5)))
     zero = F.struct(*[F.lit(0.0).alias(n) for n in ("dot", "aa", "bb")])
 

@@ -55,16 +55,34 @@ def doc_texts(spark: SparkSession, d: str) -> DataFrame:
     return tables.text_table(spark, d, "documents").select("doc_id", "text")
 
 
+def lemmas(spark: SparkSession, d: str) -> DataFrame:
+    return lemma_table(tables.lexicon(spark, d))
+
+
+def cleaned_docs(spark: SparkSession, d: str) -> DataFrame:
+    """``(key, text)``: every document cleaned and lemmatised once, however many pairs it is in."""
+    docs = doc_texts(spark, d).where(F.col("text").isNotNull()).select(F.col("doc_id").alias("key"), text.normalise(F.col("text")).alias("text"))
+    return lemmatise(docs, "key", ["text"], lemmas(spark, d))
+
+
+def cleaned_messages(spark: SparkSession, d: str) -> DataFrame:
+    messages = tables.messages(spark, d).where(F.col("text").isNotNull()).select("key", text.normalise(F.col("text")).alias("text"))
+    return lemmatise(messages, "key", ["text"], lemmas(spark, d))
+
+
 def clean_docs(spark: SparkSession, d: str) -> DataFrame:
-    return features.clean_pairs(tables.document_pairs(spark, d), Q1, Q2, "id")
+    return tables.with_texts(tables.document_links(spark, d), cleaned_docs(spark, d))
 
 
 def clean_turns(spark: SparkSession, d: str) -> DataFrame:
-    return features.clean_pairs(tables.turn_pairs(spark, d), Q1, Q2, "id")
+    return tables.with_texts(tables.turn_links(spark, d), cleaned_messages(spark, d))
 
 
-def clean_next(spark: SparkSession, d: str) -> DataFrame:
-    return features.clean_pairs(tables.open_pairs(spark, d), Q1, Q2, "id")
+def clean_next(spark: SparkSession, d: str, drop_nulls: bool = True) -> DataFrame:
+    """Batch work drops pairs with a missing text; scoring keeps it as empty."""
+    how = "inner" if drop_nulls else "left"
+    pairs = tables.with_open_texts(tables.open_links(spark, d), cleaned_messages(spark, d), how)
+    return pairs if drop_nulls else pairs.na.fill("", [Q1, Q2])
 
 
 def without_text(df: DataFrame) -> DataFrame:
@@ -122,12 +140,13 @@ def word_vector_count(spark, d):
 
 @query
 def profile_row_count(spark, d):
-    return profile.row_count(tables.document_pairs(spark, d))
+    return profile.row_count(tables.document_links(spark, d))
 
 
 @query
 def profile_head(spark, d):
-    return profile.head(tables.document_pairs(spark, d), "id")
+    first = profile.head(tables.document_links(spark, d), "id")
+    return tables.with_texts(first, tables.documents_by_key(spark, d))
 
 
 @query
@@ -163,22 +182,22 @@ def identical_pairs(spark, d):
 
 @query
 def repeated_pairs(spark, d):
-    return profile.repeated_pairs(tables.document_pairs(spark, d), "qid1", "qid2")
+    return profile.repeated_pairs(tables.document_links(spark, d), "qid1", "qid2")
 
 
 @query
 def mirrored_pairs(spark, d):
-    return profile.mirrored_pairs(tables.document_pairs(spark, d), "id", "qid1", "qid2")
+    return profile.mirrored_pairs(tables.document_links(spark, d), "id", "qid1", "qid2")
 
 
 @query
 def distinct_qids(spark, d):
-    return profile.distinct_counts(tables.document_pairs(spark, d), ["qid1", "qid2"])
+    return profile.distinct_counts(tables.document_links(spark, d), ["qid1", "qid2"])
 
 
 @query
 def label_counts(spark, d):
-    return profile.label_counts(tables.document_pairs(spark, d), "is_duplicate", "id")
+    return profile.label_counts(tables.document_links(spark, d), "is_duplicate", "id")
 
 
 @query
@@ -188,34 +207,34 @@ def question_length_stats(spark, d):
 
 @query
 def class_balance(spark, d):
-    return rounded(profile.class_balance(tables.document_pairs(spark, d), "is_duplicate"), "pct_duplicate", "pct_not_duplicate")
+    return rounded(profile.class_balance(tables.document_links(spark, d), "is_duplicate"), "pct_duplicate", "pct_not_duplicate")
 
 
 @query
 def balanced_sample(spark, d):
-    pairs = without_text(tables.document_pairs(spark, d))
+    pairs = tables.document_links(spark, d)
     return sampling.sample_per_class(pairs, "is_duplicate", "id", {0: 100, 1: 100}, SEED)
 
 
 @query
 def stratified_sample(spark, d):
-    pairs = without_text(tables.document_pairs(spark, d))
+    pairs = tables.document_links(spark, d)
     return sampling.sample_per_class(pairs, "is_duplicate", "id", {0: 70, 1: 140}, SEED)
 
 
 @query
 def fraction_sample(spark, d):
-    return without_text(sampling.fraction_sample(tables.document_pairs(spark, d), 0.01, SEED))
+    return without_text(sampling.fraction_sample(tables.document_links(spark, d), 0.01, SEED))
 
 
 @query
 def hash_fraction_sample(spark, d):
-    return without_text(sampling.hash_fraction_sample(tables.document_pairs(spark, d), "id", 1, SEED))
+    return without_text(sampling.hash_fraction_sample(tables.document_links(spark, d), "id", 1, SEED))
 
 
 @query
 def drop_incomplete_features(spark, d):
-    kept_empty = features.clean_pairs(tables.open_pairs(spark, d), Q1, Q2, "id", drop_nulls=False)
+    kept_empty = clean_next(spark, d, drop_nulls=False)
     full = features.with_distances(kept_empty, Q1, Q2).select("id", "cosine_distance", "cityblock_distance")
     return rounded(profile.drop_incomplete(full), "cosine_distance", "cityblock_distance")
 
@@ -230,12 +249,13 @@ def feature_matrix(spark, d):
 
 @query
 def label_preview(spark, d):
-    return profile.label_preview(tables.document_pairs(spark, d), "is_duplicate", 1, "id")
+    first = profile.label_preview(tables.document_links(spark, d), "is_duplicate", 1, "id")
+    return tables.with_texts(first, tables.documents_by_key(spark, d))
 
 
 @query
 def label_values(spark, d):
-    return profile.label_values(tables.document_pairs(spark, d), "is_duplicate")
+    return profile.label_values(tables.document_links(spark, d), "is_duplicate")
 
 
 # --- text normalisation -----------------------------------------------------------
@@ -260,13 +280,12 @@ def norm_punct(spark, d):
 @query
 def norm_lemma(spark, d):
     docs = doc_texts(spark, d).select("doc_id", text.normalise("text").alias("text"))
-    return lemmatise(docs, "doc_id", ["text"], lemma_table(tables.lexicon(spark, d)))
+    return lemmatise(docs, "doc_id", ["text"], lemmas(spark, d))
 
 
 @query
 def clean_pairs(spark, d):
-    lemmas = lemma_table(tables.lexicon(spark, d))
-    out = features.clean_pairs(tables.turn_pairs(spark, d), Q1, Q2, "id", lemmas)
+    out = clean_turns(spark, d)
     return out.select("id", Q1, Q2)
 
 
@@ -365,8 +384,7 @@ def tfidf_cosine(spark, d):
 @query
 def pair_features(spark, d):
     """Full cleaning and all row-local features of adjacent messages."""
-    lemmas = lemma_table(tables.lexicon(spark, d))
-    cleaned = features.clean_pairs(tables.open_pairs(spark, d), Q1, Q2, "id", lemmas)
+    cleaned = clean_next(spark, d)
     out = features.pair_features(cleaned, Q1, Q2).select("id", "is_duplicate", *features.FEATURES)
     return rounded(out, "word_share", *features.bags.DISTANCES, "q1_readability_score", "q2_readability_score")
 
@@ -385,6 +403,10 @@ def turn_questions(spark: SparkSession, d: str) -> DataFrame:
     return joins.unique_questions(tables.turn_pairs(spark, d), "id", [("qid1", Q1), ("qid2", Q2)])
 
 
+def cleaned_questions(spark: SparkSession, d: str) -> DataFrame:
+    return joins.unique_questions(clean_turns(spark, d), "id", [("qid1", Q1), ("qid2", Q2)])
+
+
 def turn_corpus(spark: SparkSession, d: str) -> DataFrame:
     """``(id, doc)``: both cleaned sides of every turn pair."""
     return clean_turns(spark, d).select("id", "is_duplicate", corpus.combined(F.col(Q1), F.col(Q2)).alias("doc"))
@@ -407,7 +429,7 @@ def unique_questions(spark, d):
 
 @query
 def in_vocab_tokens(spark, d):
-    return joins.in_vocabulary(turn_questions(spark, d), "qid", "question", word_vectors(spark, d))
+    return joins.in_vocabulary(cleaned_questions(spark, d), "qid", "question", word_vectors(spark, d))
 
 
 @query
@@ -431,7 +453,7 @@ def embedding_lookup(spark, d):
 
 def nearest_words(spark: SparkSession, d: str) -> DataFrame:
     vectors = word_vectors(spark, d)
-    queries = joins.query_vectors(turn_questions(spark, d), "qid", "question", vectors)
+    queries = joins.query_vectors(cleaned_questions(spark, d), "qid", "question", vectors)
     return joins.nearest_word(queries, vectors, "qid")
 
 
@@ -442,7 +464,7 @@ def nearest_word(spark, d):
 
 @query
 def feat_word2vec_diff(spark, d):
-    pairs = tables.turn_pairs(spark, d).select("id", "qid1", "qid2")
+    pairs = tables.turn_links(spark, d).select("id", "qid1", "qid2")
     out = joins.similarity_gap(pairs, nearest_words(spark, d), "qid1", "qid2")
     return rounded(out.select("id", "word_2_vec_diff"), "word_2_vec_diff")
 
@@ -494,12 +516,12 @@ def overlap_table(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def train_test_split(spark, d):
-    return sampling.with_split(without_text(tables.document_pairs(spark, d)), "id", SEED).select("id", "split")
+    return sampling.with_split(tables.document_links(spark, d), "id", SEED).select("id", "split")
 
 
 @query
 def stratified_folds(spark, d):
-    pairs = without_text(tables.document_pairs(spark, d))
+    pairs = tables.document_links(spark, d)
     return sampling.with_folds(pairs, "is_duplicate", "id", 5, SEED).select("id", "is_duplicate", "fold")
 
 
@@ -512,7 +534,7 @@ def standardize(spark, d):
 
 @query
 def nan_to_num(spark, d):
-    kept_empty = features.clean_pairs(tables.open_pairs(spark, d), Q1, Q2, "id", drop_nulls=False)
+    kept_empty = clean_next(spark, d, drop_nulls=False)
     df = features.with_distances(features.with_word_overlap(kept_empty, Q1, Q2), Q1, Q2)
     odd = F.when(F.col("word_common") == 0, F.lit(float("inf"))).otherwise(F.col("word_share"))
     out = df.select("id", F.col("cosine_distance"), odd.alias("above"), (-odd).alias("below"))
@@ -585,11 +607,11 @@ def _model(name: str, fit: Callable[[DataFrame], object]) -> None:
 
 
 _model("model_logreg", lambda train: models.logistic(train.count()).fit(train))
-_model("model_logreg_l1", lambda train: models.fit_penalised(train, l1=True, folds=5, max_iter=25))
-_model("model_logreg_l2", lambda train: models.fit_penalised(train, l1=False, folds=5, max_iter=25))
+_model("model_logreg_l1", lambda train: models.fit_penalised(train, l1=True))
+_model("model_logreg_l2", lambda train: models.fit_penalised(train, l1=False))
 _model("model_linear_svm", models.fit_linear_svm)
 _model("model_decision_tree", lambda train: models.decision_tree().fit(train))
-_model("model_random_forest", lambda train: models.random_forest(trees=100).fit(train))
+_model("model_random_forest", lambda train: models.random_forest(trees=300).fit(train))
 for _net, _hidden in models.NETS.items():
     _model(f"model_{_net}", lambda train, hidden=_hidden: models.perceptron(N_FEATURES, hidden).fit(train))
 
@@ -606,32 +628,32 @@ def model_bernoulli_nb(spark, d):
 @query
 def cv_mlp(spark, d):
     train, _ = turn_training(spark, d)
-    return models.compare_nets(train, N_FEATURES, models.NETS, max_iter=30)
+    return models.compare_nets(train, N_FEATURES, models.NETS)
 
 
 @query
 def sweep_mlp_iters(spark, d):
     train, _ = turn_training(spark, d)
-    return models.search_net(train, N_FEATURES, models.NETS["mlp_2"], {"maxIter": [100, 200], "blockSize": [64, 128]}, folds=3)
+    return models.search_net(train, N_FEATURES, models.NETS["mlp_2"], {"maxIter": [100, 200], "blockSize": [64, 128]})
 
 
 @query
 def sweep_mlp_solver(spark, d):
     train, _ = turn_training(spark, d)
-    return models.search_net(train, N_FEATURES, models.NETS["mlp_2"], {"solver": ["l-bfgs", "gd"], "maxIter": [50]}, folds=3)
+    return models.search_net(train, N_FEATURES, models.NETS["mlp_2"], {"solver": ["l-bfgs", "gd"], "maxIter": [100]})
 
 
 @query
 def grid_mlp(spark, d):
     train, _ = turn_training(spark, d)
-    return models.search_net(train, N_FEATURES, models.NETS["mlp_2"], {"maxIter": [20, 50], "stepSize": [0.03, 0.1]}, folds=5)
+    return models.search_net(train, N_FEATURES, models.NETS["mlp_2"], {"maxIter": [50, 100], "stepSize": [0.03, 0.1]})
 
 
 @query
 def grid_logreg(spark, d):
     train, _ = turn_training(spark, d)
     n = train.count()
-    estimator = models.logistic(n, max_iter=50)
+    estimator = models.logistic(n)
     grid = models.penalised_grid(estimator, n, [0.5, 1.0, 2.0], [True, False])
     fitted = models.cross_validated(estimator, grid, models.folded(train, 5), 5)
     return models.cv_summary(train, fitted, grid)
@@ -647,7 +669,7 @@ def training_history(spark, d):
 def model_text_embed(spark, d):
     """Classifiers on flattened word embeddings: none, one and two hidden layers."""
     padded, length = padded_turns(spark, d)
-    labels = tables.turn_pairs(spark, d).select("id", F.col("is_duplicate").cast("double").alias("label"))
+    labels = tables.turn_links(spark, d).select("id", F.col("is_duplicate").cast("double").alias("label"))
     path = scratch_path(spark, "embedded")
     embedded = corpus.embedded(padded, "id", "seq", word_vectors(spark, d), DIM).select("id", "features")
     embedded.join(labels, "id").write.parquet(path)
@@ -667,7 +689,7 @@ def model_text_embed(spark, d):
 def model_roundtrip(spark, d):
     """Predictions before and after saving the scorer."""
     table = turn_features(spark, d)
-    model = scoring.fit_scorer(table, "is_duplicate", trees=20)
+    model = scoring.fit_scorer(table, "is_duplicate")
     path = scratch_path(spark, "model")
     models.save_model(model, path)
     ready = prepare.repair(table, features.FEATURES)
@@ -678,9 +700,9 @@ def model_roundtrip(spark, d):
 
 @query
 def score_batch(spark, d):
-    model = scoring.fit_scorer(turn_features(spark, d), "is_duplicate", trees=50)
+    model = scoring.fit_scorer(turn_features(spark, d), "is_duplicate")
     requests = tables.open_pairs(spark, d).select("id", Q1, Q2)
-    return scoring.score_pairs(requests, model)
+    return scoring.score_pairs(requests, model, lemmas=lemmas(spark, d))
 
 
 @query
@@ -689,21 +711,24 @@ def score_stream(spark, d):
     source, sink, state = (scratch_path(spark, n) for n in ("requests", "features", "state"))
     tables.open_pairs(spark, d).select("id", Q1, Q2).write.parquet(source)
 
+    known = lemmas(spark, d)
+
     def featurise(df: DataFrame) -> DataFrame:
-        cleaned = features.clean_pairs(df, Q1, Q2, "id", drop_nulls=False)
+        cleaned = features.clean_pairs(df, Q1, Q2, "id", known, drop_nulls=False)
         full = features.with_distances(features.with_word_overlap(cleaned, Q1, Q2), Q1, Q2)
         return full.select("id", "words_diff_q1_q2", "word_common", "word_total", "word_share", "cosine_distance", "cityblock_distance")
 
-    stream.run_available(stream.read_requests(spark, source), featurise, sink, state).awaitTermination()
-    return rounded(spark.read.parquet(sink), "word_share", "cosine_distance", "cityblock_distance")
+    stream.run_batches(stream.read_requests(spark, source), featurise, sink, state).awaitTermination()
+    return rounded(spark.read.parquet(sink).drop("batch"), "word_share", "cosine_distance", "cityblock_distance")
 
 
 @query
 def score_stream_predictions(spark, d):
     """Batch-trained forest applied to a stream of requests."""
     source, sink, state = (scratch_path(spark, n) for n in ("requests", "scores", "state"))
-    model = scoring.fit_scorer(turn_features(spark, d), "is_duplicate", trees=50)
+    model = scoring.fit_scorer(turn_features(spark, d), "is_duplicate")
     tables.open_pairs(spark, d).select("id", Q1, Q2).write.parquet(source)
     requests = stream.read_requests(spark, source)
-    stream.run_available(requests, lambda df: scoring.score_pairs(df, model), sink, state).awaitTermination()
-    return spark.read.parquet(sink)
+    known = lemmas(spark, d)
+    stream.run_batches(requests, lambda df: scoring.score_pairs(df, model, lemmas=known), sink, state).awaitTermination()
+    return spark.read.parquet(sink).drop("batch")

@@ -88,7 +88,7 @@ def decision_tree(seed: int = 99) -> DecisionTreeClassifier:
     return DecisionTreeClassifier(maxDepth=30, seed=seed)
 
 
-def random_forest(trees: int = 1000, seed: int = 99, max_depth: int = 15) -> RandomForestClassifier:
+def random_forest(trees: int = 1000, seed: int = 99, max_depth: int = 30) -> RandomForestClassifier:
     return RandomForestClassifier(
         numTrees=trees, maxDepth=max_depth, featureSubsetStrategy="sqrt", seed=seed
     )

@@ -50,6 +50,33 @@ def words(c: str) -> str:
     return f"list_filter(string_split({c}, ' '), lambda w: w <> '')"
 
 
+# --- lemmas ------------------------------------------------------------------------
+
+LEXICON = f"""
+lexicon AS MATERIALIZED (SELECT w AS word FROM (SELECT unnest({words('t')}) AS w FROM (SELECT {normalised('text')} AS t FROM documents))
+  GROUP BY w HAVING count(*) >= 2)"""
+
+_RULES = ", ".join(
+    f"CASE WHEN ends_with(w, {lit(s)}) THEN left(w, length(w) - {len(s)}) || {lit(b)} END" for s, b in SUFFIX_RULES
+)
+
+
+def lemmas(texts: str) -> str:
+    """``lemma(w, lemma)`` for the distinct words of a column ``t`` of a relation."""
+    return f"""
+vocab AS (SELECT DISTINCT unnest({words('t')}) AS w FROM {texts}),
+forms AS (SELECT w, unnest([w, {_RULES}]) AS f FROM vocab),
+lemma AS MATERIALIZED (SELECT w, arg_min(f, (length(f), f)) AS lemma FROM forms JOIN lexicon ON f = word GROUP BY w)"""
+
+
+def lemmatised(relation: str, key: str, column: str, alias: str) -> str:
+    return f"""
+{alias} AS MATERIALIZED (SELECT r.{key}, coalesce(x.t, '') AS t FROM {relation} r LEFT JOIN (
+    SELECT {key}, string_agg(coalesce(lemma, p.w), ' ' ORDER BY pos) AS t
+    FROM (SELECT {key}, unnest({words(column)}) AS w, generate_subscripts({words(column)}, 1) AS pos FROM {relation}) p
+    LEFT JOIN lemma USING (w) GROUP BY {key}) x USING ({key}))"""
+
+
 # --- pair tables -------------------------------------------------------------------
 
 DOC = """
@@ -63,10 +90,22 @@ links AS (
 pairs AS (SELECT id, qid1, qid2, x.text AS question1, y.text AS question2, (x.ending = y.ending)::INT AS is_duplicate
   FROM links JOIN d x ON x.doc_id = qid1 JOIN d y ON y.doc_id = qid2)"""
 
-DOC_CLEAN = DOC + f""",
-nd AS MATERIALIZED (SELECT doc_id, {normalised('text')} AS t FROM documents),
+DOC_CLEAN = (
+    DOC
+    + f""",
+nd AS MATERIALIZED (SELECT doc_id, {normalised('text')} AS t FROM documents WHERE text IS NOT NULL),"""
+    + LEXICON + "," + lemmas("nd") + "," + lemmatised("nd", "doc_id", "t", "ld")
+    + """,
 cleaned AS MATERIALIZED (SELECT id, is_duplicate, x.t AS q1, y.t AS q2
-  FROM pairs JOIN nd x ON x.doc_id = qid1 JOIN nd y ON y.doc_id = qid2)"""
+  FROM pairs JOIN ld x ON x.doc_id = qid1 JOIN ld y ON y.doc_id = qid2)"""
+)
+
+#: Every message, cleaned and lemmatised.
+MESSAGES = (
+    f"""
+nm AS MATERIALIZED (SELECT conv_id * 10000 + turn AS m, {normalised('text')} AS t FROM conversations WHERE text IS NOT NULL),"""
+    + LEXICON + "," + lemmas("nm") + "," + lemmatised("nm", "m", "t", "lm")
+)
 
 TURN = """
 pairs AS (SELECT a.conv_id * 100000 + a.turn * 10 + (b.turn - a.turn) AS id,
@@ -74,8 +113,8 @@ pairs AS (SELECT a.conv_id * 100000 + a.turn * 10 + (b.turn - a.turn) AS id,
     a.text AS question1, b.text AS question2, (a.role = b.role)::INT AS is_duplicate
   FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn IN (a.turn + 1, a.turn + 2))"""
 
-TURN_CLEAN = TURN + f""",
-cleaned AS MATERIALIZED (SELECT id, is_duplicate, {normalised('question1')} AS q1, {normalised('question2')} AS q2 FROM pairs)"""
+TURN_CLEAN = TURN + "," + MESSAGES + """,
+cleaned AS MATERIALIZED (SELECT id, is_duplicate, x.t AS q1, y.t AS q2 FROM pairs JOIN lm x ON x.m = qid1 JOIN lm y ON y.m = qid2)"""
 
 OPEN = """
 pairs AS (SELECT c * 10000 + pos AS id, c * 10000 + pos AS qid1, c * 10000 + pos + 1 AS qid2, question1, question2,
@@ -84,50 +123,12 @@ pairs AS (SELECT c * 10000 + pos AS id, c * 10000 + pos AS qid1, c * 10000 + pos
       r.text AS question2, l.role AS r1, r.role AS r2
     FROM conversations l FULL JOIN conversations r ON r.conv_id = l.conv_id AND r.turn = l.turn + 1))"""
 
-OPEN_CLEAN = OPEN + f""",
-cleaned AS MATERIALIZED (SELECT id, is_duplicate, {normalised('question1')} AS q1, {normalised('question2')} AS q2
-  FROM pairs WHERE question1 IS NOT NULL AND question2 IS NOT NULL)"""
-
-OPEN_FILLED = OPEN + f""",
-cleaned AS MATERIALIZED (SELECT id, is_duplicate, {normalised('question1')} AS q1, {normalised('question2')} AS q2 FROM pairs)"""
-
-LEXICON = f"""
-lexicon AS MATERIALIZED (SELECT w AS word FROM (SELECT unnest({words('t')}) AS w FROM (SELECT {normalised('text')} AS t FROM documents))
-  GROUP BY w HAVING count(*) >= 2)"""
-
-_RULES = ", ".join(
-    f"CASE WHEN ends_with(w, {lit(s)}) THEN left(w, length(w) - {len(s)}) || {lit(b)} END" for s, b in SUFFIX_RULES
-)
-
-
-def lemmas(texts: str) -> str:
-    """``lemma(w, lemma)`` for the distinct words of a column ``t`` of a relation."""
-    return f"""
-vocab AS (SELECT DISTINCT unnest({words('t')}) AS w FROM {texts}),
-forms AS (SELECT w, unnest([w, {_RULES}]) AS f FROM vocab),
-lemma AS MATERIALIZED (SELECT w, arg_min(f, (length(f), f)) AS lemma FROM forms JOIN lexicon ON f = word GROUP BY w)"""
-
-
-def lemmatised(relation: str, key: str, column: str, alias: str) -> str:
-    return f"""
-{alias} AS MATERIALIZED (SELECT r.{key}, coalesce(x.t, '') AS t FROM {relation} r LEFT JOIN (
-    SELECT {key}, string_agg(coalesce(lemma, p.w), ' ' ORDER BY pos) AS t
-    FROM (SELECT {key}, unnest({words(column)}) AS w, generate_subscripts({words(column)}, 1) AS pos FROM {relation}) p
-    LEFT JOIN lemma USING (w) GROUP BY {key}) x USING ({key}))"""
-
-
-LEMMA_PAIRS = (
-    LEXICON
-    + ","
-    + lemmas("(SELECT q1 AS t FROM cleaned UNION ALL SELECT q2 FROM cleaned)")
-    + ","
-    + lemmatised("cleaned", "id", "q1", "l1")
-    + ","
-    + lemmatised("cleaned", "id", "q2", "l2")
-    + """,
-lemmatised AS MATERIALIZED (SELECT id, is_duplicate, l1.t AS q1, l2.t AS q2 FROM cleaned JOIN l1 USING (id) JOIN l2 USING (id))"""
-)
+OPEN_CLEAN = OPEN + "," + MESSAGES + """,
+cleaned AS MATERIALIZED (SELECT id, is_duplicate, x.t AS q1, y.t AS q2 FROM pairs JOIN lm x ON x.m + 1 = qid1 JOIN lm y ON y.m + 1 = qid2)"""
 
+OPEN_FILLED = OPEN + "," + MESSAGES + """,
+cleaned AS MATERIALIZED (SELECT id, is_duplicate, coalesce(x.t, '') AS q1, coalesce(y.t, '') AS q2
+  FROM pairs LEFT JOIN lm x ON x.m + 1 = qid1 LEFT JOIN lm y ON y.m + 1 = qid2)"""
 
 def sql(name: str, ctes: str, body: str, recursive: bool = False) -> None:
     SQL[name] = f"WITH {'RECURSIVE ' if recursive else ''}{ctes}\n{body}" if ctes else body
@@ -205,7 +206,7 @@ sql(
     f"nd AS MATERIALIZED (SELECT doc_id, {normalised('text')} AS t FROM documents)," + LEXICON + "," + lemmas("nd") + "," + lemmatised("nd", "doc_id", "t", "l"),
     "SELECT doc_id, t AS text FROM l",
 )
-sql("clean_pairs", TURN_CLEAN + "," + LEMMA_PAIRS, "SELECT id, q1 AS question1, q2 AS question2 FROM lemmatised")
+sql("clean_pairs", TURN_CLEAN, "SELECT id, q1 AS question1, q2 AS question2 FROM cleaned")
 STOP = "[" + ", ".join(lit(w) for w in STOP_WORDS) + "]"
 sql(
     "norm_stopwords", "",
@@ -297,7 +298,7 @@ sql(
 tw AS (SELECT id, 1 AS side, unnest({_TW('q1')}) AS w FROM cleaned UNION ALL SELECT id, 2, unnest({_TW('q2')}) FROM cleaned),
 tc AS (SELECT id, w, count(*) FILTER (side = 1) AS a, count(*) FILTER (side = 2) AS b FROM tw GROUP BY id, w),
 tr AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY a + b DESC, w) AS rn FROM tc),
-ti AS (SELECT id, a * idf AS x, b * idf AS y FROM (SELECT *, CASE WHEN a > 0 AND b > 0 THEN 1.0::DOUBLE ELSE 1.0 + ln(1.5::DOUBLE) END AS idf FROM tr WHERE rn <= 200)),
+ti AS (SELECT id, a * idf AS x, b * idf AS y FROM (SELECT *, CASE WHEN a > 0 AND b > 0 THEN 1.0::DOUBLE ELSE 1.0 + ln(1.5::DOUBLE) END AS idf FROM tr)),
 ts AS (SELECT id, sum(x * y) AS dot, sqrt(sum(x * x)) * sqrt(sum(y * y)) AS norm FROM ti GROUP BY id)""",
     f"SELECT id, {r6('CASE WHEN coalesce(norm, 0) > 0 THEN dot / norm ELSE 0 END')} AS tfidf_cosine FROM cleaned LEFT JOIN ts USING (id)",
 )
@@ -421,8 +422,8 @@ for _key, _name in {
 _ALL_KERNELS = list(TASKS)
 sql(
     "pair_features",
-    OPEN_CLEAN + "," + LEMMA_PAIRS + "," + overlap("lemmatised") + "," + vectors("lemmatised") + "," + DIST + ","
-    + ngrams(2, "common_bigrams", "lemmatised") + "," + ngrams(3, "common_trigrams", "lemmatised") + "," + fuzzy("lemmatised") + "," + kernels(*_ALL_KERNELS),
+    OPEN_CLEAN + "," + overlap() + "," + vectors() + "," + DIST + ","
+    + ngrams(2, "common_bigrams") + "," + ngrams(3, "common_trigrams") + "," + fuzzy() + "," + kernels(*_ALL_KERNELS),
     "SELECT fz.id, o.is_duplicate, words_diff_q1_q2, word_common, word_total, " + r6("word_share") + " AS word_share, "
     + ", ".join(f"{r6(n)} AS {n}" for n in DISTANCES) + ", "
     + ", ".join(f"({FUZZY[n][0]})::BIGINT AS {n}" for n in SCORES)
@@ -436,8 +437,8 @@ sql(
 QUESTIONS = TURN + """,
 questions AS MATERIALIZED (SELECT qid, arg_min(q, (id, side)) AS question
   FROM (SELECT id, 0 AS side, qid1 AS qid, question1 AS q FROM pairs UNION ALL SELECT id, 1, qid2, question2 FROM pairs) GROUP BY qid)"""
-CORPUS = f"""
-cleaned AS MATERIALIZED (SELECT id, {normalised('question1')} AS q1, {normalised('question2')} AS q2 FROM pairs),
+CORPUS = f"""{MESSAGES},
+cleaned AS MATERIALIZED (SELECT id, qid1, qid2, x.t AS q1, y.t AS q2 FROM pairs JOIN lm x ON x.m = qid1 JOIN lm y ON y.m = qid2),
 corpus AS MATERIALIZED (SELECT id, q1 || ' ' || q2 AS doc FROM cleaned)"""
 VOCAB = f"""
 cw AS (SELECT id, unnest({sequence('doc')}) AS word, generate_subscripts({sequence('doc')}, 1) AS pos FROM corpus),
@@ -448,7 +449,9 @@ store AS MATERIALIZED (SELECT word, idx, freq, {VEC} AS vector FROM voc JOIN emb
 sql("unique_questions", QUESTIONS, "SELECT qid, question FROM questions")
 QW = f"""
 qw AS MATERIALIZED (SELECT qid, word, count(*) AS n FROM (SELECT qid, unnest({sequence('question')}) AS word FROM questions) SEMI JOIN store USING (word) GROUP BY qid, word)"""
-WITH_STORE = QUESTIONS + "," + CORPUS + "," + VOCAB + "," + STORE
+WITH_STORE = TURN + "," + CORPUS + """,
+questions AS MATERIALIZED (SELECT qid, arg_min(q, (id, side)) AS question
+  FROM (SELECT id, 0 AS side, qid1 AS qid, q1 AS q FROM cleaned UNION ALL SELECT id, 1, qid2, q2 FROM cleaned) GROUP BY qid),""" + VOCAB + "," + STORE
 sql("in_vocab_tokens", WITH_STORE + "," + QW, "SELECT qid, word, n FROM qw")
 sql(
     "incremental_questions", QUESTIONS,

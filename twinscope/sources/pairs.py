@@ -53,15 +53,17 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_word_vectors(spark: SparkSession, path: str) -> DataFrame:
-    """``word v1 .. vn`` per line."""
+def read_word_vectors(spark: SparkSession, path: str, dim: int | None = None) -> DataFrame:
+    """``word v1 .. vn`` per line.
+
+    Lines that hold something else than numbers after the word are skipped, and so are lines
+    without any number; with ``dim`` also those of another length, such as a header line.
+    """
     parts = F.split("value", " ")
-    return spark.read.text(path).select(
-        F.element_at(parts, 1).alias("word"),
-        F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), lambda x: x.cast("float")).alias(
-            "vector"
-        ),
-    )
+    numbers = F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), lambda x: x.try_cast("float"))
+    vectors = spark.read.text(path).select(F.element_at(parts, 1).alias("word"), numbers.alias("vector"))
+    whole = (F.size("vector") > 0) & F.forall("vector", lambda x: x.isNotNull())
+    return vectors.where(whole if dim is None else whole & (F.size("vector") == dim))
 
 
 def write_word_vectors(df: DataFrame, path: str) -> None:

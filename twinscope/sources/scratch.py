@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+def _home(spark: SparkSession) -> str:
+    """The user's folder on the session's default file system, which all executors reach."""
+    jvm = spark.sparkContext._jvm
+    files = jvm.org.apache.hadoop.fs.FileSystem.get(spark.sparkContext._jsc.hadoopConfiguration())
+    return f"{files.getHomeDirectory().toString().rstrip('/')}/.twinscope"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a local one only if unset."""
+    """The folder the cluster names in ``spark.checkpoint.dir``; if unset, one under the home
+    folder of the default file system."""
     context = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if base is None:
-        base = tempfile.mkdtemp(prefix="twinscope-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir() or _home(spark)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(base)
     return base

@@ -7,7 +7,7 @@ other, only each with the first of its group.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinscope.functions import text
@@ -19,20 +19,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows are costly to process, spread if it has fewer files than cores."""
+    """A table whose rows are costly to process, in even parts."""
     df = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return repartitioned(df, cores) if len(df.inputFiles()) < cores else df
+    return repartitioned(df, max(spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions()))
 
 
-def document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def with_texts(links: DataFrame, texts: DataFrame, how: str = "inner") -> DataFrame:
+    """Put the texts ``(key, text)`` of both sides to narrow pairs ``(id, qid1, qid2, is_duplicate)``.
+
+    A much-copied document leaves its pairs in one task; the stages that follow cost far more
+    than moving the rows once, and joins on the pair id reuse the layout.
+    """
+    for side in ("1", "2"):
+        own = texts.select(F.col("key").alias(f"qid{side}"), F.col("text").alias(f"question{side}"))
+        links = links.join(own, f"qid{side}", how)
+    return spread_by(links.select("id", "qid1", "qid2", "question1", "question2", "is_duplicate"), "id")
+
+
+def document_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with the next one, and with the first document that shares its
-    first line, its last line, or its whole text. Duplicates end in the same line."""
+    first line, its last line, or its whole text. Duplicates end in the same line.
+    Only ids and digests are moved."""
     docs = table(spark, sf_dir, "documents").select(
         "doc_id",
-        "text",
-        F.lower(F.split_part("text", F.lit("\n"), F.lit(1))).alias("opening"),
-        F.lower(F.split_part("text", F.lit("\n"), F.lit(-1))).alias("ending"),
+        F.md5(F.lower(F.split_part("text", F.lit("\n"), F.lit(1)))).alias("opening"),
+        F.md5(F.lower(F.split_part("text", F.lit("\n"), F.lit(-1)))).alias("ending"),
         F.md5("text").alias("digest"),
     )
 
@@ -55,57 +66,80 @@ def document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("digest", 3, "qid1", "qid2"),
     ):
         pairs = pairs.unionByName(with_first(group, slot, doc_side, first_side))
-    side1 = docs.select(F.col("doc_id").alias("qid1"), F.col("text").alias("question1"), F.col("ending").alias("e1"))
-    side2 = docs.select(F.col("doc_id").alias("qid2"), F.col("text").alias("question2"), F.col("ending").alias("e2"))
-    found = pairs.join(side1, "qid1").join(side2, "qid2").select(
-        "id", "qid1", "qid2", "question1", "question2", (F.col("e1") == F.col("e2")).cast("int").alias("is_duplicate")
+    side1 = docs.select(F.col("doc_id").alias("qid1"), F.col("ending").alias("e1"))
+    side2 = docs.select(F.col("doc_id").alias("qid2"), F.col("ending").alias("e2"))
+    return pairs.join(side1, "qid1").join(side2, "qid2").select(
+        "id", "qid1", "qid2", (F.col("e1") == F.col("e2")).cast("int").alias("is_duplicate")
     )
-    # A much-copied document leaves its pairs in one task; the stages that follow cost
-    # far more than moving the rows once, and joins on the pair id reuse this layout.
-    return spread_by(found, "id")
 
 
-def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def documents_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("key"), "text")
+
+
+def document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_texts(document_links(spark, sf_dir), documents_by_key(spark, sf_dir))
+
+
+#: Turns of a conversation that have a message number of their own.
+MOST_TURNS = 10_000
+
+
+def _numbered(number: Column) -> Column:
+    """The number, if its turn leaves room for it: colliding ids would multiply rows silently."""
+    fits = F.col("turn").between(0, MOST_TURNS - 1)
+    return F.when(fits, number).otherwise(F.raise_error(F.lit(f"a turn is not in 0 to {MOST_TURNS - 1}")).cast("long"))
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message with its number as ``key``."""
+    rows = text_table(spark, sf_dir, "conversations")
+    return rows.select(_numbered(F.col("conv_id") * MOST_TURNS + F.col("turn")).alias("key"), "conv_id", "turn", "role", "text")
+
+
+def turn_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each message with the next and the next but one of its conversation.
     Duplicates come from the same role."""
-    messages = text_table(spark, sf_dir, "conversations")
-    first = messages.select(
-        "conv_id",
-        "turn",
-        F.col("role").alias("r1"),
-        F.col("text").alias("question1"),
-        F.explode(F.array(F.lit(1), F.lit(2))).alias("step"),
-    ).withColumn("turn2", F.col("turn") + F.col("step"))
-    second = messages.select(
-        "conv_id", F.col("turn").alias("turn2"), F.col("role").alias("r2"), F.col("text").alias("question2")
-    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    first = rows.select("conv_id", "turn", F.col("role").alias("r1"), F.explode(F.array(F.lit(1), F.lit(2))).alias("step"))
+    first = first.withColumn("turn2", F.col("turn") + F.col("step"))
+    second = rows.select("conv_id", F.col("turn").alias("turn2"), F.col("role").alias("r2"))
     return first.join(second, ["conv_id", "turn2"]).select(
-        (F.col("conv_id") * 100000 + F.col("turn") * 10 + F.col("step")).alias("id"),
-        (F.col("conv_id") * 10000 + F.col("turn")).alias("qid1"),
-        (F.col("conv_id") * 10000 + F.col("turn2")).alias("qid2"),
-        "question1",
-        "question2",
+        _numbered(F.col("conv_id") * (10 * MOST_TURNS) + F.col("turn") * 10 + F.col("step")).alias("id"),
+        (F.col("conv_id") * MOST_TURNS + F.col("turn")).alias("qid1"),
+        (F.col("conv_id") * MOST_TURNS + F.col("turn2")).alias("qid2"),
         (F.col("r1") == F.col("r2")).cast("int").alias("is_duplicate"),
     )
 
 
-def open_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_texts(turn_links(spark, sf_dir), messages(spark, sf_dir).select("key", "text"))
+
+
+def open_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each message with the next one, including before the first and after the last
-    of a conversation, where one side has no text."""
-    messages = table(spark, sf_dir, "conversations")
-    left = messages.select("conv_id", (F.col("turn") + 1).alias("at"), F.col("role").alias("r1"), F.col("text").alias("question1"))
-    right = messages.select("conv_id", F.col("turn").alias("at"), F.col("role").alias("r2"), F.col("text").alias("question2"))
-    keys = ("conv_id", "at")
-    return spread_by(left, *keys).join(spread_by(right, *keys), list(keys), "full").select(
-        (F.col("conv_id") * 10000 + F.col("at")).alias("id"),
-        (F.col("conv_id") * 10000 + F.col("at")).alias("qid1"),
-        (F.col("conv_id") * 10000 + F.col("at") + 1).alias("qid2"),
-        "question1",
-        "question2",
+    of a conversation, where one side has no text. Message numbers here begin at 1: each
+    side's number is that of the place in the pair."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    left = rows.select("conv_id", (F.col("turn") + 1).alias("at"), F.col("role").alias("r1"))
+    right = rows.select("conv_id", F.col("turn").alias("at"), F.col("role").alias("r2"))
+    return left.join(right, ["conv_id", "at"], "full").select(
+        (F.col("conv_id") * MOST_TURNS + F.col("at")).alias("id"),
+        (F.col("conv_id") * MOST_TURNS + F.col("at")).alias("qid1"),
+        (F.col("conv_id") * MOST_TURNS + F.col("at") + 1).alias("qid2"),
         F.coalesce((F.col("r1") == F.col("r2")).cast("int"), F.lit(0)).alias("is_duplicate"),
     )
 
 
+def with_open_texts(links: DataFrame, texts: DataFrame, how: str = "left") -> DataFrame:
+    """``with_texts`` for ``open_links``: the sides' messages have the numbers before theirs."""
+    return with_texts(links, texts.select((F.col("key") + 1).alias("key"), "text"), how)
+
+
+def open_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_open_texts(open_links(spark, sf_dir), messages(spark, sf_dir).select("key", "text"))
+
+
 def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that occur at least twice in the documents."""
     words = text_table(spark, sf_dir, "documents").select(
