@@ -22,34 +22,41 @@ def _word_hash(seed: int, place: Column, word: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), place, word), 64 - WORD_BITS)
 
 
-def _half_keys(words: Column) -> Column:
-    """Hashes of a beginning and an end of a line: lines one word edit apart share one.
+def _half_keys(norm: Column, n: Column) -> Column:
+    """Hashes of a beginning and an end of a line of n words: lines one word edit apart share one.
 
     An edit lies after the first h words or before the last h, for any h up to half of what is
     left without the edited word; as lengths may differ by one, the h of one word less is used too.
     """
-    n = F.size(words)
     half = lambda k: F.floor((n - k) / 2).cast("int")
-    begin = lambda h: F.xxhash64(F.lit(0), h, F.slice(words, F.lit(1), h))
-    end = lambda h: F.xxhash64(F.lit(1), h, F.slice(words, n - h + 1, h))
-    return F.array_distinct(F.array(begin(half(1)), end(half(1)), begin(half(2)), end(half(2))))
+    begin = lambda h: F.xxhash64(h, F.call_function("substring_index", norm, F.lit(" "), h))
+    end = lambda h: F.xxhash64(-h, F.call_function("substring_index", norm, F.lit(" "), -h))
+    return F.array(begin(half(1)), end(half(1)), F.when(n % 2 == 1, begin(half(2))), F.when(n % 2 == 1, end(half(2))))
 
 
-def _keys(words: Column) -> Column:
-    """Two 64-bit hashes of a line."""
-    return F.struct(F.xxhash64(F.lit(2), words).alias("k1"), F.xxhash64(F.lit(3), words).alias("k2"))
+def _words(norm: Column) -> Column:
+    return F.length(norm) - F.length(F.replace(norm, F.lit(" "))) + 1
 
 
-def line_table(docs: DataFrame, text: str, ident: str, min_words: int) -> DataFrame:
-    """One row per line of ``min_words`` words at least: its hashes, its place, its text as compared."""
-    lines = docs.select(F.col(ident).alias("id"), F.xxhash64(text).alias("body"), F.posexplode(F.split(text, "\n")).alias("line", "raw"))
-    return (
-        lines.withColumn("norm", normalised(F.col("raw")))
-        .withColumn("words", F.split("norm", " "))
-        .where(F.size("words") >= min_words)
-        .select(F.struct("id", "body", "line").alias("place"), "norm", "words", _keys(F.col("words")).alias("k"))
-        .select("place", "norm", "words", "k.k1", "k.k2")
+def line_table(docs: DataFrame, text: str, ident: str, min_words: int, min_edit_words: int) -> DataFrame:
+    """One narrow row per line of ``min_words`` words at least: two hashes, place, halves' hashes.
+
+    All is computed inside one generator, so each line is normalised once.
+    """
+    named = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("line"), normalised(x).alias("norm")))
+    counted = F.transform(named, lambda x: F.struct(x["line"].alias("line"), x["norm"].alias("norm"), _words(x["norm"]).alias("n")))
+    long_enough = F.filter(counted, lambda x: x["n"] >= min_words)
+    keyed = F.transform(
+        long_enough,
+        lambda x: F.struct(
+            x["line"].alias("line"),
+            F.xxhash64(F.lit(2), x["norm"]).alias("k1"),
+            F.xxhash64(F.lit(3), x["norm"]).alias("k2"),
+            F.when(x["n"] >= min_edit_words, _half_keys(x["norm"], x["n"])).alias("h"),
+        ),
     )
+    lines = docs.select(F.col(ident).alias("id"), F.xxhash64(text).alias("body"), F.explode(keyed).alias("x"))
+    return lines.select(F.struct("id", "body", "x.line").alias("place"), "x.k1", "x.k2", *[F.get("x.h", F.lit(i)).alias(f"h{i}") for i in range(4)])
 
 
 def _bit(key: str) -> tuple[Column, Column]:
@@ -68,6 +75,21 @@ def _maybe_in(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     return df.withColumns({"_row": row, "_at": bit}).join(F.broadcast(rows), "_row").where(F.expr("shiftrightunsigned(_bits, _at) & 1L") == 1).select(*df.columns)
 
 
+def _texts_of(docs: DataFrame, places: DataFrame, text: str, ident: str) -> DataFrame:
+    """``norm`` of the lines at ``first``; only documents that may hold one are moved."""
+    # At most as many as the document has lines.
+    wanted = places.groupBy(F.col("first.id").alias("id"), F.col("first.body").alias("body")).agg(
+        F.collect_list(F.struct(F.col("first.line").alias("line"), "k1", "k2", "first")).alias("wanted")
+    )
+    texts = docs.select(F.col(ident).alias("_id"), F.xxhash64(text).alias("body"), F.col(text).alias("_text")).where(F.col("_text").isNotNull())
+    texts = _maybe_in(texts, wanted, "body").withColumnRenamed("body", "_body")
+    found = texts.join(wanted, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_body") == F.col("body")))
+    split = found.select("wanted", F.split("_text", "\n").alias("_lines"))
+    each = F.transform("wanted", lambda w: F.struct(w["k1"].alias("k1"), w["k2"].alias("k2"), w["first"].alias("first"), normalised(F.get("_lines", w["line"])).alias("norm")))
+    # Equal rows of the input have equal places: one of them is enough.
+    return split.select(F.explode(each).alias("x")).select("x.*").dropDuplicates(["k1", "k2"])
+
+
 def _variants(candidates: DataFrame) -> DataFrame:
     """The deletion neighbourhood of each line: what stands before and after each word, and after
     each gap, as two hashes. Lines that share a variant are one word edit apart at most: a word
@@ -115,19 +137,16 @@ def repeated_lines(docs: DataFrame, text: str = "text", ident: str = "doc_id", m
     ``min_words`` words on; lines one word edit apart (replaced, put in or left out) where both
     have ``min_edit_words`` at least. Earlier is the smaller id, then text hash and line number.
     """
-    lines = line_table(docs, text, ident, min_words)
-    distinct = lines.withColumn("h", F.when(F.size("words") >= min_edit_words, _half_keys(F.col("words"))))
-    halves = [F.min(F.get("h", i)).alias(f"h{i}") for i in range(4)]
-    firsts = written(distinct.groupBy("k1", "k2").agg(F.min("place").alias("first"), *halves), "lines")
+    lines = written(line_table(docs, text, ident, min_words, min_edit_words), "lines")
+    halves = [F.min(f"h{i}").alias(f"h{i}") for i in range(4)]
+    spread = [F.min("place").alias("first"), F.max("place").alias("last")]
+    firsts = written(lines.groupBy("k1", "k2").agg(*spread, *halves), "firsts")
     # Lines that share a half with another line.
     half = firsts.select("k1", F.explode(F.array(*[f"h{i}" for i in range(4)])).alias("h")).where("h is not null")
     shared = half.groupBy("h").agg(F.min("k1").alias("_a"), F.max("k1").alias("_b")).where("_a < _b").select("h")
-    wanted = written(half.join(shared, "h").select("k1").distinct(), "wanted")
-    firsts_of = firsts.select("k1", "k2", "first").join(wanted, "k1")
-    texts = _maybe_in(lines.select("k1", "k2", "norm").where(F.size("words") >= min_edit_words), wanted, "k1")
-    # Equal lines have equal texts.
-    texts = texts.groupBy("k1", "k2").agg(F.min("norm").alias("norm"))
-    candidates = written(firsts_of.join(texts, ["k1", "k2"]), "candidates")
+    wanted = half.join(shared, "h").select("k1").distinct()
+    near_ones = written(firsts.join(wanted, "k1").select("k1", "k2", "first"), "near")
+    candidates = written(_texts_of(docs, near_ones, text, ident), "candidates")
     variants = _variants(candidates)
     earliest = variants.groupBy("variant", "check").agg(F.min(F.struct("first", "k1", "k2")).alias("e"), F.max("first").alias("_last")).where(F.col("e.first") < F.col("_last"))
     pairs = variants.join(earliest, ["variant", "check"]).where(F.col("e.first") < F.col("first"))
@@ -137,8 +156,10 @@ def repeated_lines(docs: DataFrame, text: str = "text", ident: str = "doc_id", m
     both = pairs.join(texts, ["k1", "k2"]).join(others, ["e1", "e2"])
     verified = both.where(_one_edit(F.split("norm", " "), F.split("other", " ")))
     near = verified.groupBy("k1", "k2").agg(F.min("near").alias("near"))
-    least = firsts.select("k1", "k2", "first").join(near, ["k1", "k2"], "left").select("k1", "k2", F.least("first", "near").alias("least"))
-    return lines.select("place", "k1", "k2").join(least, ["k1", "k2"]).where(F.col("least") < F.col("place")).select("place.*")
+    least = firsts.join(near, ["k1", "k2"], "left").select("k1", "k2", F.least("first", "near").alias("least"), "last")
+    least = written(least.where(F.col("least") < F.col("last")).drop("last"), "least")
+    repeated = _maybe_in(lines.select("place", "k1", "k2"), least, "k1")
+    return repeated.join(least, ["k1", "k2"]).where(F.col("least") < F.col("place")).select("place.*")
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", ident: str = "doc_id", min_words: int = 5, min_edit_words: int = 10) -> DataFrame:
