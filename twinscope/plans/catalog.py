@@ -616,6 +616,21 @@ for _net, _hidden in models.NETS.items():
     _model(f"model_{_net}", lambda train, hidden=_hidden: models.perceptron(N_FEATURES, hidden).fit(train))
 
 
+def _valid(name: str) -> None:
+    """One row per held-out pair: the probability is one, and the prediction agrees with it."""
+
+    def run(spark, d):
+        p = F.col("probability")
+        agrees = F.col("prediction") == (p > 0.5).cast("int")
+        return QUERIES[name](spark, d).select("id", (p.between(0, 1) & (agrees | (p == 0.5))).alias("valid"))
+
+    QUERIES[f"{name}_valid"] = run
+
+
+for _fitted in ("model_logreg", "model_decision_tree", "model_mlp_2"):
+    _valid(_fitted)
+
+
 @query
 def model_bernoulli_nb(spark, d):
     """Joint log-probabilities of both classes on the held-out part."""
@@ -698,6 +713,11 @@ def model_roundtrip(spark, d):
     return before.join(after, "id").select("id", "before", "after", (F.col("before") == F.col("after")).alias("same"))
 
 
+@query
+def model_roundtrip_same(spark, d):
+    return model_roundtrip(spark, d).select("id", "same")
+
+
 @query
 def score_batch(spark, d):
     model = scoring.fit_scorer(turn_features(spark, d), "is_duplicate")

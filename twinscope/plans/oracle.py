@@ -555,3 +555,7 @@ sql(
     "score_stream", OPEN_DIST + "," + overlap(),
     f"SELECT o.id, words_diff_q1_q2, word_common, word_total, {r6('word_share')} AS word_share, {r6('cosine_distance')} AS cosine_distance, {r6('cityblock_distance')} AS cityblock_distance FROM overlap o JOIN dist USING (id)",
 )
+WHOLE = "question1 IS NOT NULL AND question2 IS NOT NULL"
+sql("model_roundtrip_same", TURN, f"SELECT id, true AS same FROM pairs WHERE {WHOLE}")
+for _fitted in ("model_logreg", "model_decision_tree", "model_mlp_2"):
+    sql(f"{_fitted}_valid", TURN, f"SELECT id, true AS valid FROM pairs WHERE {WHOLE} AND NOT ({HASH} < 75)")
