@@ -50,12 +50,20 @@ def test_dictionary_join_with_hot_and_rare_words(spark):
     tokens = spark.createDataFrame(
         [(i, w) for i in range(40) for w in ("w0", f"w{hot + i}", "unknown")], "id long, word string"
     )
-    rows = joins.dictionary_join(tokens, entries, "word", F.col("freq"), "id").collect()
+    rows = joins.dictionary_join(tokens, entries, "word").collect()
     assert len(rows) == 120
     for r in rows:
         assert r["idx"] == (None if r["word"] == "unknown" else int(r["word"][1:]))
 
 
+def test_dictionary_join_with_a_hot_word_it_does_not_hold(spark, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_WORDS", 1)
+    entries = spark.createDataFrame([("a", 1), ("b", 2)], "word string, idx long")
+    tokens = spark.createDataFrame([(i, "unknown") for i in range(50)] + [(50, "a"), (51, "b"), (52, None)], "id long, word string")
+    rows = {r["id"]: r["idx"] for r in joins.dictionary_join(tokens, entries, "word").collect()}
+    assert rows == {**{i: None for i in range(50)}, 50: 1, 51: 2, 52: None}
+
+
 def test_nearest_word_against_brute_force(spark):
     rng = np.random.default_rng(4)
     table = rng.normal(size=(60, 5)).astype(np.float32)
