@@ -29,8 +29,8 @@ def _half_keys(norm: Column, n: Column) -> Column:
     left without the edited word; as lengths may differ by one, the h of one word less is used too.
     """
     half = lambda k: F.floor((n - k) / 2).cast("int")
-    begin = lambda h: F.xxhash64(h, F.call_function("substring_index", norm, F.lit(" "), h))
-    end = lambda h: F.xxhash64(-h, F.call_function("substring_index", norm, F.lit(" "), -h))
+    begin = lambda h: F.hash(h, F.call_function("substring_index", norm, F.lit(" "), h))
+    end = lambda h: F.hash(-h, F.call_function("substring_index", norm, F.lit(" "), -h))
     return F.array(begin(half(1)), end(half(1)), F.when(n % 2 == 1, begin(half(2))), F.when(n % 2 == 1, end(half(2))))
 
 
@@ -79,48 +79,51 @@ def _texts_of(docs: DataFrame, places: DataFrame, text: str, ident: str) -> Data
     """``norm`` of the lines at ``first``; only documents that may hold one are moved."""
     # At most as many as the document has lines.
     wanted = places.groupBy(F.col("first.id").alias("id"), F.col("first.body").alias("body")).agg(
-        F.collect_list(F.struct(F.col("first.line").alias("line"), "k1", "k2", "first")).alias("wanted")
+        F.collect_list(F.struct(F.col("first.line").alias("line"), "k1", "k2", "first", "c", "begins", "ends")).alias("wanted")
     )
     texts = docs.select(F.col(ident).alias("_id"), F.xxhash64(text).alias("body"), F.col(text).alias("_text")).where(F.col("_text").isNotNull())
     texts = _maybe_in(texts, wanted, "body").withColumnRenamed("body", "_body")
     found = texts.join(wanted, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_body") == F.col("body")))
     split = found.select("wanted", F.split("_text", "\n").alias("_lines"))
-    each = F.transform("wanted", lambda w: F.struct(w["k1"].alias("k1"), w["k2"].alias("k2"), w["first"].alias("first"), normalised(F.get("_lines", w["line"])).alias("norm")))
+    each = F.transform("wanted", lambda w: F.struct(*[w[c].alias(c) for c in ("k1", "k2", "first", "c", "begins", "ends")], normalised(F.get("_lines", w["line"])).alias("norm")))
     # Equal rows of the input have equal places: one of them is enough.
-    return split.select(F.explode(each).alias("x")).select("x.*").dropDuplicates(["k1", "k2"])
+    return split.select(F.explode(each).alias("x")).select("x.*").dropDuplicates(["c"])
 
 
 def _variants(candidates: DataFrame) -> DataFrame:
     """The deletion neighbourhood of each line: what stands before and after each word, and after
-    each gap, as two hashes. Lines that share a variant are one word edit apart at most: a word
+    each gap, as one hash. Lines that share a variant are one word edit apart at most: a word
     replaced, put in or left out. Sums of word hashes by place from either end make each variant
-    one addition; they run over the line's words by window, as a line may be very long."""
-    words = candidates.select("k1", "k2", "first", F.posexplode(F.split("norm", " ")).alias("at", "word"), F.size(F.split("norm", " ")).alias("n"))
-    front = lambda s: _word_hash(s, F.col("at"), F.col("word"))
-    back = lambda s: _word_hash(s, F.col("n") - F.col("at"), F.col("word"))
-    line = Window.partitionBy("k1", "k2").orderBy("at")
-    so_far, rest = line.rowsBetween(Window.unboundedPreceding, -1), line.rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy("k1", "k2")
-    zero = F.lit(0).cast("long")
-    sums = words.select(
-        "k1",
-        "k2",
-        "first",
-        "at",
+    one addition; they run over the line's words by window, as a line may be very long.
+
+    Where only beginnings are shared, the edit lies in the second half, and in the first where
+    only ends are; just the variants of that half are needed.
+    """
+    split = candidates.select("c", "begins", "ends", F.split("norm", " ").alias("w"))
+    words = split.select("c", "begins", "ends", F.size("w").alias("n"), F.posexplode("w").alias("at", "word"))
+    hashed = words.select(
+        "c",
+        "begins",
+        "ends",
         "n",
-        F.coalesce(F.sum(front(4)).over(so_far), zero).alias("before"),
-        (F.sum(back(5)).over(whole) - F.sum(back(5)).over(rest)).alias("after"),
-        back(5).alias("own"),
-        F.sum(front(4)).over(rest).alias("with_own"),
+        "at",
+        _word_hash(4, F.col("at"), F.col("word")).alias("front"),
+        _word_hash(5, F.col("n") - F.col("at"), F.col("word")).alias("back"),
+    )
+    line = Window.partitionBy("c").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    sums = hashed.withColumns(
+        {"so_far": F.sum("front").over(line), "rest": F.sum("back").over(Window.partitionBy("c")) - F.sum("back").over(line)}
     )
+    needed = (F.col("begins") & (F.col("at") >= F.expr("(n - 2) div 2"))) | (F.col("ends") & (F.col("at") <= F.expr("(n - 1) div 2")))
+    before, last = F.col("so_far") - F.col("front"), F.col("at") == F.col("n") - 1
     # The word left out; the gap before it; for the last word also the gap after it.
     gaps = F.array(
-        F.struct(F.col("before").alias("x"), F.col("after").alias("y")),
-        F.struct(F.col("before").alias("x"), (F.col("after") + F.col("own")).alias("y")),
-        F.when(F.col("at") == F.col("n") - 1, F.struct(F.col("with_own").alias("x"), zero.alias("y"))),
+        F.xxhash64(before, "rest"),
+        F.xxhash64(before, F.col("rest") + F.col("back")),
+        F.when(last, F.xxhash64("so_far", F.lit(0).cast("long"))),
     )
-    exploded = sums.select("k1", "k2", "first", F.explode(F.filter(gaps, lambda g: g.isNotNull())).alias("g"))
-    return exploded.select("k1", "k2", "first", F.xxhash64("g.x", "g.y").alias("variant"), F.xxhash64("g.y", "g.x").alias("check"))
+    exploded = sums.where(needed).select("c", F.explode(gaps).alias("variant"))
+    return exploded.where("variant is not null")
 
 
 def _one_edit(a: Column, b: Column) -> Column:
@@ -138,26 +141,28 @@ def repeated_lines(docs: DataFrame, text: str = "text", ident: str = "doc_id", m
     have ``min_edit_words`` at least. Earlier is the smaller id, then text hash and line number.
     """
     lines = written(line_table(docs, text, ident, min_words, min_edit_words), "lines")
-    halves = [F.min(f"h{i}").alias(f"h{i}") for i in range(4)]
-    spread = [F.min("place").alias("first"), F.max("place").alias("last")]
-    firsts = written(lines.groupBy("k1", "k2").agg(*spread, *halves), "firsts")
-    # Lines that share a half with another line.
-    half = firsts.select("k1", F.explode(F.array(*[f"h{i}" for i in range(4)])).alias("h")).where("h is not null")
-    shared = half.groupBy("h").agg(F.min("k1").alias("_a"), F.max("k1").alias("_b")).where("_a < _b").select("h")
-    wanted = half.join(shared, "h").select("k1").distinct()
-    near_ones = written(firsts.join(wanted, "k1").select("k1", "k2", "first"), "near")
+    spread = [F.min("place").alias("first"), F.count(F.lit(1)).alias("n")]
+    firsts = written(lines.groupBy("k1", "k2").agg(*spread), "firsts")
+    # Lines that share a half with another line; h0 and h2 are beginnings, h1 and h3 ends.
+    sides = F.array(*[F.struct(F.lit(i % 2).alias("side"), F.col(f"h{i}").alias("h")) for i in range(4)])
+    half = lines.where("h0 is not null").select("k1", F.explode(sides).alias("x")).select("k1", "x.side", "x.h").where("h is not null")
+    # Few lines stand twice, so equal lines are not counted out before.
+    shared = half.groupBy("side", "h").agg(F.min("k1").alias("_a"), F.max("k1").alias("_b")).where("_a < _b").select("side", "h")
+    wanted = half.join(shared, ["side", "h"]).groupBy("k1").agg(F.max(F.col("side") == 0).alias("begins"), F.max(F.col("side") == 1).alias("ends"))
+    # Numbered in the order of their first places.
+    near_ones = firsts.select("k1", "k2", "first").join(wanted, "k1").orderBy("first", "k1", "k2").withColumn("c", F.monotonically_increasing_id())
+    near_ones = written(near_ones, "near")
     candidates = written(_texts_of(docs, near_ones, text, ident), "candidates")
-    variants = _variants(candidates)
-    earliest = variants.groupBy("variant", "check").agg(F.min(F.struct("first", "k1", "k2")).alias("e"), F.max("first").alias("_last")).where(F.col("e.first") < F.col("_last"))
-    pairs = variants.join(earliest, ["variant", "check"]).where(F.col("e.first") < F.col("first"))
-    pairs = pairs.select("k1", "k2", F.col("e.first").alias("near"), F.col("e.k1").alias("e1"), F.col("e.k2").alias("e2")).distinct()
-    texts = candidates.select("k1", "k2", "norm")
-    others = candidates.select(F.col("k1").alias("e1"), F.col("k2").alias("e2"), F.col("norm").alias("other"))
-    both = pairs.join(texts, ["k1", "k2"]).join(others, ["e1", "e2"])
+    variants = written(_variants(candidates), "variants")
+    earliest = variants.groupBy("variant").agg(F.min("c").alias("e"), F.max("c").alias("_last")).where("e < _last").select("variant", "e")
+    pairs = variants.join(earliest, "variant").where("e < c").select("c", "e").distinct()
+    texts = candidates.select("c", "k1", "k2", "norm")
+    others = candidates.select(F.col("c").alias("e"), F.col("norm").alias("other"), F.col("first").alias("near"))
+    both = pairs.join(texts, "c").join(others, "e")
     verified = both.where(_one_edit(F.split("norm", " "), F.split("other", " ")))
     near = verified.groupBy("k1", "k2").agg(F.min("near").alias("near"))
-    least = firsts.join(near, ["k1", "k2"], "left").select("k1", "k2", F.least("first", "near").alias("least"), "last")
-    least = written(least.where(F.col("least") < F.col("last")).drop("last"), "least")
+    least = firsts.join(near, ["k1", "k2"], "left").where("n > 1 or near is not null")
+    least = written(least.select("k1", "k2", F.least("first", "near").alias("least")), "least")
     repeated = _maybe_in(lines.select("place", "k1", "k2"), least, "k1")
     return repeated.join(least, ["k1", "k2"]).where(F.col("least") < F.col("place")).select("place.*")
 
