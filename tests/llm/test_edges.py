@@ -140,6 +140,25 @@ def test_line_edits(spark):
     assert gone == [0, 1, 1, 1, 1, 1, 0]
 
 
+def test_toxicity_of_a_text_alone_and_before_others():
+    rng = np.random.default_rng(1)
+    net = toxicity.Net(
+        rng.normal(0, 1, (toxicity.BUCKETS + 1, toxicity.DIM)),
+        [rng.normal(0, 1, (w, toxicity.DIM, toxicity.FILTERS)) for w in toxicity.WIDTHS],
+        rng.normal(0, 1, len(toxicity.WIDTHS) * toxicity.FILTERS),
+        rng.normal(0, 1, len(toxicity.WIDTHS) * toxicity.FILTERS),
+    )
+    net.embedding[toxicity.PAD] = 0
+
+    def logits(texts):
+        parts = [np.frombuffer(t.encode(), np.uint8) for t in texts]
+        return net.logits(*toxicity.word_ids(np.concatenate(parts), np.cumsum([0, *map(len, parts)])))
+
+    texts = ["", "one", "a b", "", "some words of a longer text", "one", "x y z", ""]
+    alone = [float(logits([t])[0]) for t in texts]
+    assert np.allclose(logits(texts), alone) and np.allclose(logits(texts[::-1]), alone[::-1])
+
+
 def test_packing(odd_docs, clash, no_docs):
     for docs in (odd_docs, clash):
         pieces = rows_of(packing.pack(docs, length=64))
