@@ -46,6 +46,20 @@ def test_search_returns_every_setting(spark):
     assert len(rows) == 4 and all(0.5 < r["mean_accuracy"] <= 1 for r in rows)
 
 
+def test_text_models_are_fitted_to_the_end_and_cross_validated(spark):
+    """Nets of three iterations can't tell the corners of a square."""
+    corners = spark.range(240).select("id", (F.col("id") % 2).cast("double").alias("a"), (F.col("id") % 4 >= 2).cast("double").alias("b"))
+    data = corners.withColumns({"label": (F.col("a") != F.col("b")).cast("double"), "split": F.when(F.col("id") % 5 < 4, "train").otherwise("test")})
+    data = models.assemble(data.withColumn("fold", (F.floor(F.col("id") / 4) % 3).cast("int")), ["a", "b"])
+    rows = models.embedded_text_models(data, 2, 3).collect()
+    by_model = {m: [r for r in rows if r.model == m] for m in ("linear", "hidden_50", "hidden_50_25")}
+    assert all({r.id for r in part} == set(range(4, 240, 5)) for part in by_model.values())
+    assert all(len({r.cv_accuracy for r in part}) == 1 for part in by_model.values())
+    assert by_model["linear"][0].cv_accuracy < 0.8
+    for name in ("hidden_50", "hidden_50_25"):
+        assert all(r.label == r.prediction for r in by_model[name]) and by_model[name][0].cv_accuracy == 1
+
+
 def test_batch_equals_stream_and_saved_model_agrees(spark, tmp_path):
     rows = [
         (1, "how do i learn spark quickly", "how can i learn spark quickly", 1),

@@ -13,7 +13,7 @@ from twinscope.operators.lemma import lemma_table, lemmatise
 from twinscope.plans import models, scoring
 from twinscope.sources import pairs as io
 from twinscope.sources import tables
-from twinscope.sources.scratch import scratch_path
+from twinscope.sources.scratch import ensure_checkpoint_dir, scratch_path
 from twinscope.streaming import scoring as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -684,20 +684,14 @@ def training_history(spark, d):
 def model_text_embed(spark, d):
     """Classifiers on flattened word embeddings: none, one and two hidden layers."""
     padded, length = padded_turns(spark, d)
-    labels = tables.turn_links(spark, d).select("id", F.col("is_duplicate").cast("double").alias("label"))
+    ensure_checkpoint_dir(spark)
+    # Folds are numbered before the wide vectors are joined, so those are written once.
+    labels = models.folded(tables.turn_links(spark, d).select("id", F.col("is_duplicate").cast("double").alias("label")), 5, SEED)
     path = scratch_path(spark, "embedded")
     embedded = corpus.embedded(padded, "id", "seq", word_vectors(spark, d), DIM).select("id", "features")
     embedded.join(labels, "id").write.parquet(path)
     data = sampling.with_split(spark.read.parquet(path), "id", SEED)
-    train, test = (data.where(F.col("split") == s) for s in ("train", "test"))
-    size = length * DIM
-    fitted = {
-        "linear": models.logistic(train.count(), max_iter=20).fit(train),
-        "hidden_50": models.perceptron(size, [50], max_iter=3).fit(train),
-        "hidden_50_25": models.perceptron(size, [50, 25], max_iter=3).fit(train),
-    }
-    parts = [models.scored(m, test).withColumn("model", F.lit(n)) for n, m in fitted.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return models.embedded_text_models(data, length * DIM)
 
 
 @query

@@ -185,6 +185,26 @@ def compare_nets(train: DataFrame, inputs: int, nets: dict[str, Sequence[int]],
     return out
 
 
+def embedded_text_models(data: DataFrame, inputs: int, folds: int = 5) -> DataFrame:
+    """Predictions for the test part by models fitted on the training part, with ``model`` and
+    ``cv_accuracy``: each model's mean accuracy over the ``fold``s of all rows.
+
+    ``data`` has ``id``, ``label``, ``features``, ``split`` and ``fold``.
+    """
+    train, test = (data.where(F.col("split") == s) for s in ("train", "test"))
+    estimators = {
+        "linear": logistic(train.count()),
+        "hidden_50": perceptron(inputs, [50]),
+        "hidden_50_25": perceptron(inputs, [50, 25]),
+    }
+    tables = []
+    for name, estimator in estimators.items():
+        (accuracy,) = cross_validated(estimator, ParamGridBuilder().build(), data, folds).avgMetrics
+        predicted = scored(estimator.fit(train), test)
+        tables.append(predicted.withColumns({"model": F.lit(name), "cv_accuracy": F.lit(float(accuracy))}))
+    return tables[0].unionByName(tables[1]).unionByName(tables[2])
+
+
 def search_net(train: DataFrame, inputs: int, hidden: Sequence[int], settings: dict[str, list], folds: int = 5) -> DataFrame:
     """Grid search of one architecture over any of its parameters."""
     estimator = perceptron(inputs, hidden)
