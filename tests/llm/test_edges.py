@@ -64,6 +64,19 @@ def test_decontamination(spark, odd_docs, clash, no_docs):
     assert all(r["n_hit"] == 0 for r in rows_of(decontaminate.find_contamination(odd_docs, items.limit(0))))
 
 
+def test_decontamination_bounds_the_owners(spark, odd_docs, monkeypatch):
+    """Copies of an item count towards a pass, repeated ids once."""
+    item = "beta gamma delta epsilon zeta eta theta iota kappa lambda"
+    items = spark.createDataFrame([(k // 2, item) for k in range(60)], "item_id long, text string")
+    whole = rows_of(decontaminate.find_contamination(odd_docs, items))
+    sent, tables_of = [], decontaminate.tables_of
+    monkeypatch.setattr(decontaminate, "tables_of", lambda p: sent.append(sum(map(len, p.values()))) or tables_of(p))
+    several = rows_of(decontaminate.find_contamination(odd_docs, items, per_pass=20))
+    # A repeated id at the cut stands in both passes.
+    assert max(sent) <= 20 and sum(sent) in (30, 31)
+    assert sorted(map(str, several)) == sorted(map(str, whole)) and max(len(r["items"]) for r in whole) == 30
+
+
 def test_wu_manber_finds_all():
     rng = random.Random(1)
     for _ in range(200):

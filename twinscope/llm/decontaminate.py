@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -13,7 +13,7 @@ from twinscope.llm.textbytes import ALPHANUMERIC, slices
 
 #: Bytes to words: A-Z lower-cased, all that is no letter, digit or byte above 127 a space.
 WORD_BYTES = bytes(b or 32 for b in ALPHANUMERIC.tolist())
-#: Windows in one set of tables; more windows are searched in further passes over the same rows.
+#: Windows in one set of tables, one per item that holds it; more are searched in further passes over the same rows.
 WINDOWS_PER_PASS = 500_000
 
 def words_of(text: str | None) -> list[bytes]:
@@ -27,7 +27,7 @@ def windows_of(words: list[bytes], width: int) -> Iterator[tuple[bytes, ...]]:
             yield tuple(words[i : i + width])
 
 
-def tables_of(patterns: dict[tuple[bytes, ...], list[str]]) -> list[tuple]:
+def tables_of(patterns: dict[tuple[bytes, ...], Collection[str]]) -> list[tuple]:
     """Wu-Manber tables by pattern length, as skips depend on the shortest pattern.
 
     A block is two words (one for patterns of one word). ``shift`` tells how far a window can
@@ -94,8 +94,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, t
     """Rows of ``docs`` with ``n_words``, ``n_hit`` (words inside an occurrence of a window of
     ``width`` item words), ``items`` (sorted ids of the items with occurring windows).
 
-    The benchmark is the stated query set: its distinct windows are searched ``per_pass`` at a
-    time, so tables sent to the tasks have a bound; every pass sees all rows. Documents are not
+    The benchmark is the stated query set: its windows, each once per item id that holds it,
+    are searched ``per_pass`` at a time, so tables sent to the tasks have a bound; every pass sees all rows. Documents are not
     shuffled. A null or empty text has no words; items without words never occur; a null item
     id counts as the empty string; repeated items count once by id. Columns of ``docs`` named
     like the added ones are replaced; names that begin with an underscore are reserved.
@@ -103,14 +103,18 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, t
     spark = docs.sparkSession
     docs = docs.drop("n_words", "n_hit", "items")
     columns = docs.columns
-    patterns: dict[tuple[bytes, ...], list[str]] = {}
-    blocks = []
+    patterns: dict[tuple[bytes, ...], set[str]] = {}
+    blocks, entries = [], 0
     for row in benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t")).toLocalIterator():
         for window in windows_of(words_of(row.t), width):
-            patterns.setdefault(window, []).append(row.i or "")
-        if len(patterns) >= per_pass:
-            blocks.append(spark.sparkContext.broadcast(tables_of(patterns)))
-            patterns = {}
+            owners = patterns.setdefault(window, set())
+            if (row.i or "") in owners:
+                continue
+            owners.add(row.i or "")
+            entries += 1
+            if entries >= per_pass:
+                blocks.append(spark.sparkContext.broadcast(tables_of(patterns)))
+                patterns, entries = {}, 0
     blocks.append(spark.sparkContext.broadcast(tables_of(patterns)))
     found = docs.withColumns({"_hit": F.lit(None).cast("binary"), "_items": F.array().cast("array<string>"), "n_hit": F.lit(0).cast("long")})
     for tables in blocks:
