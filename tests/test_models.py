@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from twinscope.operators.features import FEATURES, pair_features, clean_pairs
-from twinscope.plans import models, scoring
+from twinscope.plans import catalog, models, scoring
 from twinscope.streaming import scoring as stream
 
 SF = "/root/testdata/sf0.001"
@@ -60,6 +60,18 @@ def test_text_models_are_fitted_to_the_end_and_cross_validated(spark):
         assert all(r.label == r.prediction for r in by_model[name]) and by_model[name][0].cv_accuracy == 1
 
 
+def test_grid_mlp_varies_what_the_solver_uses(spark, monkeypatch):
+    train, _ = models.training_tables(numeric(spark, 60), ["a", "b"], "y", "id")
+    monkeypatch.setattr(catalog, "turn_training", lambda spark, d: (train, None))
+    grids = []
+    monkeypatch.setattr(models, "cross_validated", lambda e, grid, data, folds: grids.append(grid))
+    monkeypatch.setattr(models, "cv_summary", lambda df, fitted, grid: None)
+    catalog.grid_mlp(spark, SF)
+    settings = [{p.name: v for p, v in g.items()} for g in grids[0]]
+    assert all(("stepSize" in s) == (s["solver"] == "gd") for s in settings)
+    assert len(settings) == 6 and {s["maxIter"] for s in settings} == {50, 100}
+
+
 def test_batch_equals_stream_and_saved_model_agrees(spark, tmp_path):
     rows = [
         (1, "how do i learn spark quickly", "how can i learn spark quickly", 1),

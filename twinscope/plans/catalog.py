@@ -661,7 +661,9 @@ def sweep_mlp_solver(spark, d):
 @query
 def grid_mlp(spark, d):
     train, _ = turn_training(spark, d)
-    return models.search_net(train, N_FEATURES, models.NETS["mlp_2"], {"maxIter": [50, 100], "stepSize": [0.03, 0.1]})
+    # Only gradient descent has a step size.
+    settings = [{"solver": ["l-bfgs"], "maxIter": [50, 100]}, {"solver": ["gd"], "maxIter": [50, 100], "stepSize": [0.03, 0.1]}]
+    return models.search_net(train, N_FEATURES, models.NETS["mlp_2"], settings)
 
 
 @query

@@ -205,13 +205,17 @@ def embedded_text_models(data: DataFrame, inputs: int, folds: int = 5) -> DataFr
     return tables[0].unionByName(tables[1]).unionByName(tables[2])
 
 
-def search_net(train: DataFrame, inputs: int, hidden: Sequence[int], settings: dict[str, list], folds: int = 5) -> DataFrame:
-    """Grid search of one architecture over any of its parameters."""
+def search_net(
+    train: DataFrame, inputs: int, hidden: Sequence[int], settings: dict[str, list] | list[dict[str, list]], folds: int = 5
+) -> DataFrame:
+    """Grid search of one architecture over any of its parameters; of several grids, over all."""
     estimator = perceptron(inputs, hidden)
-    builder = ParamGridBuilder()
-    for name, values in settings.items():
-        builder = builder.addGrid(estimator.getParam(name), values)
-    grid = builder.build()
+    grid = []
+    for part in [settings] if isinstance(settings, dict) else settings:
+        builder = ParamGridBuilder()
+        for name, values in part.items():
+            builder = builder.addGrid(estimator.getParam(name), values)
+        grid += builder.build()
     return cv_summary(train, cross_validated(estimator, grid, folded(train, folds), folds), grid)
 
 
