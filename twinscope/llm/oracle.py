@@ -137,4 +137,30 @@ FROM d GROUP BY doc_id
 UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL
 """
 
-SQL: dict[str, str] = {"op6_line_dedup": OP6, "op2_fingerprints": OP2, "op4_decontamination": OP4, "op9_chat_format": OP9, "op10_url_reputation": OP10}
+OP11 = f"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r, w, len(w) AS n
+  FROM (SELECT doc_id, {_ALNUM.format("coalesce(text, '')")} AS w FROM documents) WHERE len(w) > 0
+),
+c AS (SELECT count(*) AS nn, sum(n) AS ll FROM d),
+t AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY r, term),
+q AS (
+  SELECT item_id, i, term, count(*) AS qtf
+  FROM (SELECT item_id, row_number() OVER () AS i, unnest({_ALNUM.format("coalesce(text, '')")}) AS term FROM benchmark)
+  GROUP BY item_id, i, term
+),
+f AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM t GROUP BY term), c
+),
+s AS (
+  SELECT item_id, i, d.doc_id, r, CAST(sum(qtf * f.w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // ll)))) AS BIGINT) AS score
+  FROM q JOIN f USING (term) JOIN t USING (term) JOIN d USING (r), c
+  GROUP BY item_id, i, d.doc_id, r
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM s WHERE score > 0)
+WHERE rank <= 20
+"""
+
+SQL: dict[str, str] = {"op6_line_dedup": OP6, "op2_fingerprints": OP2, "op4_decontamination": OP4, "op9_chat_format": OP9, "op10_url_reputation": OP10, "op11_lexical_search": OP11}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from twinscope.llm import balltree, whitening
 from twinscope.llm.chat import format_chats, read_back
 from twinscope.llm.decontaminate import find_contamination
 from twinscope.llm.fingerprint import as_string, compare_with_next
@@ -14,6 +15,7 @@ from twinscope.llm.packing import pack
 from twinscope.llm.reputation import judge_urls
 from twinscope.llm.sharding import external_shuffle
 from twinscope.llm.substrings import remove_repeats
+from twinscope.llm.tokencount import count_tokens
 from twinscope.llm.toxicity import CUT, score_toxicity, train
 
 
@@ -119,6 +121,27 @@ def op10_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, outcomes, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return balltree.search(docs.select("doc_id", "text"), items, top=20)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(rows, k=4)
+    shares = model.values / model.trace if len(model.values) else []
+    parts = F.array(*[F.struct(F.lit(k + 1).alias("component"), F.get("whitened", F.lit(k)).alias("whitened"), F.lit(float(e)).alias("explained")) for k, e in enumerate(shares)])
+    empty = F.array().cast("array<struct<component:int,whitened:double,explained:double>>")
+    out = whitening.transform(rows, model).withColumn("c", F.explode(parts if len(shares) else empty))
+    return out.select("vec_id", "c.component", F.lit(model.n).cast("long").alias("n"), "deviation", "c.whitened", "c.explained", F.lit(model.identity_error).alias("identity_error"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    n_bytes = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
+    return count_tokens(docs).select("doc_id", n_bytes.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_fingerprints": op2_fingerprints,
@@ -130,4 +153,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_chat_format": op9_chat_format,
     "op10_url_reputation": op10_url_reputation,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_whitening": op12_whitening,
+    "op13_token_counts": op13_token_counts,
 }
