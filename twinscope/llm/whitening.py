@@ -17,6 +17,8 @@ from twinscope.llm.components import written
 SCALE, LARGEST = 256.0, float(1 << 45)
 #: Bytes of a block of packed vectors.
 BLOCK_BYTES = 1 << 20
+#: Bytes of blocks behind a task, at least: a task adds one row for each number of a product.
+TASK_BYTES = 4 << 20
 #: Steps of the inner solver in one round, and where it stops earlier (share of the residual left).
 INNER_STEPS, INNER_LEFT = 12, 0.02
 #: Columns of the search space before it is restarted, for each wanted eigenvector.
@@ -271,9 +273,11 @@ def fit(rows: DataFrame, vector: str = "embedding", k: int = 4) -> Whitening:
     stop the fit with an error. Other columns are not looked at.
     """
     blocks = written(rows.select(vector).mapInArrow(_keys, "x binary").distinct().mapInArrow(_blocks, "size int, dim int, rows long, data binary"), "vectors")
-    n, dim, other = blocks.agg(F.sum("rows"), F.max("dim"), F.min("dim")).first()
+    n, dim, other, size = blocks.agg(F.sum("rows"), F.max("dim"), F.min("dim"), F.sum(F.octet_length("data").cast("long"))).first()
     if not n:
         return Whitening(0, [], np.zeros((0, 0)), np.zeros(0), 0.0, 0.0)
+    # However many files the shuffle left, tasks follow the bytes.
+    blocks = blocks.coalesce(-(-size // TASK_BYTES))
     if dim != other:
         raise ValueError(f"vectors have lengths {other} to {dim}")
     totals = blocks.mapInArrow(_sums(dim), "at int, total string").groupBy("at").agg(F.sum(F.col("total").cast("decimal(38,0)")).alias("total"))
