@@ -133,9 +133,10 @@ def removed_bytes(texts, length):
     return out
 
 
-@pytest.mark.parametrize("places", [5000, 3])
-def test_substring_dedup(spark, docs, places, monkeypatch):
+@pytest.mark.parametrize(("places", "hot"), [(5000, 1000), (3, 1000), (3, 2)])
+def test_substring_dedup(spark, docs, places, hot, monkeypatch):
     monkeypatch.setattr(substrings, "GROUP_PLACES", places)
+    monkeypatch.setattr(substrings, "HOT_ANCHORS", hot)
     texts = [t.encode() for _, t in docs]
     want = {}
     for (i, _), b, gone in zip(docs, texts, removed_bytes(texts, 400), strict=True):

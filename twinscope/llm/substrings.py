@@ -23,6 +23,8 @@ CHUNK_BYTES = 3 << 19
 SHARD_SYMBOLS = 1 << 14
 #: Places of an anchor that meet in one group; more are dealt to several groups by hash.
 GROUP_PLACES = 5000
+#: The most frequent shared anchors, looked up by every task; a constant, not a share of the data.
+HOT_ANCHORS = 1000
 
 
 # --- anchors -------------------------------------------------------------------------------
@@ -354,7 +356,12 @@ def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", ident
     bytes) meet, by anchor. Shards of these contexts are transformed and merged; see
     ``repeated_windows``. The places of a frequent anchor are dealt to several groups of about
     ``GROUP_PLACES``; windows without an equal in their group meet those of other groups by
-    hash, so no task gathers a frequent anchor and none of its repeats is missed.
+    hash, so no task gathers a frequent anchor and none of its repeats is missed. The
+    ``HOT_ANCHORS`` most frequent ones are told to all tasks, so their places aren't shuffled to
+    learn that they are shared.
+
+    Windows that phrases or groups cut are compared by a 64-bit hash of all their bytes, not byte
+    by byte.
 
     A null or empty text is empty; null ids and repeated rows are texts like others (equal rows
     are equal texts). Columns of ``docs`` named like the added ones are replaced; names that
@@ -369,8 +376,11 @@ def remove_repeats(docs: DataFrame, length: int = 400, text: str = "text", ident
     anchors = written(source.select("_key", "_text").mapInArrow(_anchors(length), spot_schema), "anchors")
     place = F.xxhash64("_key", "place")
     counted = anchors.groupBy("anchor").agg(F.min(place).alias("_a"), F.max(place).alias("_b"), F.count(F.lit(1)).alias("_m"))
-    shared = counted.where("_a <> _b").select("anchor", F.ceil(F.col("_m") / GROUP_PLACES).alias("groups"))
-    spots = anchors.join(shared, "anchor").groupBy("_key").agg(F.collect_set(F.struct("anchor", "place", "lo", "hi", "groups")).alias("spots"))
+    shared = written(counted.where("_a <> _b").select("anchor", F.ceil(F.col("_m") / GROUP_PLACES).alias("groups"), "_m"), "shared")
+    hot = shared.orderBy(F.col("_m").desc(), "anchor").limit(HOT_ANCHORS).select("anchor", "groups")
+    met = anchors.join(F.broadcast(hot), "anchor", "left")
+    others = met.where("groups is null").drop("groups").join(shared.select("anchor", "groups"), "anchor")
+    spots = met.where("groups is not null").unionByName(others).groupBy("_key").agg(F.collect_set(F.struct("anchor", "place", "lo", "hi", "groups")).alias("spots"))
     wanted = copies.join(spots, "_key", "left")
     once = source.join(wanted.where(F.col("spots").isNotNull()), "_key").where(F.col("_id").eqNullSafe(F.col("_least")))
     contexts = once.select("_key", "_text", "spots").mapInArrow(
