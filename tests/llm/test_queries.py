@@ -133,7 +133,7 @@ def removed_bytes(texts, length):
     return out
 
 
-@pytest.mark.parametrize(("places", "hot"), [(5000, 1000), (3, 1000), (3, 2)])
+@pytest.mark.parametrize(("places", "hot"), [(2000, 1000), (3, 1000), (3, 2)])
 def test_substring_dedup(spark, docs, places, hot, monkeypatch):
     monkeypatch.setattr(substrings, "GROUP_PLACES", places)
     monkeypatch.setattr(substrings, "HOT_ANCHORS", hot)

@@ -22,7 +22,7 @@ PHRASE_GRAM, PHRASE_MASK = 8, 31
 CHUNK_BYTES = 3 << 19
 SHARD_SYMBOLS = 1 << 14
 #: Places of an anchor that meet in one group; more are dealt to several groups by hash.
-GROUP_PLACES = 5000
+GROUP_PLACES = 2000
 #: The most frequent shared anchors, looked up by every task; a constant, not a share of the data.
 HOT_ANCHORS = 1000
 
@@ -237,6 +237,7 @@ def repeated_windows(contexts: pa.Array, anchor: np.ndarray, relative: np.ndarra
     runs = np.concatenate(repeated_runs(np.split(codes, per[1:-1])))
     # Bytes of the repeated run from each phrase on.
     index = np.arange(len(begins))
+    del content, symbols, codes, seen_from
     reach = np.where(runs > 0, stops[np.maximum(index + runs - 1, 0)], begins)
     # All windows of all contexts.
     n_windows = np.diff(offsets) - length + 1
@@ -247,16 +248,19 @@ def repeated_windows(contexts: pa.Array, anchor: np.ndarray, relative: np.ndarra
     base = owner * (len(data) + 1)
     best = np.maximum.accumulate(reach + base) - base
     sure = best[outer] >= start + length
+    del outer, best, base
     # Phrase ends whose gram lies in the window are the same in all equal windows.
     inner = np.minimum(np.searchsorted(begins, start + PHRASE_GRAM), len(begins) - 1)
     last = np.minimum(np.searchsorted(begins, start + length, side="right"), per[of + 1]) - 1
     likely = ~sure & ((last <= inner) | (reach[inner] >= begins[last]))
+    del inner, last
     spot = mix((relative[of] + start - offsets[of]).astype(np.uint64) + group[of])
     asked = np.isin(spot, np.unique(spot[likely]))
     full = np.flatnonzero(asked)
     whole = mix((total[start[full] + length] - total[start[full]]) * down[start[full]]) ^ spot[full]
     _, back, count = np.unique(mix(whole), return_inverse=True, return_counts=True)
     sure[full[count[back] > 1]] = True
+    del full, whole, back, asked, likely
     local = start - offsets[of]
     shared = np.flatnonzero(split[of])
     whole = mix((total[start[shared] + length] - total[start[shared]]) * down[start[shared]] ^ spot[shared])
