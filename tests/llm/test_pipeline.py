@@ -9,7 +9,7 @@ import pytest
 
 import corpus_pipeline
 from twinscope.llm.decontaminate import words_of
-from twinscope.llm.packing import _Encoder, byte_ranks
+from twinscope.llm.packing import _Encoder, vocabulary_of
 from twinscope.llm.toxicity import score_toxicity, train
 
 from .test_queries import near_components
@@ -87,7 +87,7 @@ def test_decontamination(stages):
 
 def test_packing(stages):
     given, pieces = stages["packing"]
-    encoder, got = _Encoder(byte_ranks(None)), defaultdict(list)
+    encoder, got = _Encoder(*vocabulary_of(None)), defaultdict(list)
     for r in sorted(pieces, key=lambda r: r.start):
         got[r.doc_id] += np.frombuffer(r.ids, "<u4").tolist()
     assert got == {r.doc_id: [*np.frombuffer(encoder.encode(r.text or ""), "<u4").tolist(), 1] for r in given}

@@ -22,22 +22,28 @@ CACHED_WORDS = 300_000
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def byte_ranks(path: str | None) -> dict[bytes, int]:
-    """Ids of a byte-level vocabulary file by bytes; by default the public one with 50k entries.
+def vocabulary_of(path: str | None) -> tuple[dict[bytes, int], dict[str, int]]:
+    """Ids of a byte-level vocabulary file by bytes, and of its added tokens by their strings; by
+    default the public file with 50k entries.
 
     In such a file ids follow the order of the merges, so they serve as merge ranks. The file
-    writes bytes without a printable form of their own as the characters from 256 on.
+    writes bytes without a printable form of their own as the characters from 256 on. Added
+    tokens that take in spaces around them, or stand for whole words only, are refused.
     """
     if path is None:
         import public_tokenizers
 
         path = public_tokenizers.path("byte_bpe_50k.json")
     model = json.loads(Path(path).read_text(encoding="utf-8"))
-    special = {t["content"] for t in model.get("added_tokens", [])}
+    special = {}
+    for t in model.get("added_tokens", []):
+        if t.get("lstrip") or t.get("rstrip") or t.get("single_word"):
+            raise ValueError(f"an added token that is not matched as it stands: {t['content']!r}")
+        special[t["content"]] = t["id"]
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in printable]
     byte_of = {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
-    return {bytes(byte_of[c] for c in t): i for t, i in model["model"]["vocab"].items() if t not in special}
+    return {bytes(byte_of[c] for c in t): i for t, i in model["model"]["vocab"].items() if t not in special}, special
 
 
 class _Words(dict):
@@ -54,10 +60,13 @@ class _Words(dict):
 
 
 class _Encoder:
-    """Encodes texts word by word: no piece of the pattern goes on across the place before a
-    single space, so a word with the space before it has the same ids in every text."""
+    """Encodes texts as the tokenizer of the file does at its default settings.
 
-    def __init__(self, ranks: dict[bytes, int]):
+    Strings of added tokens are cut out first. The rest goes word by word: no piece of the
+    pattern goes on across the place before a single space, so a word with the space before it
+    has the same ids in every text."""
+
+    def __init__(self, ranks: dict[bytes, int], special: dict[str, int]):
         import tiktoken
 
         encoding = tiktoken.Encoding("bytes", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
@@ -65,8 +74,17 @@ class _Encoder:
         # A space before more white space or the end may belong to a piece of several spaces.
         self.loose = re.compile(r" (?:\s|\Z)").search
         self.words = _Words(self.whole)
+        self.special = {t: np.array([i], "<u4").tobytes() for t, i in special.items()}
+        # The longest of those that begin at a place, as the library takes them.
+        longest = "|".join(map(re.escape, sorted(special, key=len, reverse=True)))
+        self.cut = re.compile(f"({longest})") if special else None
 
     def encode(self, text: str) -> bytes:
+        if self.cut and self.cut.search(text):
+            return b"".join(self.special[part] if part in self.special else self._plain(part) for part in self.cut.split(text))
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         if self.loose(text):
             return self.whole(text)
         head, *rest = text.split(" ")
@@ -77,7 +95,7 @@ def _tokenize(vocabulary, text: str, columns: list[str], end_id: int):
     """Pass 1: each row's ids, and how many ids of its partition come before it."""
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, before = _Encoder(vocabulary.value), 0
+        encoder, before = _Encoder(*vocabulary.value), 0
         end = np.array([end_id], "<u4").tobytes()
         for batch in slices(batches, text):
             ids = [encoder.encode(t or "") + end for t in batch.column(text).to_pylist()]
@@ -105,7 +123,7 @@ def pack(docs: DataFrame, length: int = 2048, text: str = "text", end_id: int =
     """
     spark = docs.sparkSession
     columns = [c for c in docs.columns if c not in {text, "start", "length", "ids", "doc_tokens", "sequence_id", "offset"}]
-    shipped = spark.sparkContext.broadcast(byte_ranks(vocabulary))
+    shipped = spark.sparkContext.broadcast(vocabulary_of(vocabulary))
     empty = docs.select(*columns, F.lit(b"").alias("_ids"), *[F.lit(0).cast("long").alias(c) for c in ("_n", "_at")])
     schema = empty.schema
     with_part = empty.withColumn("_source", F.lit(0)).schema
@@ -127,7 +145,11 @@ def pack(docs: DataFrame, length: int = 2048, text: str = "text", end_id: int =
 
 
 def sequences(pieces: DataFrame, length: int = 2048, pad_id: int = 0) -> DataFrame:
-    """One row per sequence: its ids padded to ``length``, and a boundary record per piece."""
+    """One row per sequence: its ids padded to ``length``, and a boundary record per piece.
+
+    Takes the pieces of ``pack`` whose documents are named by a column ``doc_id`` (null ids are
+    kept as null, repeated rows are pieces of their own). No pieces give no sequences.
+    """
     piece = F.struct("offset", "doc_id", "start", "length", "ids")
     grouped = pieces.groupBy("sequence_id").agg(F.array_sort(F.collect_list(piece)).alias("p"))
     ids = F.aggregate("p", F.lit(b""), lambda a, x: F.concat(a, x["ids"]))
