@@ -46,30 +46,31 @@ def test_search_returns_every_setting(spark):
     assert len(rows) == 4 and all(0.5 < r["mean_accuracy"] <= 1 for r in rows)
 
 
-def test_text_models_are_fitted_to_the_end_and_cross_validated(spark):
-    """Nets of three iterations can't tell the corners of a square."""
-    corners = spark.range(240).select("id", (F.col("id") % 2).cast("double").alias("a"), (F.col("id") % 4 >= 2).cast("double").alias("b"))
-    data = corners.withColumns({"label": (F.col("a") != F.col("b")).cast("double"), "split": F.when(F.col("id") % 5 < 4, "train").otherwise("test")})
-    data = models.assemble(data.withColumn("fold", (F.floor(F.col("id") / 4) % 3).cast("int")), ["a", "b"])
-    rows = models.embedded_text_models(data, 2, 3).collect()
-    by_model = {m: [r for r in rows if r.model == m] for m in ("linear", "hidden_50", "hidden_50_25")}
-    assert all({r.id for r in part} == set(range(4, 240, 5)) for part in by_model.values())
-    assert all(len({r.cv_accuracy for r in part}) == 1 for part in by_model.values())
-    assert by_model["linear"][0].cv_accuracy < 0.8
-    for name in ("hidden_50", "hidden_50_25"):
-        assert all(r.label == r.prediction for r in by_model[name]) and by_model[name][0].cv_accuracy == 1
-
-
-def test_grid_mlp_varies_what_the_solver_uses(spark, monkeypatch):
-    train, _ = models.training_tables(numeric(spark, 60), ["a", "b"], "y", "id")
-    monkeypatch.setattr(catalog, "turn_training", lambda spark, d: (train, None))
-    grids = []
-    monkeypatch.setattr(models, "cross_validated", lambda e, grid, data, folds: grids.append(grid))
-    monkeypatch.setattr(models, "cv_summary", lambda df, fitted, grid: None)
-    catalog.grid_mlp(spark, SF)
-    settings = [{p.name: v for p, v in g.items()} for g in grids[0]]
-    assert all(("stepSize" in s) == (s["solver"] == "gd") for s in settings)
-    assert len(settings) == 6 and {s["maxIter"] for s in settings} == {50, 100}
+def test_svm_probabilities_come_from_held_out_margins(spark):
+    """Labels without any link to the columns: margins of the rows an SVM learned from claim one."""
+    noise = [F.sin(F.hash(F.col("id") * 31 + k).cast("double")).alias(f"x{k}") for k in range(30)]
+    df = spark.range(400).select("id", F.pmod(F.hash(F.col("id") + 5), F.lit(2)).cast("double").alias("label"), *noise)
+    rows = models.assemble(df, [f"x{k}" for k in range(30)]).select("id", "label", "features")
+    train, test = rows.where("id < 120").checkpoint(), rows.where("id >= 120").checkpoint()
+
+    def loss(model):
+        p = F.least(F.greatest("probability", F.lit(1e-9)), F.lit(1 - 1e-9))
+        return models.scored(model, test).agg(F.avg(F.when(F.col("label") == 1, -F.log(p)).otherwise(-F.log(1 - p)))).first()[0]
+
+    svm = models.LinearSVC(maxIter=100, tol=models.TOLERANCE, rawPredictionCol="margin", predictionCol="svm_side").fit(train)
+    own = models.LogisticRegression(featuresCol="margin", maxIter=100, tol=models.TOLERANCE).fit(svm.transform(train))
+    assert loss(models.fit_linear_svm(train)) < loss(models.PipelineModel(stages=[svm, own]))
+
+
+def test_net_queries_search_what_they_say(spark, monkeypatch):
+    train, test = models.training_tables(numeric(spark, 120), ["a", "b"], "y", "id")
+    monkeypatch.setattr(catalog, "turn_training", lambda spark, d: (train, test))
+    settings = {name: [r.setting for r in catalog.QUERIES[name](spark, SF).collect()] for name in ("sweep_mlp_iters", "sweep_mlp_solver", "grid_mlp", "path_mlp_l1", "cv_mlp")}
+    assert settings["sweep_mlp_iters"] == [f"epochs={e}, batch={b}" for b in (10, 20) for e in (100, 200)]
+    assert len(set(settings["sweep_mlp_solver"])) == 6 and len(set(settings["grid_mlp"])) == 6
+    assert len(settings["path_mlp_l1"]) == 2 and len(settings["cv_mlp"]) == 3
+    history = {r.part: r for r in catalog.training_history(spark, SF).collect()}
+    assert set(history) == {"train", "validation"} and all(0 < r.best_accuracy <= 1 and r.lowest_loss > 0 for r in history.values())
 
 
 def test_batch_equals_stream_and_saved_model_agrees(spark, tmp_path):

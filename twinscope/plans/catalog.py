@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinscope.functions import text
-from twinscope.operators import corpus, evaluate, features, joins, prepare, profile, sampling
+from twinscope.operators import corpus, evaluate, features, joins, prepare, profile, resume, sampling
 from twinscope.operators.lemma import lemma_table, lemmatise
-from twinscope.plans import models, scoring
+from twinscope.plans import bayes, models, nets, scoring
 from twinscope.sources import pairs as io
 from twinscope.sources import tables
 from twinscope.sources.scratch import ensure_checkpoint_dir, scratch_path
@@ -56,18 +58,27 @@ def doc_texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lemmas(spark: SparkSession, d: str) -> DataFrame:
-    return lemma_table(tables.lexicon(spark, d))
+    return tables.kept_table(spark, d, "lemmas", ["documents"], lambda: lemma_table(tables.lexicon(spark, d)))
 
 
 def cleaned_docs(spark: SparkSession, d: str) -> DataFrame:
-    """``(key, text)``: every document cleaned and lemmatised once, however many pairs it is in."""
-    docs = doc_texts(spark, d).where(F.col("text").isNotNull()).select(F.col("doc_id").alias("key"), text.normalise(F.col("text")).alias("text"))
-    return lemmatise(docs, "key", ["text"], lemmas(spark, d))
+    """``(key, text)``: every document cleaned and lemmatised once, however many pairs and queries it is in."""
+
+    def build() -> DataFrame:
+        docs = doc_texts(spark, d).where(F.col("text").isNotNull()).select(F.col("doc_id").alias("key"), text.normalise(F.col("text")).alias("text"))
+        return lemmatise(docs, "key", ["text"], lemmas(spark, d))
+
+    return tables.kept_table(spark, d, "cleaned-documents", ["documents"], build)
 
 
 def cleaned_messages(spark: SparkSession, d: str) -> DataFrame:
-    messages = tables.messages(spark, d).where(F.col("text").isNotNull()).select("key", text.normalise(F.col("text")).alias("text"))
-    return lemmatise(messages, "key", ["text"], lemmas(spark, d))
+    """``(key, text)`` of every message, as ``cleaned_docs``."""
+
+    def build() -> DataFrame:
+        messages = tables.messages(spark, d).where(F.col("text").isNotNull()).select("key", text.normalise(F.col("text")).alias("text"))
+        return lemmatise(messages, "key", ["text"], lemmas(spark, d))
+
+    return tables.kept_table(spark, d, "cleaned-messages", ["documents", "conversations"], build)
 
 
 def clean_docs(spark: SparkSession, d: str) -> DataFrame:
@@ -89,6 +100,10 @@ def without_text(df: DataFrame) -> DataFrame:
     return df.select("id", "qid1", "qid2", "is_duplicate")
 
 
+#: The features that are no whole numbers.
+REAL_FEATURES = ["word_share", *features.bags.DISTANCES, "q1_readability_score", "q2_readability_score"]
+
+
 # --- sources and sinks ------------------------------------------------------------
 
 
@@ -102,11 +117,9 @@ def scan_pairs_csv(spark, d):
 @query
 def feature_store_roundtrip(spark, d):
     path = scratch_path(spark, "features")
-    io.write_features(features.with_word_overlap(clean_docs(spark, d), Q1, Q2), path)
-    return rounded(
-        io.read_features(spark, path).select("id", "is_duplicate", "words_diff_q1_q2", "word_common", "word_total", "word_share"),
-        "word_share",
-    )
+    full = features.pair_features(clean_turns(spark, d), Q1, Q2)
+    io.write_features(full.select("id", "is_duplicate", *features.FEATURES), path)
+    return rounded(io.read_features(spark, path), *REAL_FEATURES)
 
 
 @query
@@ -161,7 +174,7 @@ def null_question_rows(spark, d):
 
 @query
 def qid_lookup(spark, d):
-    return profile.key_lookup(tables.open_pairs(spark, d), 1, ["qid1", "qid2"])
+    return profile.key_lookup(tables.open_pairs(spark, d), 4, ["qid1", "qid2"])
 
 
 @query
@@ -241,10 +254,8 @@ def drop_incomplete_features(spark, d):
 
 @query
 def feature_matrix(spark, d):
-    df = features.with_distances(features.with_word_overlap(clean_docs(spark, d), Q1, Q2), Q1, Q2)
-    columns = ["words_diff_q1_q2", "word_common", "word_total", "word_share", "cosine_distance", "canberra_distance"]
-    out = profile.project(df, ["id", "is_duplicate", *columns])
-    return rounded(out, "word_share", "cosine_distance", "canberra_distance")
+    out = profile.project(turn_features(spark, d), ["id", "is_duplicate", *features.FEATURES])
+    return rounded(out, *REAL_FEATURES)
 
 
 @query
@@ -386,14 +397,14 @@ def pair_features(spark, d):
     """Full cleaning and all row-local features of adjacent messages."""
     cleaned = clean_next(spark, d)
     out = features.pair_features(cleaned, Q1, Q2).select("id", "is_duplicate", *features.FEATURES)
-    return rounded(out, "word_share", *features.bags.DISTANCES, "q1_readability_score", "q2_readability_score")
+    return rounded(out, *REAL_FEATURES)
 
 
 @query
 def pair_features_documents(spark, d):
     """The same features on whole documents; too many characters for the SQL check."""
     out = features.pair_features(clean_docs(spark, d), Q1, Q2).select("id", "is_duplicate", *features.FEATURES)
-    return rounded(out, "word_share", *features.bags.DISTANCES, "q1_readability_score", "q2_readability_score")
+    return rounded(out, *REAL_FEATURES)
 
 
 # --- questions, words, vectors ----------------------------------------------------
@@ -413,7 +424,9 @@ def turn_corpus(spark: SparkSession, d: str) -> DataFrame:
 
 
 def turn_vocabulary(spark: SparkSession, d: str) -> DataFrame:
-    return corpus.vocabulary_index(turn_corpus(spark, d), "id", "doc")
+    return tables.kept_table(
+        spark, d, "vocabulary", ["documents", "conversations"], lambda: corpus.vocabulary_index(turn_corpus(spark, d), "id", "doc")
+    )
 
 
 def word_vectors(spark: SparkSession, d: str) -> DataFrame:
@@ -441,6 +454,21 @@ def incremental_questions(spark, d):
     return joins.pending(turn_questions(spark, d), spark.read.parquet(path), "qid")
 
 
+@query
+def resumed_questions(spark, d):
+    """Words of all questions, done in chunks that are committed one by one; a first run ended
+    after two chunks, a second one does the rest."""
+    questions = turn_questions(spark, d)
+    work = resume.ChunkedWork(spark, scratch_path(spark, "chunks"), questions, "qid", chunks=8)
+
+    def count_words(chunk: DataFrame) -> DataFrame:
+        return chunk.select("qid", F.size(text.word_sequence(F.col("question"))).cast("long").alias("n_words"))
+
+    work.run(count_words, at_most=2)
+    work.run(count_words)
+    return work.results()
+
+
 @query
 def embedding_lookup(spark, d):
     vocabulary = turn_vocabulary(spark, d)
@@ -480,8 +508,7 @@ def vocabulary_index(spark, d):
 
 
 def encoded_turns(spark: SparkSession, d: str) -> DataFrame:
-    docs = turn_corpus(spark, d)
-    return corpus.encode(docs, "id", "doc", corpus.vocabulary_index(docs, "id", "doc"))
+    return corpus.encode(turn_corpus(spark, d), "id", "doc", turn_vocabulary(spark, d))
 
 
 @query
@@ -527,9 +554,9 @@ def stratified_folds(spark, d):
 
 @query
 def standardize(spark, d):
-    df = sampling.with_split(overlap_table(spark, d), "id", SEED)
-    fitted = prepare.Standardizer.fit(df.where(F.col("split") == "train"), OVERLAP)
-    return rounded(fitted.transform(df).select("id", *OVERLAP), *OVERLAP)
+    df = sampling.with_split(turn_features(spark, d), "id", SEED)
+    fitted = prepare.Standardizer.fit(df.where(F.col("split") == "train"), features.FEATURES)
+    return rounded(fitted.transform(df).select("id", *features.FEATURES), *features.FEATURES)
 
 
 @query
@@ -583,15 +610,17 @@ def eval_auc(spark, d):
 
 # --- models -----------------------------------------------------------------------
 
-N_FEATURES = len(features.FEATURES)
+#: Epochs of the nets on features, and of those on words.
+EPOCHS, WORD_EPOCHS = 100, 50
 
 
 def turn_features(spark: SparkSession, d: str) -> DataFrame:
     """The feature table of the turn pairs, written once and read back."""
-    path = scratch_path(spark, "turn-features")
-    out = features.pair_features(clean_turns(spark, d), Q1, Q2).select("id", "is_duplicate", *features.FEATURES)
-    io.write_features(out, path)
-    return io.read_features(spark, path)
+
+    def build() -> DataFrame:
+        return features.pair_features(clean_turns(spark, d), Q1, Q2).select("id", "is_duplicate", *features.FEATURES)
+
+    return tables.kept_table(spark, d, "turn-features", ["documents", "conversations"], build)
 
 
 def turn_training(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -612,8 +641,26 @@ _model("model_logreg_l2", lambda train: models.fit_penalised(train, l1=False))
 _model("model_linear_svm", models.fit_linear_svm)
 _model("model_decision_tree", lambda train: models.decision_tree().fit(train))
 _model("model_random_forest", lambda train: models.random_forest(trees=300).fit(train))
-for _net, _hidden in models.NETS.items():
-    _model(f"model_{_net}", lambda train, hidden=_hidden: models.perceptron(N_FEATURES, hidden).fit(train))
+
+
+def turn_shards(spark: SparkSession, d: str, folds: int) -> nets.Shards:
+    """Standardised features of the turn pairs for the trainer of nets; the held-out part validates."""
+    train, test = turn_training(spark, d)
+    columns = ["id", "label", "features", "fold"]
+    data = models.folded(train, folds) if folds else train.withColumn("fold", F.lit(0))
+    return nets.feature_shards(data.select(*columns).unionByName(test.withColumn("fold", F.lit(-1)).select(*columns)), folds, SEED)
+
+
+def _net(name: str, hidden: tuple[int, ...]) -> None:
+    def run(spark, d):
+        shards = turn_shards(spark, d, 0)
+        return nets.predictions(shards, nets.fit(shards, nets.Net(hidden, "relu", "adam"), EPOCHS))
+
+    QUERIES[f"model_{name}"] = run
+
+
+for _name, _hidden in models.NETS.items():
+    _net(_name, _hidden)
 
 
 def _valid(name: str) -> None:
@@ -634,36 +681,63 @@ for _fitted in ("model_logreg", "model_decision_tree", "model_mlp_2"):
 @query
 def model_bernoulli_nb(spark, d):
     """Joint log-probabilities of both classes on the held-out part."""
-    train, test = models.training_tables(overlap_table(spark, d), OVERLAP, "is_duplicate", "id", SEED)
+    train, test = turn_training(spark, d)
     out = models.bernoulli_bayes().fit(train).transform(test)
     raw = models.vector_to_array("rawPrediction")
     return out.select("id", r6(raw[0]).alias("log_joint_0"), r6(raw[1]).alias("log_joint_1"))
 
 
+@query
+def model_bayes_batches(spark, d):
+    """Joint log-probabilities as in ``model_bernoulli_nb``, by counts of batches that came one
+    after the other; the second came twice and counts once."""
+    train, test = turn_training(spark, d)
+    store = bayes.CountStore(spark, scratch_path(spark, "bayes"))
+    batches = [train.where(F.pmod(F.xxhash64("id"), F.lit(3)) == k) for k in range(3)]
+    for number in (0, 1, 1, 2):
+        store.add(batches[number], f"part-{number}")
+    out = store.score(test)
+    return out.select("id", r6("log_joint_0").alias("log_joint_0"), r6("log_joint_1").alias("log_joint_1"))
+
+
 @query
 def cv_mlp(spark, d):
-    train, _ = turn_training(spark, d)
-    return models.compare_nets(train, N_FEATURES, models.NETS)
+    shards = turn_shards(spark, d, 5)
+    fits = nets.fit_all(shards, [nets.Net(hidden, "relu", "adam") for hidden in models.NETS.values()], EPOCHS)
+    return nets.cv_table(spark, fits, [EPOCHS], ["hidden"])
 
 
 @query
 def sweep_mlp_iters(spark, d):
-    train, _ = turn_training(spark, d)
-    return models.search_net(train, N_FEATURES, models.NETS["mlp_2"], {"maxIter": [100, 200], "blockSize": [64, 128]})
+    """Epochs by rows of a mini-batch; the shorter runs are stages of the longer ones."""
+    shards = turn_shards(spark, d, 5)
+    fits = nets.fit_all(shards, [nets.Net(models.NETS["mlp_2"], "relu", "adam", batch=n) for n in (10, 20)], 200)
+    return nets.cv_table(spark, fits, [100, 200], ["batch"])
 
 
 @query
 def sweep_mlp_solver(spark, d):
-    train, _ = turn_training(spark, d)
-    return models.search_net(train, N_FEATURES, models.NETS["mlp_2"], {"solver": ["l-bfgs", "gd"], "maxIter": [100]})
+    """Optimiser by activation."""
+    shards = turn_shards(spark, d, 5)
+    grid = [nets.Net(models.NETS["mlp_2"], a, o) for o in ("rmsprop", "adam", "sgd") for a in ("relu", "tanh")]
+    return nets.cv_table(spark, nets.fit_all(shards, grid, EPOCHS), [EPOCHS], ["optimiser", "activation"])
 
 
 @query
 def grid_mlp(spark, d):
-    train, _ = turn_training(spark, d)
-    # Only gradient descent has a step size.
-    settings = [{"solver": ["l-bfgs"], "maxIter": [50, 100]}, {"solver": ["gd"], "maxIter": [50, 100], "stepSize": [0.03, 0.1]}]
-    return models.search_net(train, N_FEATURES, models.NETS["mlp_2"], settings)
+    """L2 penalty by epochs, from the weakest penalty to the strongest; each begins where the
+    one before ended."""
+    shards = turn_shards(spark, d, 5)
+    path = nets.penalty_path(nets.Net(models.NETS["mlp_2"], "relu", "sgd"), l2=[0.01, 0.5, 1.0])
+    return nets.cv_table(spark, nets.fit_path(shards, path, 100), [50, 100], ["l2"])
+
+
+@query
+def path_mlp_l1(spark, d):
+    """L1 penalties of the net of hyperbolic tangents, as ``grid_mlp``."""
+    shards = turn_shards(spark, d, 5)
+    path = nets.penalty_path(nets.Net(models.NETS["mlp_2"], "tanh", "sgd"), l1=[0.005, 0.01])
+    return nets.cv_table(spark, nets.fit_path(shards, path, 100), [100], ["l1"])
 
 
 @query
@@ -678,22 +752,33 @@ def grid_logreg(spark, d):
 
 @query
 def training_history(spark, d):
-    train, _ = turn_training(spark, d)
-    return models.best_of_history(train, models.perceptron(N_FEATURES, models.NETS["mlp_2"]).fit(train))
+    """Best accuracy and lowest loss of a net over its epochs, on training and held-out rows."""
+    shards = turn_shards(spark, d, 0)
+    return nets.best_of_history(spark, nets.fit(shards, nets.Net(models.NETS["mlp_2"], "tanh", "sgd"), EPOCHS))
 
 
 @query
 def model_text_embed(spark, d):
-    """Classifiers on flattened word embeddings: none, one and two hidden layers."""
-    padded, length = padded_turns(spark, d)
+    """Classifiers on word embeddings in text order: none, one and two hidden layers.
+
+    Each row has the model's mean accuracy over five folds of all rows; predictions for the
+    test part are by the models fitted on the training part.
+    """
     ensure_checkpoint_dir(spark)
-    # Folds are numbered before the wide vectors are joined, so those are written once.
     labels = models.folded(tables.turn_links(spark, d).select("id", F.col("is_duplicate").cast("double").alias("label")), 5, SEED)
-    path = scratch_path(spark, "embedded")
-    embedded = corpus.embedded(padded, "id", "seq", word_vectors(spark, d), DIM).select("id", "features")
-    embedded.join(labels, "id").write.parquet(path)
-    data = sampling.with_split(spark.read.parquet(path), "id", SEED)
-    return models.embedded_text_models(data, length * DIM)
+    rows = encoded_turns(spark, d).join(sampling.with_split(labels, "id", SEED), "id")
+    all_rows = nets.word_shards(rows, word_vectors(spark, d), DIM, 5, SEED)
+    held_out = rows.withColumn("fold", F.when(F.col("split") == "train", 0).otherwise(-1))
+    split_rows = nets.word_shards(held_out, word_vectors(spark, d), DIM, 0, SEED)
+    grid = {"linear": (), "hidden_50": (50,), "hidden_50_25": (50, 25)}
+    jobs = [(shards, nets.Net(hidden, "tanh", "adam")) for hidden in grid.values() for shards in (all_rows, split_rows)]
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        fits = list(pool.map(lambda job: nets.fit(*job, WORD_EPOCHS), jobs))
+    parts = []
+    for name, folds, whole in zip(grid, fits[::2], fits[1::2]):
+        accuracy = float(folds.accuracies(WORD_EPOCHS).mean())
+        parts.append(nets.predictions(split_rows, whole).withColumns({"model": F.lit(name), "cv_accuracy": F.lit(accuracy)}))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query

@@ -7,6 +7,8 @@ A training table is ``(id, label, features, fold)``; fits return Spark ML models
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
@@ -102,12 +104,25 @@ def perceptron(inputs: int, hidden: Sequence[int], max_iter: int = 100, seed: in
 NETS = {"mlp_1": (18, 18, 18), "mlp_2": (18, 9), "mlp_3": (18, 9, 6)}
 
 
-def fit_linear_svm(train: DataFrame, max_iter: int = 100) -> PipelineModel:
-    """A linear SVM, then a logistic regression on its margin for probabilities."""
-    svm = LinearSVC(maxIter=max_iter, tol=TOLERANCE, rawPredictionCol="margin", predictionCol="svm_side").fit(train)
-    margins = svm.transform(train)
-    calibrate = LogisticRegression(featuresCol="margin", maxIter=100, tol=TOLERANCE)
-    return PipelineModel(stages=[svm, calibrate.fit(margins)])
+def fit_linear_svm(train: DataFrame, max_iter: int = 100, folds: int = 5) -> PipelineModel:
+    """A linear SVM, then a logistic regression on its margin for probabilities.
+
+    A row's margin is larger under a model that learned from it, so the regression learns from
+    margins that each row gets by the SVM of the other folds. These are fitted side by side and
+    their margins written before the regression goes over them.
+    """
+    svm = LinearSVC(maxIter=max_iter, tol=TOLERANCE, rawPredictionCol="margin", predictionCol="svm_side")
+    data = folded(train, folds)
+
+    def held_out(k: int) -> DataFrame:
+        return svm.fit(data.where(F.col("fold") != k)).transform(data.where(F.col("fold") == k)).select("id", "label", "margin")
+
+    with ThreadPoolExecutor(folds + 1) as pool:
+        whole = pool.submit(svm.fit, train)
+        margins = reduce(DataFrame.unionByName, pool.map(held_out, range(folds)))
+        margins = margins.checkpoint()
+        calibrate = LogisticRegression(featuresCol="margin", maxIter=100, tol=TOLERANCE)
+        return PipelineModel(stages=[whole.result(), calibrate.fit(margins)])
 
 
 # --- fitting, tuning, scoring ----------------------------------------------------
@@ -185,26 +200,6 @@ def compare_nets(train: DataFrame, inputs: int, nets: dict[str, Sequence[int]],
     return out
 
 
-def embedded_text_models(data: DataFrame, inputs: int, folds: int = 5) -> DataFrame:
-    """Predictions for the test part by models fitted on the training part, with ``model`` and
-    ``cv_accuracy``: each model's mean accuracy over the ``fold``s of all rows.
-
-    ``data`` has ``id``, ``label``, ``features``, ``split`` and ``fold``.
-    """
-    train, test = (data.where(F.col("split") == s) for s in ("train", "test"))
-    estimators = {
-        "linear": logistic(train.count()),
-        "hidden_50": perceptron(inputs, [50]),
-        "hidden_50_25": perceptron(inputs, [50, 25]),
-    }
-    tables = []
-    for name, estimator in estimators.items():
-        (accuracy,) = cross_validated(estimator, ParamGridBuilder().build(), data, folds).avgMetrics
-        predicted = scored(estimator.fit(train), test)
-        tables.append(predicted.withColumns({"model": F.lit(name), "cv_accuracy": F.lit(float(accuracy))}))
-    return tables[0].unionByName(tables[1]).unionByName(tables[2])
-
-
 def search_net(
     train: DataFrame, inputs: int, hidden: Sequence[int], settings: dict[str, list] | list[dict[str, list]], folds: int = 5
 ) -> DataFrame:

@@ -100,35 +100,36 @@ cleaned AS MATERIALIZED (SELECT id, is_duplicate, x.t AS q1, y.t AS q2
   FROM pairs JOIN ld x ON x.doc_id = qid1 JOIN ld y ON y.doc_id = qid2)"""
 )
 
+#: Every message with its number.
+NUMBERED = """
+msg AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY conv_id NULLS FIRST, turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS n FROM conversations)"""
+
 #: Every message, cleaned and lemmatised.
 MESSAGES = (
     f"""
-nm AS MATERIALIZED (SELECT conv_id * 10000 + turn AS m, {normalised('text')} AS t FROM conversations WHERE text IS NOT NULL),"""
+nm AS MATERIALIZED (SELECT n AS m, {normalised('text')} AS t FROM msg WHERE text IS NOT NULL),"""
     + LEXICON + "," + lemmas("nm") + "," + lemmatised("nm", "m", "t", "lm")
 )
 
-TURN = """
-pairs AS (SELECT a.conv_id * 100000 + a.turn * 10 + (b.turn - a.turn) AS id,
-    a.conv_id * 10000 + a.turn AS qid1, a.conv_id * 10000 + b.turn AS qid2,
+TURN = NUMBERED + """,
+pairs AS (SELECT a.n * 2 + (b.turn - a.turn) - 1 AS id, a.n AS qid1, b.n AS qid2,
     a.text AS question1, b.text AS question2, (a.role = b.role)::INT AS is_duplicate
-  FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn IN (a.turn + 1, a.turn + 2))"""
+  FROM msg a JOIN msg b ON a.conv_id = b.conv_id AND b.turn IN (a.turn + 1, a.turn + 2))"""
 
 TURN_CLEAN = TURN + "," + MESSAGES + """,
 cleaned AS MATERIALIZED (SELECT id, is_duplicate, x.t AS q1, y.t AS q2 FROM pairs JOIN lm x ON x.m = qid1 JOIN lm y ON y.m = qid2)"""
 
-OPEN = """
-pairs AS (SELECT c * 10000 + pos AS id, c * 10000 + pos AS qid1, c * 10000 + pos + 1 AS qid2, question1, question2,
-    coalesce((r1 = r2)::INT, 0) AS is_duplicate
-  FROM (SELECT coalesce(l.conv_id, r.conv_id) AS c, coalesce(l.turn + 1, r.turn) AS pos, l.text AS question1,
-      r.text AS question2, l.role AS r1, r.role AS r2
-    FROM conversations l FULL JOIN conversations r ON r.conv_id = l.conv_id AND r.turn = l.turn + 1))"""
+OPEN = NUMBERED + """,
+pairs AS (SELECT coalesce(4 * l.n, 4 * r.n - 1) AS id, coalesce(4 * l.n, 4 * r.n - 1) AS qid1, coalesce(4 * r.n, 4 * l.n + 1) AS qid2,
+    l.text AS question1, r.text AS question2, coalesce((l.role = r.role)::INT, 0) AS is_duplicate
+  FROM msg l FULL JOIN msg r ON r.conv_id = l.conv_id AND r.turn = l.turn + 1)"""
 
 OPEN_CLEAN = OPEN + "," + MESSAGES + """,
-cleaned AS MATERIALIZED (SELECT id, is_duplicate, x.t AS q1, y.t AS q2 FROM pairs JOIN lm x ON x.m + 1 = qid1 JOIN lm y ON y.m + 1 = qid2)"""
+cleaned AS MATERIALIZED (SELECT id, is_duplicate, x.t AS q1, y.t AS q2 FROM pairs JOIN lm x ON 4 * x.m = qid1 JOIN lm y ON 4 * y.m = qid2)"""
 
 OPEN_FILLED = OPEN + "," + MESSAGES + """,
 cleaned AS MATERIALIZED (SELECT id, is_duplicate, coalesce(x.t, '') AS q1, coalesce(y.t, '') AS q2
-  FROM pairs LEFT JOIN lm x ON x.m + 1 = qid1 LEFT JOIN lm y ON y.m + 1 = qid2)"""
+  FROM pairs LEFT JOIN lm x ON 4 * x.m = qid1 LEFT JOIN lm y ON 4 * y.m = qid2)"""
 
 def sql(name: str, ctes: str, body: str, recursive: bool = False) -> None:
     SQL[name] = f"WITH {'RECURSIVE ' if recursive else ''}{ctes}\n{body}" if ctes else body
@@ -155,7 +156,7 @@ sql(
 )
 ALL = "id, qid1, qid2, question1, question2, is_duplicate"
 sql("null_question_rows", OPEN, f"SELECT {ALL} FROM pairs WHERE question1 IS NULL OR question2 IS NULL")
-sql("qid_lookup", OPEN, f"SELECT {ALL} FROM pairs WHERE qid1 = 1 OR qid2 = 1")
+sql("qid_lookup", OPEN, f"SELECT {ALL} FROM pairs WHERE qid1 = 4 OR qid2 = 4")
 KEPT = "pairs WHERE question1 IS NOT NULL AND question2 IS NOT NULL"
 sql("drop_null_pairs", OPEN, f"SELECT {PLAIN} FROM {KEPT}")
 sql("null_check_after_drop", OPEN, f"SELECT count(*) AS n_rows FROM (SELECT * FROM {KEPT}) WHERE question1 IS NULL OR question2 IS NULL")
@@ -269,8 +270,6 @@ def flesch(c: str) -> str:
 FEAT = DOC_CLEAN + "," + overlap()
 VECS = DOC_CLEAN + "," + vectors()
 DISTS = VECS + "," + DIST
-SHOWN = "id, is_duplicate, words_diff_q1_q2, word_common, word_total, {share} AS word_share".format(share=r6("word_share"))
-sql("feature_store_roundtrip", FEAT, f"SELECT {SHOWN} FROM overlap")
 sql("feat_words_diff", FEAT, "SELECT id, words_diff_q1_q2 FROM overlap")
 sql("feat_word_common", FEAT, "SELECT id, word_common FROM overlap")
 sql("feat_word_total", FEAT, "SELECT id, word_total FROM overlap")
@@ -279,10 +278,6 @@ sql("feat_pair_vectors", VECS, "SELECT id, array_to_string(u, ' ') AS vec1, arra
 for _n in ("cosine", "cityblock", "jaccard", "canberra", "euclidean", "braycurtis"):
     sql(f"feat_{_n}", DISTS, f"SELECT id, {r6(f'{_n}_distance')} AS {_n}_distance FROM dist")
 sql("feat_minkowski", DISTS, f"SELECT id, {r6('minkowski_3')} AS minkowski_distance FROM dist")
-sql(
-    "feature_matrix", DISTS + "," + overlap(),
-    f"SELECT o.id, o.is_duplicate, words_diff_q1_q2, word_common, word_total, {r6('word_share')} AS word_share, {r6('cosine_distance')} AS cosine_distance, {r6('canberra_distance')} AS canberra_distance FROM overlap o JOIN dist USING (id)",
-)
 OPEN_DIST = OPEN_FILLED + "," + vectors() + "," + DIST
 sql(
     "drop_incomplete_features", OPEN_DIST,
@@ -420,17 +415,23 @@ for _key, _name in {
     sql(_key, OPEN_CLEAN + "," + fuzzy() + "," + kernels(*_needs), f"SELECT id, ({_expr})::BIGINT AS {_name} FROM {_joined(_needs)}", recursive=True)
 
 _ALL_KERNELS = list(TASKS)
-sql(
-    "pair_features",
-    OPEN_CLEAN + "," + overlap() + "," + vectors() + "," + DIST + ","
-    + ngrams(2, "common_bigrams") + "," + ngrams(3, "common_trigrams") + "," + fuzzy() + "," + kernels(*_ALL_KERNELS),
-    "SELECT fz.id, o.is_duplicate, words_diff_q1_q2, word_common, word_total, " + r6("word_share") + " AS word_share, "
-    + ", ".join(f"{r6(n)} AS {n}" for n in DISTANCES) + ", "
-    + ", ".join(f"({FUZZY[n][0]})::BIGINT AS {n}" for n in SCORES)
-    + f", common_bigrams, common_trigrams, {r6(flesch('fz.q1'))} AS q1_readability_score, {r6(flesch('fz.q2'))} AS q2_readability_score"
-    + f" FROM {_joined(_ALL_KERNELS)} JOIN overlap o ON o.id = fz.id JOIN dist ON dist.id = fz.id JOIN ng2 ON ng2.id = fz.id JOIN ng3 ON ng3.id = fz.id",
-    recursive=True,
+#: Each feature as an expression over ``ALL_FROM``.
+EXPRESSIONS = {
+    **{c: c for c in ("words_diff_q1_q2", "word_common", "word_total", "word_share", *DISTANCES)},
+    **{c: f"({FUZZY[c][0]})::BIGINT" for c in SCORES},
+    **{c: c for c in ("common_bigrams", "common_trigrams")},
+    "q1_readability_score": flesch("fz.q1"),
+    "q2_readability_score": flesch("fz.q2"),
+}
+REAL = ["word_share", *DISTANCES, "q1_readability_score", "q2_readability_score"]
+ALL_PARTS = ",".join(
+    ["", overlap(), vectors(), DIST, ngrams(2, "common_bigrams"), ngrams(3, "common_trigrams"), fuzzy(), kernels(*_ALL_KERNELS)]
 )
+ALL_FROM = f"{_joined(_ALL_KERNELS)} JOIN overlap o ON o.id = fz.id JOIN dist ON dist.id = fz.id JOIN ng2 ON ng2.id = fz.id JOIN ng3 ON ng3.id = fz.id"
+ALL_SHOWN = "fz.id, o.is_duplicate, " + ", ".join(f"{r6(e) if c in REAL else e} AS {c}" for c, e in EXPRESSIONS.items())
+sql("pair_features", OPEN_CLEAN + ALL_PARTS, f"SELECT {ALL_SHOWN} FROM {ALL_FROM}", recursive=True)
+for _name in ("feature_store_roundtrip", "feature_matrix"):
+    sql(_name, TURN_CLEAN + ALL_PARTS, f"SELECT {ALL_SHOWN} FROM {ALL_FROM}", recursive=True)
 
 # --- questions, words, vectors -----------------------------------------------------
 
@@ -457,6 +458,7 @@ sql(
     "incremental_questions", QUESTIONS,
     "SELECT qid, question FROM questions WHERE qid NOT IN (SELECT qid1 FROM pairs WHERE is_duplicate = 1 UNION ALL SELECT qid2 FROM pairs WHERE is_duplicate = 1)",
 )
+sql("resumed_questions", QUESTIONS, f"SELECT qid, len({sequence('question')})::BIGINT AS n_words FROM questions")
 sql(
     "embedding_lookup", TURN + "," + CORPUS + "," + VOCAB + "," + STORE,
     f"SELECT voc.idx, voc.word, 64::BIGINT AS dim, {r6('coalesce(vector[1], 0)')} AS first_value, {r6('coalesce(list_sum(vector), 0)')} AS total FROM voc LEFT JOIN store USING (word)",
@@ -491,11 +493,13 @@ sql(
     "stratified_folds", DOC,
     f"SELECT id, is_duplicate, ((row_number() OVER (ORDER BY is_duplicate, {KEY}, id) - 1) % 5)::INT AS fold FROM pairs",
 )
-OVERLAP = ["words_diff_q1_q2", "word_common", "word_total", "word_share"]
-STATS = FEAT + f""",
-split AS MATERIALIZED (SELECT *, {HASH} < 75 AS train FROM overlap),
-stats AS (SELECT {', '.join(f'avg({c}) AS m_{c}, CASE WHEN stddev_pop({c}) = 0 THEN 1 ELSE stddev_pop({c}) END AS s_{c}' for c in OVERLAP)} FROM split WHERE train)"""
-sql("standardize", STATS, "SELECT id, " + ", ".join(f"{r6(f'({c} - m_{c}) / s_{c}')} AS {c}" for c in OVERLAP) + " FROM split, stats")
+#: All features of the turn pairs, the training part, and its means and deviations without NaN.
+_KNOWN = lambda c: f"CASE WHEN NOT isnan({c}) THEN {c} END"
+STATS = TURN_CLEAN + ALL_PARTS + f""",
+wide AS MATERIALIZED (SELECT fz.id, o.is_duplicate, {', '.join(f'({e})::DOUBLE AS {c}' for c, e in EXPRESSIONS.items())} FROM {ALL_FROM}),
+split AS MATERIALIZED (SELECT *, {HASH} < 75 AS train FROM wide),
+stats AS (SELECT {', '.join(f'avg({_KNOWN(c)}) AS m_{c}, CASE WHEN stddev_pop({_KNOWN(c)}) = 0 THEN 1 ELSE stddev_pop({_KNOWN(c)}) END AS s_{c}' for c in EXPRESSIONS)} FROM split WHERE train)"""
+sql("standardize", STATS, "SELECT id, " + ", ".join(f"{r6(f'({c} - m_{c}) / s_{c}')} AS {c}" for c in EXPRESSIONS) + " FROM split, stats", recursive=True)
 _MAX = "1.7976931348623157e308"
 _FIX = lambda c: f"CASE WHEN isnan({c}) THEN 0 WHEN {c} = 'inf'::DOUBLE THEN {_MAX}::DOUBLE WHEN {c} = '-inf'::DOUBLE THEN -{_MAX}::DOUBLE ELSE {c} END"
 _ODD = "(CASE WHEN word_common = 0 THEN 'inf'::DOUBLE ELSE word_share END)"
@@ -540,17 +544,17 @@ FROM (SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1)
 
 def _joint(y: int) -> str:
     terms = " + ".join(
-        f"CASE WHEN {c} > m_{c} THEN ln(k{y}_{c} + 1) ELSE ln(n{y} - k{y}_{c} + 1) END - ln(n{y} + 2)" for c in OVERLAP
+        f"CASE WHEN {_PRESENT(c)} THEN ln(k{y}_{c} + 1) ELSE ln(n{y} - k{y}_{c} + 1) END - ln(n{y} + 2)" for c in EXPRESSIONS
     )
     return f"ln(n{y} + 1) - ln(n0 + n1 + 2) + {terms}"
 
 
-sql(
-    "model_bernoulli_nb", STATS + f""",
-seen AS (SELECT split.*, {', '.join(f'm_{c}' for c in OVERLAP)} FROM split, stats),
-fit AS (SELECT {', '.join(f'(count(*) FILTER (is_duplicate = {y}))::DOUBLE AS n{y}, ' + ', '.join(f'(count(*) FILTER (is_duplicate = {y} AND {c} > m_{c}))::DOUBLE AS k{y}_{c}' for c in OVERLAP) for y in (0, 1))} FROM seen WHERE train)""",
-    f"SELECT id, {r6(_joint(0))} AS log_joint_0, {r6(_joint(1))} AS log_joint_1 FROM seen, fit WHERE NOT train",
-)
+_PRESENT = lambda c: f"(NOT isnan({c}) AND {c} > m_{c})"
+NB = STATS + f""",
+seen AS (SELECT split.*, {', '.join(f'm_{c}' for c in EXPRESSIONS)} FROM split, stats),
+fit AS (SELECT {', '.join(f'(count(*) FILTER (is_duplicate = {y}))::DOUBLE AS n{y}, ' + ', '.join(f'(count(*) FILTER (is_duplicate = {y} AND {_PRESENT(c)}))::DOUBLE AS k{y}_{c}' for c in EXPRESSIONS) for y in (0, 1))} FROM seen WHERE train)"""
+for _name in ("model_bernoulli_nb", "model_bayes_batches"):
+    sql(_name, NB, f"SELECT id, {r6(_joint(0))} AS log_joint_0, {r6(_joint(1))} AS log_joint_1 FROM seen, fit WHERE NOT train", recursive=True)
 sql(
     "score_stream", OPEN_DIST + "," + overlap(),
     f"SELECT o.id, words_diff_q1_q2, word_common, word_total, {r6('word_share')} AS word_share, {r6('cosine_distance')} AS cosine_distance, {r6('cityblock_distance')} AS cityblock_distance FROM overlap o JOIN dist USING (id)",

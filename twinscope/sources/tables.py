@@ -7,21 +7,31 @@ other, only each with the first of its group.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinscope.functions import text
+from twinscope.operators.ranking import with_row_number
 from twinscope.sources.pairs import repartitioned, spread_by
+from twinscope.sources.scratch import kept
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def in_even_parts(df: DataFrame) -> DataFrame:
+    """A table whose rows are costly to process, in as many parts as there are cores at least."""
+    return repartitioned(df, max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()))
+
+
 def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows are costly to process, in even parts."""
-    df = table(spark, sf_dir, name)
-    return repartitioned(df, max(spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions()))
+    return in_even_parts(table(spark, sf_dir, name))
+
+
+def kept_table(spark: SparkSession, sf_dir: str, name: str, sources: list[str], build) -> DataFrame:
+    """A table made from the given ones, written once for all queries of an application."""
+    return kept(spark, name, [f"{sf_dir}/{s}.parquet" for s in sources], build)
 
 
 def with_texts(links: DataFrame, texts: DataFrame, how: str = "inner") -> DataFrame:
@@ -37,6 +47,10 @@ def with_texts(links: DataFrame, texts: DataFrame, how: str = "inner") -> DataFr
 
 
 def document_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kept_table(spark, sf_dir, "document-links", ["documents"], lambda: _document_links(spark, sf_dir))
+
+
+def _document_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with the next one, and with the first document that shares its
     first line, its last line, or its whole text. Duplicates end in the same line.
     Only ids and digests are moved."""
@@ -81,34 +95,33 @@ def document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_texts(document_links(spark, sf_dir), documents_by_key(spark, sf_dir))
 
 
-#: Turns of a conversation that have a message number of their own.
-MOST_TURNS = 10_000
+def numbered_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages with their number ``n`` from 1 in the order of conversation and turn.
+
+    However many turns a conversation has, no two messages share a number.
+    """
 
+    def build() -> DataFrame:
+        rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+        return with_row_number(rows, [F.col(c) for c in ("conv_id", "turn", "role", "text")], "n")
 
-def _numbered(number: Column) -> Column:
-    """The number, if its turn leaves room for it: colliding ids would multiply rows silently."""
-    fits = F.col("turn").between(0, MOST_TURNS - 1)
-    return F.when(fits, number).otherwise(F.raise_error(F.lit(f"a turn is not in 0 to {MOST_TURNS - 1}")).cast("long"))
+    return kept_table(spark, sf_dir, "messages", ["conversations"], build)
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message with its number as ``key``."""
-    rows = text_table(spark, sf_dir, "conversations")
-    return rows.select(_numbered(F.col("conv_id") * MOST_TURNS + F.col("turn")).alias("key"), "conv_id", "turn", "role", "text")
+    return in_even_parts(numbered_messages(spark, sf_dir)).select(F.col("n").alias("key"), "conv_id", "turn", "role", "text")
 
 
 def turn_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each message with the next and the next but one of its conversation.
     Duplicates come from the same role."""
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
-    first = rows.select("conv_id", "turn", F.col("role").alias("r1"), F.explode(F.array(F.lit(1), F.lit(2))).alias("step"))
+    rows = numbered_messages(spark, sf_dir).select("conv_id", "turn", "role", "n")
+    first = rows.select("conv_id", "turn", F.col("role").alias("r1"), F.col("n").alias("qid1"), F.explode(F.array(F.lit(1), F.lit(2))).alias("step"))
     first = first.withColumn("turn2", F.col("turn") + F.col("step"))
-    second = rows.select("conv_id", F.col("turn").alias("turn2"), F.col("role").alias("r2"))
+    second = rows.select("conv_id", F.col("turn").alias("turn2"), F.col("role").alias("r2"), F.col("n").alias("qid2"))
     return first.join(second, ["conv_id", "turn2"]).select(
-        _numbered(F.col("conv_id") * (10 * MOST_TURNS) + F.col("turn") * 10 + F.col("step")).alias("id"),
-        (F.col("conv_id") * MOST_TURNS + F.col("turn")).alias("qid1"),
-        (F.col("conv_id") * MOST_TURNS + F.col("turn2")).alias("qid2"),
-        (F.col("r1") == F.col("r2")).cast("int").alias("is_duplicate"),
+        (F.col("qid1") * 2 + F.col("step") - 1).alias("id"), "qid1", "qid2", (F.col("r1") == F.col("r2")).cast("int").alias("is_duplicate")
     )
 
 
@@ -117,23 +130,21 @@ def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def open_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each message with the next one, including before the first and after the last
-    of a conversation, where one side has no text. Message numbers here begin at 1: each
-    side's number is that of the place in the pair."""
-    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
-    left = rows.select("conv_id", (F.col("turn") + 1).alias("at"), F.col("role").alias("r1"))
-    right = rows.select("conv_id", F.col("turn").alias("at"), F.col("role").alias("r2"))
+    """Each message with the next one, including before the first and after the last of a
+    conversation, where one side has no text. Places are numbered here: a message has four times
+    its number, the empty places before and after it one less and one more."""
+    rows = numbered_messages(spark, sf_dir).select("conv_id", "turn", "role", (F.col("n") * 4).alias("place"))
+    left = rows.select("conv_id", (F.col("turn") + 1).alias("at"), F.col("role").alias("r1"), F.col("place").alias("p1"))
+    right = rows.select("conv_id", F.col("turn").alias("at"), F.col("role").alias("r2"), F.col("place").alias("p2"))
+    qid1, qid2 = F.coalesce("p1", F.col("p2") - 1), F.coalesce("p2", F.col("p1") + 1)
     return left.join(right, ["conv_id", "at"], "full").select(
-        (F.col("conv_id") * MOST_TURNS + F.col("at")).alias("id"),
-        (F.col("conv_id") * MOST_TURNS + F.col("at")).alias("qid1"),
-        (F.col("conv_id") * MOST_TURNS + F.col("at") + 1).alias("qid2"),
-        F.coalesce((F.col("r1") == F.col("r2")).cast("int"), F.lit(0)).alias("is_duplicate"),
+        qid1.alias("id"), qid1.alias("qid1"), qid2.alias("qid2"), F.coalesce((F.col("r1") == F.col("r2")).cast("int"), F.lit(0)).alias("is_duplicate")
     )
 
 
 def with_open_texts(links: DataFrame, texts: DataFrame, how: str = "left") -> DataFrame:
-    """``with_texts`` for ``open_links``: the sides' messages have the numbers before theirs."""
-    return with_texts(links, texts.select((F.col("key") + 1).alias("key"), "text"), how)
+    """``with_texts`` for ``open_links``, from texts by message number."""
+    return with_texts(links, texts.select((F.col("key") * 4).alias("key"), "text"), how)
 
 
 def open_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
