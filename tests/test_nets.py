@@ -14,14 +14,14 @@ from twinscope.plans.nets import Net
 def dense_rows(x, y, fold):
     n = len(y)
     lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
-    rows = pa.StructArray.from_arrays([pa.array(range(n)), pa.array(y.astype(float)), pa.array(fold, pa.int32()), lists], ["id", "label", "fold", "x"])
+    rows = pa.StructArray.from_arrays([pa.array(range(n)), pa.array(y.astype(float)), pa.array(fold, pa.int32()), pa.array([f < 0 for f in fold]), lists], ["id", "label", "fold", "held", "x"])
     return nets.Rows(rows, None, 0)
 
 
 def word_rows(seqs, vectors, y, fold):
     cuts = np.cumsum([0, *map(len, seqs)]).astype(np.int32)
     lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array([w for s in seqs for w in s], pa.int64()))
-    rows = pa.StructArray.from_arrays([pa.array(range(len(y))), pa.array(y.astype(float)), pa.array(fold, pa.int32()), lists], ["id", "label", "fold", "x"])
+    rows = pa.StructArray.from_arrays([pa.array(range(len(y))), pa.array(y.astype(float)), pa.array(fold, pa.int32()), pa.array([f < 0 for f in fold]), lists], ["id", "label", "fold", "held", "x"])
     known = list(vectors)
     words = pa.StructArray.from_arrays([pa.array(known, pa.int64()), pa.array([list(vectors[w]) for w in known], pa.list_(pa.float32()))], ["idx", "vector"])
     return nets.Rows(rows, words, len(vectors[known[0]]))
@@ -122,6 +122,22 @@ def test_training_equals_a_plain_net(optimiser, activation, l1, l2):
         assert np.allclose(state.weights[k], want, rtol=1e-9, atol=1e-12)
 
 
+def test_last_model_leaves_out_what_is_held_from_it(monkeypatch):
+    """Folds of all rows, and a part of them held out of the last model."""
+    monkeypatch.setattr(nets, "CACHED", 7)
+    rng = np.random.default_rng(8)
+    x, y, fold, held = rng.standard_normal((40, 3)), rng.integers(0, 2, 40).astype(float), np.arange(40) % 2, np.arange(40) % 4 == 3
+    rows = dense_rows(x, y, fold)
+    rows.held, rows.learning = held, np.arange(40)
+    net = Net((4,), "tanh", "adam", batch=6)
+    state = nets.State.of(net, nets.start_weights(net, 3, 3, float))
+    seen = nets.run_epochs(net, 3, state, rows, range(3), worker=2)
+    orders = [np.random.default_rng((net.seed, e, 2)).permutation(40) for e in range(3)]
+    for k, learn in enumerate((fold != 0, fold != 1, ~held)):
+        assert np.allclose(state.weights[k], plain_net(net, x, y, learn, 3, orders), rtol=1e-9, atol=1e-12)
+    assert seen[0, :, 2].tolist() == [20, 20, 30] and seen[0, :, 5].tolist() == [20, 20, 10]
+
+
 def test_soft_threshold_makes_zeros():
     rng = np.random.default_rng(6)
     x, y = rng.standard_normal((60, 5)), rng.integers(0, 2, 60).astype(float)
@@ -135,7 +151,7 @@ def table(spark, n=600):
     corners = spark.range(n).select("id", (F.col("id") % 2).cast("double").alias("a"), (F.col("id") % 4 >= 2).cast("double").alias("b"))
     data = corners.withColumn("label", (F.col("a") != F.col("b")).cast("double"))
     fold = F.when(F.col("id") % 24 >= 20, -1).otherwise((F.floor(F.col("id") / 4) % 3).cast("int"))
-    return models.assemble(data.withColumn("fold", fold), ["a", "b"])
+    return models.assemble(data.withColumn("fold", fold).withColumn("held", F.col("fold") < 0), ["a", "b"])
 
 
 def test_corners_of_a_square_are_learned_by_all_workers(spark, monkeypatch):
@@ -167,6 +183,8 @@ def test_stages_and_paths_go_on_from_saved_weights(spark):
     # The second begins where the first ended.
     assert np.allclose(path[1].history[0, :, 0], path[0].history[-1, :, 0])
     assert np.allclose(whole.history, nets.fit_all(shards, [net], 4)[0].history)
+    parts = nets.fit(shards, net, 4, split=3)
+    assert np.allclose(whole.history, parts.history) and np.allclose(whole.state.weights, parts.state.weights)
     rows = nets.cv_table(spark, path, [2, 4], ["l2"]).collect()
     assert [r.setting for r in rows] == ["epochs=2, l2=0.0", "epochs=4, l2=0.0", "epochs=2, l2=0.5", "epochs=4, l2=0.5"]
 
@@ -175,7 +193,8 @@ def test_words(spark):
     # The label says whether the first word is word 1; word 3 has no vector.
     data = spark.range(300).select("id", F.array((F.col("id") % 2 + 1), F.lit(3), F.col("id") % 5 + 1).cast("array<bigint>").alias("seq"))
     data = data.withColumns({"label": (F.col("id") % 2 == 0).cast("double"), "fold": F.when(F.col("id") % 10 == 0, -1).otherwise((F.col("id") % 3).cast("int"))})
-    data = data.unionByName(spark.createDataFrame([(1000, [], 0.0, 0), (1001, [1], None, 0)], "id long, seq array<bigint>, label double, fold int"))
+    data = data.withColumn("held", F.col("fold") < 0)
+    data = data.unionByName(spark.createDataFrame([(1000, [], 0.0, 0, False), (1001, [1], None, 0, False)], "id long, seq array<bigint>, label double, fold int, held boolean"))
     matrix = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (4, [0.5, 0.5]), (5, [-1.0, 0.2]), (77, [9.0, 9.0])], "idx long, vector array<float>")
     shards = nets.word_shards(data, matrix, 2, 3)
     assert shards.inputs == 6 and shards.frame.selectExpr("size(words) n").first().n == 4

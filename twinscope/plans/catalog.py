@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -646,9 +645,10 @@ _model("model_random_forest", lambda train: models.random_forest(trees=300).fit(
 def turn_shards(spark: SparkSession, d: str, folds: int) -> nets.Shards:
     """Standardised features of the turn pairs for the trainer of nets; the held-out part validates."""
     train, test = turn_training(spark, d)
-    columns = ["id", "label", "features", "fold"]
-    data = models.folded(train, folds) if folds else train.withColumn("fold", F.lit(0))
-    return nets.feature_shards(data.select(*columns).unionByName(test.withColumn("fold", F.lit(-1)).select(*columns)), folds, SEED)
+    data = models.folded(train, folds) if folds else train.withColumn("fold", F.lit(-1))
+    parts = data.withColumn("held", F.lit(False)), test.withColumns({"fold": F.lit(-1), "held": F.lit(True)})
+    columns = ["id", "label", "features", "fold", "held"]
+    return nets.feature_shards(parts[0].select(*columns).unionByName(parts[1].select(*columns)), folds, SEED)
 
 
 def _net(name: str, hidden: tuple[int, ...]) -> None:
@@ -766,18 +766,16 @@ def model_text_embed(spark, d):
     """
     ensure_checkpoint_dir(spark)
     labels = models.folded(tables.turn_links(spark, d).select("id", F.col("is_duplicate").cast("double").alias("label")), 5, SEED)
-    rows = encoded_turns(spark, d).join(sampling.with_split(labels, "id", SEED), "id")
-    all_rows = nets.word_shards(rows, word_vectors(spark, d), DIM, 5, SEED)
-    held_out = rows.withColumn("fold", F.when(F.col("split") == "train", 0).otherwise(-1))
-    split_rows = nets.word_shards(held_out, word_vectors(spark, d), DIM, 0, SEED)
+    rows = encoded_turns(spark, d).join(sampling.with_split(labels, "id", SEED), "id").withColumn("held", F.col("split") == "test")
+    shards = nets.word_shards(rows, word_vectors(spark, d), DIM, 5, SEED)
     grid = {"linear": (), "hidden_50": (50,), "hidden_50_25": (50, 25)}
-    jobs = [(shards, nets.Net(hidden, "tanh", "adam")) for hidden in grid.values() for shards in (all_rows, split_rows)]
-    with ThreadPoolExecutor(len(jobs)) as pool:
-        fits = list(pool.map(lambda job: nets.fit(*job, WORD_EPOCHS), jobs))
+    # The first layers are wide: with few workers the folds' models are tasks of their own.
+    split = max(1, spark.sparkContext.defaultParallelism // shards.workers)
+    fits = nets.fit_all(shards, [nets.Net(hidden, "tanh", "adam") for hidden in grid.values()], WORD_EPOCHS, meet=5, split=split)
     parts = []
-    for name, folds, whole in zip(grid, fits[::2], fits[1::2]):
-        accuracy = float(folds.accuracies(WORD_EPOCHS).mean())
-        parts.append(nets.predictions(split_rows, whole).withColumns({"model": F.lit(name), "cv_accuracy": F.lit(accuracy)}))
+    for name, fitted in zip(grid, fits):
+        accuracy = float(fitted.accuracies(WORD_EPOCHS).mean())
+        parts.append(nets.predictions(shards, fitted).withColumns({"model": F.lit(name), "cv_accuracy": F.lit(accuracy)}))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -5,8 +5,8 @@ round sends the weights to every worker, which goes through its rows in mini-bat
 the mean of the workers' weights, by rows. With one worker this is plain mini-batch training, so
 small tables need one job for all epochs. The models of all folds are trained side by side.
 
-A row's ``fold`` k >= 0 trains all models but the k-th and validates that one; the last model
-learns from all folds. Rows of fold -1 train none and validate the last model.
+A row's ``fold`` k >= 0 trains the models of all other folds and validates the k-th; fold -1 does
+neither. The last model learns from all rows that aren't ``held`` out, and is validated by those.
 """
 
 from __future__ import annotations
@@ -27,8 +27,10 @@ from twinscope.sources.scratch import scratch_path
 
 #: Rows of a worker, on average; the number of workers follows the table.
 WORKER_ROWS = 2000
-#: Numbers that one task adds up at a time when workers' weights are averaged.
-SLOT = 1 << 16
+#: Numbers that are added up at a time when workers' weights are averaged.
+SLOT = 1 << 18
+#: Numbers that an optimiser goes over at a time: all its arrays of them fit a core's cache.
+CACHED = 1 << 15
 #: Step sizes and decay rates of the optimisers, as usual for each.
 STEPS = {"sgd": 0.01, "rmsprop": 0.001, "adam": 0.001}
 RMS_DECAY, ADAM_FIRST, ADAM_SECOND, TINY = 0.9, 0.9, 0.999, 1e-7
@@ -114,31 +116,39 @@ def gradient(net: Net, inputs: int, weights: np.ndarray, x: np.ndarray, y: np.nd
 
 @dataclass
 class State:
-    """Weights of all models, the optimiser's moments, and steps taken."""
+    """Weights of several models, the optimiser's moments, and steps taken.
 
+    ``models`` names each model by the fold it doesn't learn from, the last one by -1.
+    """
+
+    models: tuple[int, ...]
     weights: np.ndarray
     first: np.ndarray
     second: np.ndarray
     steps: float = 0.0
 
     @classmethod
-    def of(cls, net: Net, weights: np.ndarray) -> State:
+    def of(cls, net: Net, weights: np.ndarray, models: tuple[int, ...] | None = None) -> State:
         none = np.zeros((len(weights), 0), weights.dtype)
         return cls(
+            models if models is not None else (*range(len(weights) - 1), -1),
             weights.copy(),
             np.zeros_like(weights) if net.optimiser == "adam" else none,
             np.zeros_like(weights) if net.optimiser != "sgd" else none,
         )
 
+    def copy(self) -> State:
+        return State(self.models, self.weights.copy(), self.first.copy(), self.second.copy(), self.steps)
+
     def flat(self) -> np.ndarray:
-        return np.concatenate([[self.steps], *[a.ravel() for a in (self.weights, self.first, self.second)]])
+        return np.concatenate([np.array([self.steps], self.weights.dtype), *[a.ravel() for a in (self.weights, self.first, self.second)]])
 
     def with_flat(self, flat: np.ndarray) -> State:
         at, parts = 1, []
         for a in (self.weights, self.first, self.second):
             parts.append(flat[at : at + a.size].reshape(a.shape).astype(a.dtype))
             at += a.size
-        return State(*parts, float(flat[0]))
+        return State(self.models, *parts, float(flat[0]))
 
 
 def take_step(net: Net, inputs: int, state: State, slope: np.ndarray) -> None:
@@ -146,26 +156,23 @@ def take_step(net: Net, inputs: int, state: State, slope: np.ndarray) -> None:
     by a constant, stopping there (L1)."""
     step = net.step if net.step is not None else STEPS[net.optimiser]
     state.steps += 1
-    if net.optimiser == "sgd":
-        state.weights -= step * slope
-    elif net.optimiser == "rmsprop":
-        state.second *= RMS_DECAY
-        state.second += (1 - RMS_DECAY) * slope * slope
-        state.weights -= step * slope / (np.sqrt(state.second) + TINY)
-    else:
-        state.first *= ADAM_FIRST
-        state.first += (1 - ADAM_FIRST) * slope
-        slope *= slope
-        state.second *= ADAM_SECOND
-        slope *= 1 - ADAM_SECOND
-        state.second += slope
-        rate = step * math.sqrt(1 - ADAM_SECOND**state.steps) / (1 - ADAM_FIRST**state.steps)
-        np.sqrt(state.second, out=slope)
-        # As with both moments corrected first, the small constant is added to the corrected root.
-        slope += TINY * math.sqrt(1 - ADAM_SECOND**state.steps)
-        np.divide(state.first, slope, out=slope)
-        slope *= rate
-        state.weights -= slope
+    arrays = [a.reshape(-1) for a in (state.weights, state.first, state.second, slope)]
+    for at in range(0, slope.size, CACHED):
+        weights, first, second, g = (a[at : at + CACHED] for a in arrays)
+        if net.optimiser == "sgd":
+            weights -= step * g
+        elif net.optimiser == "rmsprop":
+            second *= RMS_DECAY
+            second += (1 - RMS_DECAY) * g * g
+            weights -= step * g / (np.sqrt(second) + TINY)
+        else:
+            # Both moments are corrected for their start at zero; the small constant comes after that.
+            start = math.sqrt(1 - ADAM_SECOND**state.steps)
+            first *= ADAM_FIRST
+            first += (1 - ADAM_FIRST) * g
+            second *= ADAM_SECOND
+            second += (1 - ADAM_SECOND) * g * g
+            weights -= (step * start / (1 - ADAM_FIRST**state.steps)) * first / (np.sqrt(second) + TINY * start)
     if net.l1 or net.l2:
         for kernel, _ in layers(net, inputs, state.weights):
             kernel /= 1 + 2 * step * net.l2
@@ -176,11 +183,13 @@ class Rows:
     """A worker's rows: numbers as they are, or words looked up in the worker's own vectors."""
 
     def __init__(self, rows: pa.Array, words: pa.Array | None, dim: int):
-        fields = {f: rows.field(f) for f in ("id", "label", "fold")}
+        fields = {f: rows.field(f) for f in ("id", "label", "fold", "held")}
         self.ids = fields["id"]
         self.y = fields["label"].to_numpy(zero_copy_only=False).astype(float)
         self.fold = fields["fold"].to_numpy(zero_copy_only=False)
+        self.held = fields["held"].to_numpy(zero_copy_only=False)
         x = rows.field("x")
+        self.learning = np.flatnonzero((self.fold >= 0) | ~self.held)
         self.offsets = x.offsets.to_numpy()
         flat = x.values.to_numpy(zero_copy_only=False)
         if words is None:
@@ -198,6 +207,14 @@ class Rows:
         found = known[order][place] == flat if len(known) else np.zeros(len(flat), bool)
         self.x = np.where(found, place + 1, 0).astype(np.int32)
 
+    def learned_by(self, models: tuple[int, ...], rows: np.ndarray) -> np.ndarray:
+        """(models, rows): which of the rows each model learns from."""
+        fold, free = self.fold[rows], ~self.held[rows]
+        return np.array([free if k < 0 else (fold >= 0) & (fold != k) for k in models])
+
+    def held_from(self, models: tuple[int, ...], rows: np.ndarray) -> np.ndarray:
+        return np.array([self.held[rows] if k < 0 else self.fold[rows] == k for k in models])
+
     def take(self, rows: np.ndarray) -> np.ndarray:
         if self.table is None:
             return self.x[rows]
@@ -208,39 +225,30 @@ class Rows:
         return self.table[words].reshape(len(rows), -1)
 
 
-def own_folds(models: int) -> np.ndarray:
-    """The fold that each model doesn't learn from, as a column; -1 for the last."""
-    return np.append(np.arange(models - 1), -1)[:, None]
-
-
-def measure(net: Net, inputs: int, weights: np.ndarray, rows: Rows) -> np.ndarray:
+def measure(net: Net, inputs: int, state: State, rows: Rows) -> np.ndarray:
     """(models, 6): loss, hits and rows of the training part, then of the validation part."""
-    models = len(weights)
-    out = np.zeros((models, 6))
-    own = own_folds(models)
+    out = np.zeros((len(state.models), 6))
     for at in range(0, len(rows.y), 256):
         some = np.arange(at, min(at + 256, len(rows.y)))
-        y, fold = rows.y[some], rows.fold[some]
-        logits = forward(net, inputs, weights, rows.take(some))[-1][:, :, 0].astype(float)
+        y = rows.y[some]
+        logits = forward(net, inputs, state.weights, rows.take(some))[-1][:, :, 0].astype(float)
         loss, hit = losses(logits, y), (logits > 0) == (y > 0.5)
-        for k, part in enumerate(((fold >= 0) & (fold != own), fold == own)):
+        for k, part in enumerate((rows.learned_by(state.models, some), rows.held_from(state.models, some))):
             out[:, 3 * k : 3 * k + 3] += np.stack([(loss * part).sum(axis=1), (hit & part).sum(axis=1), part.sum(axis=1)], axis=1)
     return out
 
 
 def run_epochs(net: Net, inputs: int, state: State, rows: Rows, epochs: range, worker: int) -> np.ndarray:
     """Train in place; returns what ``measure`` gives before each epoch."""
-    models = len(state.weights)
-    learn = np.flatnonzero(rows.fold >= 0)
     seen = []
     for epoch in epochs:
-        seen.append(measure(net, inputs, state.weights, rows))
-        order = np.random.default_rng((net.seed, epoch, worker)).permutation(learn)
+        seen.append(measure(net, inputs, state, rows))
+        order = np.random.default_rng((net.seed, epoch, worker)).permutation(rows.learning)
         for at in range(0, len(order), net.batch):
             some = order[at : at + net.batch]
-            mask = rows.fold[some] != own_folds(models)
-            take_step(net, inputs, state, gradient(net, inputs, state.weights, rows.take(some), rows.y[some], mask))
-    return np.array(seen).reshape(-1, models, 6)
+            slope = gradient(net, inputs, state.weights, rows.take(some), rows.y[some], rows.learned_by(state.models, some))
+            take_step(net, inputs, state, slope)
+    return np.array(seen).reshape(-1, len(state.models), 6)
 
 
 # --- all workers --------------------------------------------------------------------------------
@@ -263,7 +271,7 @@ class Shards:
 
 def _dealt(df: DataFrame, x: str, seed: int) -> tuple[DataFrame, int]:
     workers = max(1, -(-df.count() // WORKER_ROWS))
-    row = F.struct(order_key("id", seed).alias("key"), "id", "label", F.col("fold").cast("int").alias("fold"), F.col(x).alias("x"))
+    row = F.struct(order_key("id", seed).alias("key"), "id", "label", F.col("fold").cast("int").alias("fold"), "held", F.col(x).alias("x"))
     worker = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(workers)).cast("int")
     return df.select(worker.alias("worker"), row.alias("row")).where("row.label is not null"), workers
 
@@ -276,7 +284,7 @@ def _written(spark: SparkSession, df: DataFrame, workers: int) -> DataFrame:
 
 
 def feature_shards(df: DataFrame, folds: int, seed: int = 99) -> Shards:
-    """Deal ``(id, label, features, fold)`` with an ML vector to workers."""
+    """Deal ``(id, label, features, fold, held)`` with an ML vector to workers."""
     dealt, workers = _dealt(df.withColumn("_x", vector_to_array("features")), "_x", seed)
     rows = dealt.groupBy("worker").agg(F.sort_array(F.collect_list("row")).alias("rows"))
     frame = _written(df.sparkSession, rows.withColumn("words", F.lit(None).cast("array<struct<idx:bigint,vector:array<float>>>")), workers)
@@ -285,7 +293,7 @@ def feature_shards(df: DataFrame, folds: int, seed: int = 99) -> Shards:
 
 
 def word_shards(df: DataFrame, matrix: DataFrame, dim: int, folds: int, seed: int = 99) -> Shards:
-    """Deal ``(id, label, seq, fold)`` with word numbers to workers, each with the vectors of its
+    """Deal ``(id, label, seq, fold, held)`` with word numbers to workers, each with the vectors of its
     own words from ``matrix`` ``(idx, vector)``; neither texts nor matrix are made dense."""
     dealt, workers = _dealt(df, "seq", seed)
     rows = dealt.groupBy("worker").agg(F.sort_array(F.collect_list("row")).alias("rows"))
@@ -312,30 +320,40 @@ def _round(shipped, inputs: int, dim: int, epochs: range):
         net, state = shipped.value
         total, size, seen = 0.0, 0, 0.0
         for worker, rows in _shard_rows(batches, dim):
-            own = State(state.weights.copy(), state.first.copy(), state.second.copy(), state.steps)
+            own = state.copy()
             if epochs:
                 seen = seen + run_epochs(net, inputs, own, rows, epochs, worker)
-                n = int((rows.fold >= 0).sum())
-                size, total = size + n, total + n * own.flat()
+                n = len(rows.learning)
+                # The whole sum stays in the kind of the weights.
+                size, total = size + n, total + own.flat() * state.weights.dtype.type(n)
             else:
-                seen = seen + measure(net, inputs, own.weights, rows)[None]
+                seen = seen + measure(net, inputs, own, rows)[None]
         if isinstance(seen, float):
             return
-        whole = [np.append(seen.ravel(), size)]
+        whole = [np.append(seen.ravel(), float(size))]
         if epochs:
             whole += np.split(total, range(SLOT, len(total), SLOT))
-        yield pa.RecordBatch.from_arrays([pa.array(range(-1, len(whole) - 1), pa.int32()), pa.array([w.astype(float).tobytes() for w in whole], pa.binary())], ["slot", "data"])
+        yield pa.RecordBatch.from_arrays([pa.array(range(-1, len(whole) - 1), pa.int32()), pa.array([w.tobytes() for w in whole], pa.binary())], ["slot", "data"])
 
     return train
 
 
-def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for slot, data in zip(batch.column("slot").to_pylist(), batch.column("data").to_pylist(), strict=True):
-            part = np.frombuffer(data, float)
-            sums[slot] = sums[slot] + part if slot in sums else part
-    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["slot", "data"])
+def _numbers(slot: int, data: bytes, kind: type) -> np.ndarray:
+    """Slot -1 holds what was measured, in doubles."""
+    return np.frombuffer(data, float if slot < 0 else kind)
+
+
+def _add(kind: type):
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for slot, data in zip(batch.column("slot").to_pylist(), batch.column("data").to_pylist(), strict=True):
+                part = _numbers(slot, data, kind)
+                sums[slot] = sums[slot] + part if slot in sums else part
+        for slot, total in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([slot], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["slot", "data"])
+
+    return add
 
 
 @dataclass
@@ -359,36 +377,48 @@ def _one_round(shards: Shards, net: Net, state: State, epochs: range) -> tuple[S
     out = shards.frame.mapInArrow(_round(shipped, shards.inputs, shards.dim, epochs), schema)
     if shards.workers > 1:
         slots = 1 + -(-state.flat().size // SLOT)
-        out = out.repartition(min(slots, int(context.defaultParallelism)), "slot").mapInArrow(_add, schema)
-    sums = {r.slot: np.frombuffer(r.data, float) for r in out.collect()}
+        out = out.repartition(min(slots, int(context.defaultParallelism)), "slot").mapInArrow(_add(shards.kind), schema)
+    sums = {r.slot: _numbers(r.slot, r.data, shards.kind) for r in out.collect()}
     shipped.destroy()
     seen = sums.pop(-1, np.zeros(1 + max(len(epochs), 1) * len(state.weights) * 6))
     if epochs and seen[-1]:
-        state = state.with_flat(np.concatenate([sums[k] for k in sorted(sums)]) / seen[-1])
+        state = state.with_flat(np.concatenate([sums[k] for k in sorted(sums)]) / shards.kind(seen[-1]))
     return state, seen[:-1].reshape(-1, len(state.weights), 6)
 
 
-def fit(shards: Shards, net: Net, epochs: int, start: State | None = None) -> Fit:
-    """Train for ``epochs`` epochs, from ``start`` on if given; the workers meet after each epoch.
+def fit(shards: Shards, net: Net, epochs: int, start: State | None = None, meet: int = 1, split: int = 1) -> Fit:
+    """Train for ``epochs`` epochs, from ``start`` on if given; the workers meet after every ``meet``.
 
     Only the weights' sums travel: each task adds up its workers, slots of the sum are added up
-    by other tasks, and the driver gets one vector of the size of the models. Rows without a
-    label are left out; a table without rows leaves the weights as they were.
+    by other tasks, and the driver gets one vector of the size of the models. With few workers
+    the models can be ``split`` in parts that are trained side by side, with the same results.
+    Rows without a label are left out; a table without rows leaves the weights as they were.
+    Between meetings the history is that of the workers' own weights.
     """
     state = start or State.of(net, start_weights(net, shards.inputs, shards.folds + 1, shards.kind))
-    history = []
-    at_once = epochs if shards.workers == 1 else 1
-    for at in range(0, epochs, max(at_once, 1)):
-        state, seen = _one_round(shards, net, state, range(at, at + at_once))
-        history.append(seen)
-    history.append(_one_round(shards, net, state, range(0))[1])
-    return Fit(net, state, np.concatenate(history))
+    at_once = epochs if shards.workers == 1 else meet
+
+    def train(part: State) -> tuple[State, np.ndarray]:
+        history = []
+        for at in range(0, epochs, max(at_once, 1)):
+            part, seen = _one_round(shards, net, part, range(at, min(at + at_once, epochs)))
+            history.append(seen)
+        return part, np.concatenate([*history, _one_round(shards, net, part, range(0))[1]])
+
+    parts = []
+    for rows in np.array_split(np.arange(len(state.models)), min(split, len(state.models))):
+        names = tuple(state.models[k] for k in rows)
+        parts.append(State(names, state.weights[rows], state.first[rows], state.second[rows], state.steps))
+    with ThreadPoolExecutor(len(parts)) as pool:
+        done = list(pool.map(train, parts))
+    whole = [np.concatenate([getattr(s, a) for s, _ in done]) for a in ("weights", "first", "second")]
+    return Fit(net, State(state.models, *whole, done[0][0].steps), np.concatenate([h for _, h in done], axis=1))
 
 
-def fit_all(shards: Shards, nets: Sequence[Net], epochs: int, parallelism: int = 8) -> list[Fit]:
+def fit_all(shards: Shards, nets: Sequence[Net], epochs: int, parallelism: int = 8, meet: int = 1, split: int = 1) -> list[Fit]:
     """Train several nets on the same rows, their jobs side by side."""
     with ThreadPoolExecutor(parallelism) as pool:
-        return list(pool.map(lambda net: fit(shards, net, epochs), nets))
+        return list(pool.map(lambda net: fit(shards, net, epochs, meet=meet, split=split), nets))
 
 
 def fit_path(shards: Shards, nets: Sequence[Net], epochs: int) -> list[Fit]:
@@ -401,14 +431,14 @@ def fit_path(shards: Shards, nets: Sequence[Net], epochs: int) -> list[Fit]:
 
 
 def predictions(shards: Shards, fitted: Fit, held_out: bool = True) -> DataFrame:
-    """``(id, label, prediction, probability)`` of the last model, for fold -1 or for all rows."""
+    """``(id, label, prediction, probability)`` of the last model, for the rows held out of it or for all."""
     inputs, dim = shards.inputs, shards.dim
     shipped = shards.frame.sparkSession.sparkContext.broadcast((fitted.net, fitted.state.weights[-1:]))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net, weights = shipped.value
         for _, rows in _shard_rows(batches, dim):
-            wanted = np.flatnonzero(rows.fold < 0) if held_out else np.arange(len(rows.y))
+            wanted = np.flatnonzero(rows.held) if held_out else np.arange(len(rows.y))
             for at in range(0, len(wanted), 256):
                 some = wanted[at : at + 256]
                 logits = forward(net, inputs, weights, rows.take(some))[-1][0, :, 0].astype(float)
