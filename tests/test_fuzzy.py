@@ -123,3 +123,34 @@ def test_scores_are_symmetric(edge_pairs):
     one = fuzzy.with_fuzzy_scores(df, "question1", "question2").select("id", *names)
     two = fuzzy.with_fuzzy_scores(df, "question2", "question1").select("id", *names)
     assert one.exceptAll(two).count() == 0
+
+
+def test_bounded_windows_give_the_same_with_fewer_cells(monkeypatch):
+    rng = random.Random(11)
+    letters = "etaoinshr dlu"
+
+    def text(n):
+        return "".join(rng.choice(letters) for _ in range(n))
+
+    body = text(900)
+    pairs = [(text(60), text(400)), ("abc" * 20, "xyz" * 60), (body[300:420], body), (body[300:420].replace("e", "q", 3), body), ("漢字" * 30, text(300) + "漢x字" * 20)]
+    want = fuzzy.partial_ratios(pairs)
+    cells = {}
+    for s, t in pairs:
+        reached, ranges = fuzzy.candidate_windows(s, t)
+        best = max(fuzzy.lcs_length(s, t[i : i + len(s)]) for i in range(len(t) - len(s) + 1))
+        # Windows outside the ranges don't beat what was reached.
+        inside = [fuzzy.lcs_length(s, t[i : i + len(s)]) for a, b in ranges for i in range(a, b + 1)]
+        assert max([reached, *inside]) == best
+        cells[s] = sum((b - a + len(s)) * len(s) for a, b in ranges)
+    assert cells["abc" * 20] == 0
+    assert cells[pairs[3][0]] < 0.5 * len(pairs[3][0]) * len(body)
+    monkeypatch.setattr(fuzzy, "_BOUND_CELLS", 0)
+    assert fuzzy.partial_ratios(pairs) == want
+
+
+def test_one_score_alone_is_the_same(edge_pairs):
+    whole = {r.id: r for r in fuzzy.with_fuzzy_scores(edge_pairs.na.fill(""), "question1", "question2").collect()}
+    for name in fuzzy.SCORES:
+        alone = fuzzy.with_fuzzy_scores(edge_pairs.na.fill(""), "question1", "question2", [name])
+        assert {r.id: r[name] for r in alone.collect()} == {i: r[name] for i, r in whole.items()}

@@ -3,7 +3,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from twinscope.operators import corpus, evaluate, joins, prepare, profile, ranking, sampling
+from twinscope.operators import tfidf, corpus, evaluate, joins, prepare, profile, ranking, sampling
 from twinscope.sources import pairs as io
 
 
@@ -90,6 +90,54 @@ def test_nearest_word_against_brute_force(spark):
     assert abs(gaps[1] - abs(got[1]["similarity"] - got[2]["similarity"])) < 1e-9 and gaps[2] == 999.0
 
 
+def test_merged_sketches_estimate_distinct_values(spark):
+    df = spark.range(60_000).selectExpr("id % 20000 AS a", "CASE WHEN id % 7 > 0 THEN id END AS b", "CAST(NULL AS STRING) AS c")
+    columns = ["a", "b", "c"]
+    exact = {r.column_name: r.n_distinct for r in profile.distinct_counts(df, columns).collect()}
+    batches = [profile.distinct_sketches(df.where(f"id % 3 = {k}"), columns) for k in (0, 1, 1, 2)]
+    merged = profile.merged_sketches(batches[0].union(batches[1]).union(batches[2]).union(batches[3]))
+    got = {r.column_name: r.n_estimated for r in profile.sketched_counts(merged).collect()}
+    assert exact["c"] == got["c"] == 1
+    assert all(abs(got[c] / exact[c] - 1) < 0.03 for c in columns)
+    assert profile.sketched_counts(profile.distinct_sketches(df.limit(0), columns)).count() == 0
+
+
+def test_corpus_tfidf(spark):
+    texts = {1: "aa bb bb", 2: "bb cc", 3: "cc dd dd", 4: "", 5: "x y"}
+    docs = spark.createDataFrame([*texts.items(), (6, None)], "key long, text string")
+    weighted = tfidf.weights(docs, "key", "text")
+    words = {k: [w for w in t.split() if len(w) > 1] for k, t in texts.items()}
+    df = {w: sum(w in ws for ws in words.values()) for ws in words.values() for w in ws}
+    vectors = {k: {w: ws.count(w) * (np.log(7 / (1 + df[w])) + 1) for w in ws} for k, ws in words.items()}
+    norm = {k: sum(x * x for x in v.values()) ** 0.5 for k, v in vectors.items()}
+    links = spark.createDataFrame([(1, 1, 2), (2, 2, 3), (3, 1, 3), (4, 1, 1), (5, 4, 1), (6, 6, 2)], "id long, l long, r long")
+    got = {r.id: r.cosine for r in tfidf.pair_cosines(links, weighted, "key", "id", "l", "r").collect()}
+    for i, a, b in ((1, 1, 2), (2, 2, 3), (4, 1, 1)):
+        want = sum(x * vectors[b].get(w, 0) for w, x in vectors[a].items()) / (norm[a] * norm[b])
+        assert abs(got[i] - want) < 1e-12
+    assert got[3] == got[5] == got[6] == 0
+
+
+def test_nearest_word_skips_cells_that_cannot_win(spark):
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(20, 8))
+    table = (np.repeat(centres, 50, axis=0) + 0.05 * rng.normal(size=(1000, 8))).astype(np.float32)
+    vectors = spark.createDataFrame(
+        [(f"w{i}", i + 1, 1, [float(x) for x in v]) for i, v in enumerate(table)] + [("zero", 2000, 1, [0.0] * 8)], "word string, idx long, freq long, vector array<float>"
+    )
+    texts = {k: f"w{50 * k} w{50 * k + 1}" for k in range(20)}
+    queries = joins.query_vectors(spark.createDataFrame(list(texts.items()), "qid long, question string"), "qid", "question", vectors)
+    found = joins.searched(queries, vectors, "qid").collect()
+    assert sum(r.skipped for r in found) > 0.7 * sum(r.cells for r in found)
+    unit = table.astype(float) / np.linalg.norm(table.astype(float), axis=1, keepdims=True)
+    got = {r.qid: r for r in joins.nearest_word(queries, vectors, "qid", block_words=300).collect()}
+    for k in range(20):
+        mean = unit[50 * k] + unit[50 * k + 1]
+        scores = unit @ (mean / np.linalg.norm(mean))
+        scores[[50 * k, 50 * k + 1]] = -np.inf
+        assert got[k].word == f"w{scores.argmax()}" and abs(got[k].similarity - scores.max()) < 1e-9
+
+
 def test_unique_questions_first_wins(spark):
     df = spark.createDataFrame([(2, 10, "late", 11, "b"), (1, 12, "c", 10, "early")], "id long, qid1 long, t1 string, qid2 long, t2 string")
     rows = {r["qid"]: r["question"] for r in joins.unique_questions(df, "id", [("qid1", "t1"), ("qid2", "t2")]).collect()}

@@ -27,6 +27,19 @@ SCORES = [
 ]
 
 _BATCH_CELLS = 4_000_000  # state held by one vectorised window search
+_BOUND_CELLS = 1_000_000  # alignment grids from here on are bounded before they are searched
+
+# What each score needs: ratios of whole strings, and of the best window ("part").
+_PARTS = ("full", "sorted", "sets", "part", "part_full", "part_sorted", "part_sets")
+_NEEDS = {
+    "fuzz_qratio": {"full"},
+    "fuzz_WRatio": {"full", "sorted", "sets", "part_full", "part_sorted", "part_sets"},
+    "fuzz_partial_ratio": {"part"},
+    "fuzz_partial_token_set_ratio": {"part_sets"},
+    "fuzz_partial_token_sort_ratio": {"part_sorted"},
+    "fuzz_token_set_ratio": {"sets"},
+    "fuzz_token_sort_ratio": {"sorted"},
+}
 
 
 def _percent(common: int, total: int) -> int:
@@ -114,6 +127,28 @@ def _window_lcs(shorts: list[str], longs: list[str]) -> list[tuple[int, int]]:
     return best
 
 
+def candidate_windows(short: str, long: str) -> tuple[int, list[tuple[int, int]]]:
+    """A length that some window's common subsequence reaches, and the ranges of window starts
+    (first, last) that could have a longer one.
+
+    No common subsequence is longer than the characters that both strings hold, counted with
+    repeats; these counts slide along the longer string in linear time per character. The window
+    with the largest count is aligned exactly.
+    """
+    m, last = len(short), len(long) - len(short)
+    a = np.frombuffer(short.encode("utf-32-le"), dtype=np.uint32)
+    b = np.frombuffer(long.encode("utf-32-le"), dtype=np.uint32)
+    bound = np.zeros(last + 1, dtype=np.int64)
+    for c, n in zip(*np.unique(a, return_counts=True)):
+        seen = np.concatenate([[0], np.cumsum(b == c)])
+        bound += np.minimum(seen[m:] - seen[: last + 1], n)
+    best = int(bound.argmax())
+    reached = lcs_length(short, long[best : best + m])
+    open_ = np.concatenate([[False], bound > reached, [False]])
+    edges = np.flatnonzero(open_[1:] != open_[:-1])
+    return reached, [(int(i), int(j) - 1) for i, j in zip(edges[::2], edges[1::2])]
+
+
 def partial_ratios(
     pairs: Iterable[tuple[str, str]], ratios: dict[tuple[str, str], int] | None = None
 ) -> dict[tuple[str, str], int]:
@@ -131,16 +166,24 @@ def partial_ratios(
             out[a, b] = 0
         elif len(s) == len(t):
             out[a, b] = ratio(a, b)
-        else:
+        elif len(s) * len(t) < _BOUND_CELLS:
             hard.append((len(s), len(t), s, t, a, b))
+        else:
+            m = len(s)
+            reached, ranges = candidate_windows(s, t)
+            out[a, b] = _percent(reached, 2 * m)
+            if sum(j - i + m for i, j in ranges) < 0.9 * len(t):
+                hard += [(m, j - i + m, s, t[i : j + m], a, b) for i, j in ranges]
+            else:
+                hard.append((m, len(t), s, t, a, b))
     hard.sort(key=lambda h: (int(np.log(h[0]) * 5), h[1]))
     batch: list[tuple] = []
 
     def flush() -> None:
         best = _window_lcs([h[2] for h in batch], [h[3] for h in batch])
         for (m, n, _, _, a, b), (window, whole) in zip(batch, best):
-            out[a, b] = _percent(window, 2 * m)
-            if ratios is not None:
+            out[a, b] = max(out.get((a, b), 0), _percent(window, 2 * m))
+            if ratios is not None and n == max(len(a), len(b)):
                 ratios[a, b] = _percent(whole, m + n)
         batch.clear()
 
@@ -157,38 +200,39 @@ def partial_ratios(
     return out
 
 
-_KERNEL = T.StructType(
-    [T.StructField(n, T.IntegerType()) for n in ("full", "sorted", "sets", "part", "part_full", "part_sorted", "part_sets")]
-)
-
-
-@F.pandas_udf(_KERNEL)
-def _kernel(
-    raw1: pd.Series, raw2: pd.Series,
-    full1: pd.Series, full2: pd.Series,
-    sorted1: pd.Series, sorted2: pd.Series,
-    sets1: pd.Series, sets2: pd.Series,
-    wide: pd.Series, apart: pd.Series,
-) -> pd.DataFrame:
-    windows = {
-        "part": list(zip(raw1, raw2)),
-        "part_full": [(a, b) if w else ("", "") for a, b, w in zip(full1, full2, wide)],
-        "part_sorted": list(zip(sorted1, sorted2)),
-        "part_sets": [(a, b) if w else ("", "") for a, b, w in zip(sets1, sets2, apart)],
-    }
-    known: dict[tuple[str, str], int] = {}
-    best = partial_ratios((p for ab in windows.values() for p in ab), known)
-    out = {name: [best[p] for p in ab] for name, ab in windows.items()}
+def _kernel(needed: Iterable[str]):
+    """An Arrow UDF with one integer field for each needed part; it computes no other."""
+    parts = tuple(p for p in _PARTS if p in set(needed))
+
+    @F.pandas_udf(T.StructType([T.StructField(n, T.IntegerType()) for n in parts]))
+    def kernel(
+        raw1: pd.Series, raw2: pd.Series,
+        full1: pd.Series, full2: pd.Series,
+        sorted1: pd.Series, sorted2: pd.Series,
+        sets1: pd.Series, sets2: pd.Series,
+        wide: pd.Series, apart: pd.Series,
+    ) -> pd.DataFrame:
+        strings = {
+            "full": lambda: zip(full1, full2),
+            "sorted": lambda: zip(sorted1, sorted2),
+            "sets": lambda: zip(sets1, sets2),
+            "part": lambda: zip(raw1, raw2),
+            "part_full": lambda: ((a, b) if w else ("", "") for a, b, w in zip(full1, full2, wide)),
+            "part_sorted": lambda: zip(sorted1, sorted2),
+            "part_sets": lambda: ((a, b) if w else ("", "") for a, b, w in zip(sets1, sets2, apart)),
+        }
+        pairs = {p: list(strings[p]()) for p in parts}
+        known: dict[tuple[str, str], int] = {}
+        best = partial_ratios((ab for p in parts if p.startswith("part") for ab in pairs[p]), known)
+
+        def whole(a: str, b: str) -> int:
+            if (a, b) not in known:
+                known[a, b] = ratio(a, b)
+            return known[a, b]
 
-    def whole(a: str, b: str) -> int:
-        if (a, b) not in known:
-            known[a, b] = ratio(a, b)
-        return known[a, b]
+        return pd.DataFrame({p: [best[ab] if p.startswith("part") else whole(*ab) for ab in pairs[p]] for p in parts})
 
-    out["full"] = [whole(a, b) for a, b in zip(full1, full2)]
-    out["sorted"] = [whole(a, b) for a, b in zip(sorted1, sorted2)]
-    out["sets"] = [whole(a, b) for a, b in zip(sets1, sets2)]
-    return pd.DataFrame({f.name: out[f.name] for f in _KERNEL.fields})
+    return kernel
 
 
 def full_process(c: Column) -> Column:
@@ -201,9 +245,10 @@ def _round_half_even(c: Column) -> Column:
     return F.rint(c)
 
 
-def with_fuzzy_scores(df: DataFrame, left: str, right: str) -> DataFrame:
-    """Add the seven scores of ``SCORES`` as long columns."""
-    kept = df.columns
+def with_fuzzy_scores(df: DataFrame, left: str, right: str, scores: Iterable[str] = SCORES) -> DataFrame:
+    """Add scores of ``SCORES`` as long columns, by default all seven; only what they need is computed."""
+    kept, wanted = df.columns, list(scores)
+    needed = set().union(*(_NEEDS[n] for n in wanted))
     df = df.withColumns({"_p1": full_process(F.col(left)), "_p2": full_process(F.col(right))})
     df = df.withColumns(
         {f"_t{k}": F.sort_array(F.array_remove(F.split(F.col(f"_p{k}"), " +"), "")) for k in (1, 2)}
@@ -230,7 +275,7 @@ def with_fuzzy_scores(df: DataFrame, left: str, right: str) -> DataFrame:
     )
     df = df.withColumn(
         "_k",
-        _kernel(
+        _kernel(needed)(
             F.col(left), F.col(right), "_p1", "_p2", "_s1", "_s2", "_c1", "_c2",
             (F.col("_span") >= 1.5) & F.col("_valid"), F.col("_apart") & F.col("_valid"),
         ),
@@ -243,30 +288,36 @@ def with_fuzzy_scores(df: DataFrame, left: str, right: str) -> DataFrame:
         total = F.when(shared > 0, (shared + whole).cast("double"))
         return F.coalesce(_round_half_even(100 * (2.0 * shared / total)), F.lit(0.0))
 
-    token_set = F.greatest(
-        prefix_ratio(F.col("_c1")), prefix_ratio(F.col("_c2")), F.col("_k.sets").cast("double")
-    )
-    partial_set = F.when(F.col("_apart"), F.col("_k.part_sets")).otherwise(100).cast("double")
-    scale = F.when(F.col("_span") > 8, 0.6).otherwise(0.9)
-    weighted = F.when(
-        F.col("_span") < 1.5,
-        F.greatest(F.col("_k.full").cast("double"), F.col("_k.sorted") * 0.95, token_set * 0.95),
-    ).otherwise(
-        F.greatest(
-            F.col("_k.full").cast("double"),
-            F.col("_k.part_full") * scale,
-            F.col("_k.part_sorted") * 0.95 * scale,
-            partial_set * 0.95 * scale,
+    def token_set() -> Column:
+        return F.greatest(prefix_ratio(F.col("_c1")), prefix_ratio(F.col("_c2")), F.col("_k.sets").cast("double"))
+
+    def partial_set() -> Column:
+        return F.when(F.col("_apart"), F.col("_k.part_sets")).otherwise(100).cast("double")
+
+    def weighted() -> Column:
+        scale = F.when(F.col("_span") > 8, 0.6).otherwise(0.9)
+        return F.when(
+            F.col("_span") < 1.5,
+            F.greatest(F.col("_k.full").cast("double"), F.col("_k.sorted") * 0.95, token_set() * 0.95),
+        ).otherwise(
+            F.greatest(
+                F.col("_k.full").cast("double"),
+                F.col("_k.part_full") * scale,
+                F.col("_k.part_sorted") * 0.95 * scale,
+                partial_set() * 0.95 * scale,
+            )
         )
-    )
-    zero = F.lit(0)
-    scores = {
-        "fuzz_qratio": F.when(F.col("_valid"), F.col("_k.full")).otherwise(zero),
-        "fuzz_WRatio": F.when(F.col("_valid"), _round_half_even(weighted)).otherwise(zero),
-        "fuzz_partial_ratio": F.col("_k.part"),
-        "fuzz_partial_token_set_ratio": F.when(F.col("_valid"), partial_set).otherwise(zero),
-        "fuzz_partial_token_sort_ratio": F.col("_k.part_sorted"),
-        "fuzz_token_set_ratio": F.when(F.col("_valid"), token_set).otherwise(zero),
-        "fuzz_token_sort_ratio": F.col("_k.sorted"),
+
+    def valid(score: Column) -> Column:
+        return F.when(F.col("_valid"), score).otherwise(F.lit(0))
+
+    columns = {
+        "fuzz_qratio": lambda: valid(F.col("_k.full")),
+        "fuzz_WRatio": lambda: valid(_round_half_even(weighted())),
+        "fuzz_partial_ratio": lambda: F.col("_k.part"),
+        "fuzz_partial_token_set_ratio": lambda: valid(partial_set()),
+        "fuzz_partial_token_sort_ratio": lambda: F.col("_k.part_sorted"),
+        "fuzz_token_set_ratio": lambda: valid(token_set()),
+        "fuzz_token_sort_ratio": lambda: F.col("_k.sorted"),
     }
-    return df.select(*kept, *[scores[n].cast("long").alias(n) for n in SCORES])
+    return df.select(*kept, *[columns[n]().cast("long").alias(n) for n in wanted])

@@ -107,6 +107,29 @@ def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return stacked.distinct().groupBy("column_name").agg(F.count(F.lit(1)).alias("n_distinct"))
 
 
+def distinct_sketches(df: DataFrame, columns: list[str], lg: int = 14) -> DataFrame:
+    """``(column_name, sketch, nulls)``: one small sketch per column, to be saved and merged.
+
+    ``nulls`` is 1 if the column has a null. The estimate's error is about 1.04 / sqrt(2**lg).
+    """
+    stacked = df.select(
+        F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in columns])).alias("s")
+    ).select("s.*")
+    return stacked.groupBy("column_name").agg(
+        F.hll_sketch_agg("v", lg).alias("sketch"), F.max(F.col("v").isNull().cast("int")).alias("nulls")
+    )
+
+
+def merged_sketches(sketches: DataFrame) -> DataFrame:
+    """One sketch per column from those of any batches; a batch that came twice changes nothing."""
+    return sketches.groupBy("column_name").agg(F.hll_union_agg("sketch").alias("sketch"), F.max("nulls").alias("nulls"))
+
+
+def sketched_counts(sketches: DataFrame) -> DataFrame:
+    """``(column_name, n_estimated)``; all nulls count as one value, as in ``distinct_counts``."""
+    return sketches.select("column_name", (F.hll_sketch_estimate("sketch") + F.col("nulls")).cast("long").alias("n_estimated"))
+
+
 def label_counts(df: DataFrame, label: str, key: str) -> DataFrame:
     return df.groupBy(label).agg(F.count(key).alias("n"))
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinscope.functions import text
-from twinscope.operators import corpus, evaluate, features, joins, prepare, profile, resume, sampling
+from twinscope.operators import corpus, evaluate, features, joins, prepare, profile, resume, sampling, tfidf
 from twinscope.operators.lemma import lemma_table, lemmatise
 from twinscope.plans import bayes, models, nets, scoring
 from twinscope.sources import pairs as io
@@ -207,6 +207,17 @@ def distinct_qids(spark, d):
     return profile.distinct_counts(tables.document_links(spark, d), ["qid1", "qid2"])
 
 
+@query
+def distinct_qids_sketched(spark, d):
+    """Estimated distinct counts from sketches saved by batch and merged."""
+    path = scratch_path(spark, "sketches")
+    links = tables.document_links(spark, d)
+    for k in range(4):
+        batch = links.where(F.pmod(F.col("id"), F.lit(4)) == k)
+        profile.distinct_sketches(batch, ["qid1", "qid2"]).write.parquet(f"{path}/batch={k}")
+    return profile.sketched_counts(profile.merged_sketches(spark.read.parquet(path)))
+
+
 @query
 def label_counts(spark, d):
     return profile.label_counts(tables.document_links(spark, d), "is_duplicate", "id")
@@ -353,7 +364,7 @@ def feat_minkowski(spark, d):
 
 def _fuzzy(key: str, column: str) -> None:
     def run(spark, d):
-        return features.fuzzy.with_fuzzy_scores(clean_next(spark, d), Q1, Q2).select("id", column)
+        return features.fuzzy.with_fuzzy_scores(clean_next(spark, d), Q1, Q2, [column]).select("id", column)
 
     QUERIES[key] = run
 
@@ -391,6 +402,15 @@ def tfidf_cosine(spark, d):
     return rounded(features.with_tfidf_cosine(clean_docs(spark, d), Q1, Q2).select("id", "tfidf_cosine"), "tfidf_cosine")
 
 
+@query
+def corpus_tfidf_cosine(spark, d):
+    """Cosine of two documents' TF-IDF vectors over the whole corpus."""
+    path = scratch_path(spark, "weights")
+    tfidf.weights(cleaned_docs(spark, d), "key", "text").write.parquet(path)
+    cosines = tfidf.pair_cosines(tables.document_links(spark, d), spark.read.parquet(path), "key", "id", "qid1", "qid2")
+    return rounded(cosines, "cosine")
+
+
 @query
 def pair_features(spark, d):
     """Full cleaning and all row-local features of adjacent messages."""

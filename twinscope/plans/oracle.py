@@ -298,6 +298,18 @@ ts AS (SELECT id, sum(x * y) AS dot, sqrt(sum(x * x)) * sqrt(sum(y * y)) AS norm
     f"SELECT id, {r6('CASE WHEN coalesce(norm, 0) > 0 THEN dot / norm ELSE 0 END')} AS tfidf_cosine FROM cleaned LEFT JOIN ts USING (id)",
 )
 
+sql(
+    "corpus_tfidf_cosine",
+    DOC_CLEAN + f""",
+ctf AS MATERIALIZED (SELECT doc_id, w, count(*) AS tf FROM (SELECT doc_id, unnest({_TW('t')}) AS w FROM ld) GROUP BY doc_id, w),
+cdf AS (SELECT w, count(*) AS df FROM ctf GROUP BY w),
+cw0 AS MATERIALIZED (SELECT doc_id, w, tf * (ln((1.0::DOUBLE + (SELECT count(*) FROM ld)) / (1.0::DOUBLE + df)) + 1.0::DOUBLE) AS x FROM ctf JOIN cdf USING (w)),
+cn AS (SELECT doc_id, sqrt(sum(x * x)) AS n FROM cw0 GROUP BY doc_id),
+cu AS MATERIALIZED (SELECT doc_id, w, x / n AS x FROM cw0 JOIN cn USING (doc_id)),
+cd AS (SELECT id, sum(a.x * b.x) AS dot FROM links JOIN cu a ON a.doc_id = qid1 JOIN cu b ON b.doc_id = qid2 AND b.w = a.w GROUP BY id)""",
+    f"SELECT links.id, {r6('coalesce(dot, 0)')} AS cosine FROM links LEFT JOIN cd USING (id)",
+)
+
 # --- edit ratios -------------------------------------------------------------------
 
 
