@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from twinscope.llm.components import written
 from twinscope.llm.textbytes import ALPHANUMERIC, slices
 
 #: Bytes to words: A-Z lower-cased, all that is no letter, digit or byte above 127 a space.
@@ -95,7 +96,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, t
     ``width`` item words), ``items`` (sorted ids of the items with occurring windows).
 
     The benchmark is the stated query set: its windows, each once per item id that holds it,
-    are searched ``per_pass`` at a time, so tables sent to the tasks have a bound; every pass sees all rows. Documents are not
+    are searched ``per_pass`` at a time and what a pass found is written before the next, so the
+    driver and a task hold the tables of one pass; every pass sees all rows. Documents are not
     shuffled. A null or empty text has no words; items without words never occur; a null item
     id counts as the empty string; repeated items count once by id. Columns of ``docs`` named
     like the added ones are replaced; names that begin with an underscore are reserved.
@@ -103,8 +105,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, t
     spark = docs.sparkSession
     docs = docs.drop("n_words", "n_hit", "items")
     columns = docs.columns
+    found = docs.withColumns({"_hit": F.lit(None).cast("binary"), "_items": F.array().cast("array<string>"), "n_hit": F.lit(0).cast("long")})
+
+    def searched(found: DataFrame, patterns: dict) -> DataFrame:
+        tables = spark.sparkContext.broadcast(tables_of(patterns))
+        return found.mapInArrow(_search_pass(tables, text, columns), found.schema)
+
     patterns: dict[tuple[bytes, ...], set[str]] = {}
-    blocks, entries = [], 0
+    entries = 0
     for row in benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t")).toLocalIterator():
         for window in windows_of(words_of(row.t), width):
             owners = patterns.setdefault(window, set())
@@ -113,10 +121,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, t
             owners.add(row.i or "")
             entries += 1
             if entries >= per_pass:
-                blocks.append(spark.sparkContext.broadcast(tables_of(patterns)))
+                found = written(searched(found, patterns), "pass")
                 patterns, entries = {}, 0
-    blocks.append(spark.sparkContext.broadcast(tables_of(patterns)))
-    found = docs.withColumns({"_hit": F.lit(None).cast("binary"), "_items": F.array().cast("array<string>"), "n_hit": F.lit(0).cast("long")})
-    for tables in blocks:
-        found = found.mapInArrow(_search_pass(tables, text, columns), found.schema)
+    found = searched(found, patterns)
     return found.select(*columns, F.octet_length("_hit").cast("long").alias("n_words"), "n_hit", F.col("_items").alias("items"))
