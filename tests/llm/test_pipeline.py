@@ -42,7 +42,7 @@ def test_toxicity(spark, stages):
 
 
 def without_repeats(rows):
-    """Lines that an earlier one equals (from five words) or is one word edit from (from ten)."""
+    """Lines that an earlier one equals or is one word edit from (from ten words)."""
     lines = []
     for r in sorted(rows, key=lambda r: r.doc_id):
         for i, raw in enumerate((r.text or "").split("\n")):
@@ -52,7 +52,7 @@ def without_repeats(rows):
         near = set()
         if len(w) >= 10:
             near = {(*w[:k], "*", *w[k + 1 :]) for k in range(len(w))} | {(*w[:k], "*", *w[k:]) for k in range(len(w) + 1)}
-        if not (len(w) >= 5 and (tuple(w) in seen or near & gaps)):
+        if not (w != [""] and (tuple(w) in seen or near & gaps)):
             kept[doc].append(raw)
         seen.add(tuple(w))
         gaps |= near

@@ -9,8 +9,9 @@ from twinscope.llm.components import written
 
 #: Hash bits of one word; sums of this many words can't leave 64 bits: 2**23.
 WORD_BITS = 40
-#: Bits of the map that keeps most lines without a near copy from being moved; as rows of 64.
-MAP_BITS = 1 << 24
+#: Bits for each wanted key in the map that keeps most other rows from being moved, and its most
+#: bits, in rows of 64; with more keys it would let most rows through and isn't made.
+KEY_BITS, MOST_BITS = 8, 1 << 26
 
 
 def normalised(line: Column) -> Column:
@@ -45,7 +46,7 @@ def line_table(docs: DataFrame, text: str, ident: str, min_words: int, min_edit_
     """
     named = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("line"), normalised(x).alias("norm")))
     counted = F.transform(named, lambda x: F.struct(x["line"].alias("line"), x["norm"].alias("norm"), _words(x["norm"]).alias("n")))
-    long_enough = F.filter(counted, lambda x: x["n"] >= min_words)
+    long_enough = F.filter(counted, lambda x: (x["n"] >= min_words) & (x["norm"] != ""))
     keyed = F.transform(
         long_enough,
         lambda x: F.struct(
@@ -59,20 +60,18 @@ def line_table(docs: DataFrame, text: str, ident: str, min_words: int, min_edit_
     return lines.select(F.struct("id", "body", "x.line").alias("place"), "x.k1", "x.k2", *[F.get("x.h", F.lit(i)).alias(f"h{i}") for i in range(4)])
 
 
-def _bit(key: str) -> tuple[Column, Column]:
-    """Row and bit of a key in the map."""
-    at = F.pmod(F.xxhash64(key), F.lit(MAP_BITS))
-    return F.expr(f"pmod(xxhash64({key}), {MAP_BITS}L) div 64"), F.pmod(at, F.lit(64)).cast("int")
-
-
-def _maybe_in(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """Rows of ``df`` whose key is wanted, and few others: a map of ``MAP_BITS`` bits, whatever
-    the size of the tables, is sent to all tasks."""
-    row, bit = _bit(key)
-    bits = wanted.select(row.alias("_row"), F.expr(f"shiftleft(1L, cast(pmod(pmod(xxhash64({key}), {MAP_BITS}L), 64) as int))").alias("_one"))
-    rows = bits.groupBy("_row").agg(F.bit_or("_one").alias("_bits"))
-    # MAP_BITS / 64 rows at most.
-    return df.withColumns({"_row": row, "_at": bit}).join(F.broadcast(rows), "_row").where(F.expr("shiftrightunsigned(_bits, _at) & 1L") == 1).select(*df.columns)
+def _maybe_in(df: DataFrame, wanted: DataFrame, key: str, n: int) -> DataFrame:
+    """Rows of ``df`` whose key is among the ``n`` wanted ones, and some others, as long as a map
+    of those keys is small enough to be sent to all tasks."""
+    bits = 1 << max(10, (KEY_BITS * n - 1).bit_length())
+    if bits > MOST_BITS:
+        return df
+    row, at = f"pmod(xxhash64({key}), {bits}L) div 64", f"cast(pmod(pmod(xxhash64({key}), {bits}L), 64) as int)"
+    ones = wanted.select(F.expr(row).alias("_row"), F.expr(f"shiftleft(1L, {at})").alias("_one"))
+    rows = ones.groupBy("_row").agg(F.bit_or("_one").alias("_bits"))
+    # MOST_BITS / 64 rows at most.
+    met = df.withColumns({"_row": F.expr(row), "_at": F.expr(at)}).join(F.broadcast(rows), "_row")
+    return met.where(F.expr("shiftrightunsigned(_bits, _at) & 1L") == 1).select(*df.columns)
 
 
 def _texts_of(docs: DataFrame, places: DataFrame, text: str, ident: str) -> DataFrame:
@@ -82,7 +81,7 @@ def _texts_of(docs: DataFrame, places: DataFrame, text: str, ident: str) -> Data
         F.collect_list(F.struct(F.col("first.line").alias("line"), "k1", "k2", "first", "c", "begins", "ends")).alias("wanted")
     )
     texts = docs.select(F.col(ident).alias("_id"), F.xxhash64(text).alias("body"), F.col(text).alias("_text")).where(F.col("_text").isNotNull())
-    texts = _maybe_in(texts, wanted, "body").withColumnRenamed("body", "_body")
+    texts = _maybe_in(texts, wanted, "body", places.count()).withColumnRenamed("body", "_body")
     found = texts.join(wanted, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_body") == F.col("body")))
     split = found.select("wanted", F.split("_text", "\n").alias("_lines"))
     each = F.transform("wanted", lambda w: F.struct(*[w[c].alias(c) for c in ("k1", "k2", "first", "c", "begins", "ends")], normalised(F.get("_lines", w["line"])).alias("norm")))
@@ -133,11 +132,11 @@ def _one_edit(a: Column, b: Column) -> Column:
     return (longer - shorter <= 1) & (same(a, b) + same(F.reverse(a), F.reverse(b)) >= longer - 1)
 
 
-def repeated_lines(docs: DataFrame, text: str = "text", ident: str = "doc_id", min_words: int = 5, min_edit_words: int = 10) -> DataFrame:
+def repeated_lines(docs: DataFrame, text: str = "text", ident: str = "doc_id", min_words: int = 1, min_edit_words: int = 10) -> DataFrame:
     """Places (id, body, line) of lines that an earlier line equals, or nearly equals.
 
-    Lines are compared in lower case with white space collapsed. Equal lines count from
-    ``min_words`` words on; lines one word edit apart (replaced, put in or left out) where both
+    Lines are compared in lower case with white space collapsed; lines without words are no
+    repeats. Equal lines count from ``min_words`` words on; lines one word edit apart (replaced, put in or left out) where both
     have ``min_edit_words`` at least. Earlier is the smaller id, then text hash and line number.
     """
     lines = written(line_table(docs, text, ident, min_words, min_edit_words), "lines")
@@ -163,14 +162,14 @@ def repeated_lines(docs: DataFrame, text: str = "text", ident: str = "doc_id", m
     near = verified.groupBy("k1", "k2").agg(F.min("near").alias("near"))
     least = firsts.join(near, ["k1", "k2"], "left").where("n > 1 or near is not null")
     least = written(least.select("k1", "k2", F.least("first", "near").alias("least")), "least")
-    repeated = _maybe_in(lines.select("place", "k1", "k2"), least, "k1")
+    repeated = _maybe_in(lines.select("place", "k1", "k2"), least, "k1", least.count())
     return repeated.join(least, ["k1", "k2"]).where(F.col("least") < F.col("place")).select("place.*")
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", ident: str = "doc_id", min_words: int = 5, min_edit_words: int = 10) -> DataFrame:
+def dedup_lines(docs: DataFrame, text: str = "text", ident: str = "doc_id", min_words: int = 1, min_edit_words: int = 10) -> DataFrame:
     """Rows of ``docs`` with repeated lines taken out of the text, and ``n_lines``, ``n_dropped``.
 
-    See ``repeated_lines`` for which lines go; the earliest stays, shorter lines always stay. A
+    See ``repeated_lines`` for which lines go; the earliest stays, and so do lines without words. A
     null text has no lines and stays null; an empty one is one empty line. Rows with one id and
     one text are one document and keep the same lines; a null id stands before all others.
     Columns named like the added ones are replaced; names that begin with an underscore are

@@ -120,7 +120,7 @@ WITH l AS (
   SELECT doc_id, i - 1 AS line, string_split(trim(regexp_replace(lower(raw[i]), '\s+', ' ', 'g')), ' ') AS w, raw[i] AS r
   FROM (SELECT doc_id, raw, unnest(range(1, len(raw) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS raw FROM documents))
 ),
-f AS (SELECT w, array_to_string(w, ' ') AS t, min((doc_id, line)) AS first FROM l WHERE len(w) >= 5 GROUP BY w),
+f AS (SELECT w, array_to_string(w, ' ') AS t, min((doc_id, line)) AS first FROM l WHERE w <> [''] GROUP BY w),
 c AS (SELECT t, first, w, unnest(range(1, len(w) + 2)) AS i FROM f WHERE len(w) >= 10),
 v AS (
   SELECT t, first, array_to_string(w[1 : i - 1], ' ') AS x, array_to_string(w[i + 1 :], ' ') AS y FROM c WHERE i <= len(w)
