@@ -9,7 +9,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from twinscope.llm import oracle, packing, queries, substrings
+from twinscope.llm import linededup, neardup, oracle, packing, queries, substrings
 
 SF = "/root/testdata/sf0.001"
 TABLES = "documents pages benchmark labels conversations"
@@ -52,6 +52,12 @@ def test_toxicity(spark, duck, docs):
     assert np.mean([s >= 0.7 for s in clean]) < 0.03
 
 
+def test_line_dedup_without_a_map(spark, duck, monkeypatch):
+    """With more keys than a map has room for, rows are the same."""
+    monkeypatch.setattr(linededup, "MOST_BITS", 0)
+    test_query_equals_sql(spark, duck, "op6_line_dedup")
+
+
 def test_sharding(spark, docs):
     rows = queries.op3_sharding(spark, SF).collect()
     want = {i: (len(t.encode()) + 1, zlib.crc32(t.encode())) for i, t in docs}
@@ -92,7 +98,9 @@ def near_components(docs, width, percent):
     return {i: (len(s), find(i)) for i, s in sets.items()}
 
 
-def test_near_duplicates(spark, docs):
+@pytest.mark.parametrize("members", [2048, 2])
+def test_near_duplicates(spark, docs, members, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK_MEMBERS", members)
     rows = queries.op5_near_duplicates(spark, SF).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == near_components(docs, 3, 85)
     assert all(r.kept == (r.doc_id == r.component_id) for r in rows)

@@ -7,7 +7,7 @@ from math import ceil, comb, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinscope.llm.components import connected_components, written
@@ -106,16 +106,20 @@ def _index(chunks: int):
     return index
 
 
-def group_links(sets: list[np.ndarray], blocks: np.ndarray, percent: int) -> list[tuple[int, int]]:
+def group_links(sets: list[np.ndarray], asks: np.ndarray, known: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Links that connect the members of a group exactly as all their links do.
 
+    Only pairs of which one member ``asks`` are looked at, and members with one ``known``
+    component are connected already.
+
     Sets are coded by which hashes of the first (the hub) they hold, as bits, and how many others.
     The others that two sets share are at most those of the smaller, which bounds their
     similarity; only pairs of different components under which the bound reaches the threshold
-    are compared in full. Members of one block are compared unless the group holds two blocks.
+    are compared in full.
     """
     n = len(sets)
-    least = list(range(n))
+    roots = np.unique(known, return_index=True)[1][np.unique(known, return_inverse=True)[1]]
+    least = roots.tolist()
 
     def find(x: int) -> int:
         while least[x] != x:
@@ -130,15 +134,13 @@ def group_links(sets: list[np.ndarray], blocks: np.ndarray, percent: int) -> lis
         bits[k] = np.packbits(s[at] == sets[0])
     inside = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
     outside = sizes - inside
-    roots = np.arange(n)
-    several = len(set(blocks.tolist())) > 1
     found = []
     for i in range(n - 1):
         rest = slice(i + 1, n)
         common = np.bitwise_count(bits[i] & bits[rest]).sum(axis=1, dtype=np.int64) + np.minimum(outside[i], outside[rest])
         possible = (100 * common >= percent * (sizes[i] + sizes[rest] - common)) & (roots[rest] != roots[i])
-        if several:
-            possible &= blocks[rest] != blocks[i]
+        if not asks[i]:
+            possible &= asks[rest]
         for j in (np.flatnonzero(possible) + i + 1).tolist():
             a, b = find(i), find(j)
             if a == b:
@@ -156,16 +158,16 @@ def _link(percent: int, width: int):
 
     def settle(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         chunk = pa.Table.from_batches(rows).combine_chunks()
-        group, cls, block = (chunk.column(c).to_numpy() for c in ("group", "cls", "block"))
-        # Equal rows of the input bring a class twice.
+        group, cls, asks, known = (chunk.column(c).to_numpy(zero_copy_only=False) for c in ("group", "cls", "asks", "known"))
+        # Equal rows of the input bring a class twice, and so do both sides of a group; the one that asks comes first.
         once = np.ones(len(cls), bool)
         once[1:] = (group[1:] != group[:-1]) | (cls[1:] != cls[:-1])
-        group, cls, block = group[once], cls[once], block[once]
+        group, cls, asks, known = group[once], cls[once], asks[once], known[once]
         sets = shingle_sets(*buffers(chunk.column("_text").filter(pa.array(once)).combine_chunks()), width)
         cuts = np.flatnonzero(np.append(True, group[1:] != group[:-1])).tolist()
         a, b = [], []
         for x, y in zip(cuts, [*cuts[1:], len(cls)], strict=True):
-            for i, j in group_links(sets[x:y], block[x:y], percent):
+            for i, j in group_links(sets[x:y], asks[x:y], known[x:y], percent):
                 a.append(cls[x + i])
                 b.append(cls[x + j])
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -190,20 +192,55 @@ def _link(percent: int, width: int):
     return link
 
 
-def _groups(index: DataFrame, classes: DataFrame) -> DataFrame:
-    """Each bucket's hub, the class with the most copies, with all members: (hub, class) once.
-
-    Rows carry the block they are dealt to and the pair of blocks (as ``group``) they meet in.
-    """
+def _members(index: DataFrame, classes: DataFrame) -> DataFrame:
+    """Each bucket's hub, the class with the most copies, with all members: (hub, class) once,
+    with the block of the hub's members they are dealt to and how many blocks there are."""
     hubs = index.groupBy("key").agg(F.max(F.struct("copies", (-F.col("cls")).alias("_neg"))).alias("h"))
     pairs = index.join(hubs.select("key", (-F.col("h._neg")).alias("hub")), "key").select("hub", "cls").distinct()
     members = pairs.join(classes.select("cls", "_rep", "_hash", "_bytes"), "cls")
-    sizes = members.groupBy("hub").agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS), F.ceil(F.sum("_bytes") / BLOCK_BYTES)).alias("blocks")
-    )
-    dealt = members.join(sizes, "hub").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")))
-    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    return met.select("hub", "cls", "_rep", "_hash", "block", F.xxhash64("hub", F.least("block", "other"), F.greatest("block", "other")).alias("group"))
+    sizes = members.groupBy("hub").agg(_blocks().alias("blocks"))
+    return members.join(sizes, "hub").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")))
+
+
+def _blocks() -> Column:
+    return F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS), F.ceil(F.sum("_bytes") / BLOCK_BYTES))
+
+
+def _numbers(n: str) -> Column:
+    return F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+
+
+_MET = ["hub", "cls", "_rep", "_hash", "group", "asks", "known"]
+
+
+def _own_blocks(members: DataFrame) -> DataFrame:
+    """Members meet within their block; the hub is in all of them."""
+    where = F.when(F.col("cls") == F.col("hub"), _numbers("blocks")).otherwise(F.array("block"))
+    met = members.withColumn("at", F.explode(where))
+    return met.withColumns({"group": F.xxhash64("hub", "at"), "asks": F.lit(True), "known": F.col("cls")}).select(*_MET)
+
+
+def _strays(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members of several blocks that own blocks didn't connect to their hub, with all members.
+
+    Two members can have a link that was not looked at only if one of them isn't connected to
+    the hub yet. Those are dealt to blocks of their own, and each of these meets each block of
+    members; with few of them, a member moves a few times however many blocks its hub has.
+    """
+    large = members.where("blocks > 1")
+    names = large.select(F.col("cls").alias("a")).distinct()
+    inside = links.join(names, "a", "left_semi").join(names.withColumnRenamed("a", "b"), "b", "left_semi").select("a", "b")
+    components = connected_components(inside).select(F.col("node").alias("cls"), "component")
+    joined = large.join(components, "cls", "left").withColumn("known", F.coalesce("component", "cls"))
+    joined = written(joined.drop("component"), "large")
+    homes = joined.where("cls = hub").select("hub", F.col("known").alias("_home"))
+    strays = joined.join(homes, "hub").where("known <> _home").drop("_home")
+    counts = strays.groupBy("hub").agg(_blocks().alias("strays"))
+    asking = strays.join(counts, "hub").withColumns({"s": F.pmod(F.xxhash64("cls", F.lit(1)), F.col("strays")), "at": F.explode(_numbers("blocks"))})
+    hub_too = F.when(F.col("cls") == F.col("hub"), _numbers("blocks")).otherwise(F.array("block"))
+    others = joined.join(counts, "hub").withColumn("at", F.explode(hub_too)).withColumn("s", F.explode(_numbers("strays")))
+    both = asking.withColumn("asks", F.lit(True)).unionByName(others.withColumn("asks", F.lit(False)))
+    return both.withColumn("group", F.xxhash64("hub", "at", "s")).select(*_MET)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: str = "text", ident: str = "doc_id") -> DataFrame:
@@ -217,8 +254,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: st
     in fewer than twice as many positions as there are chunks share a key for certain
     (pigeonhole). The number of chunks makes a pair at the threshold share no key with
     probability 1e-6. The members of all buckets with one hub form a group; in a task, a group
-    (large ones by pairs of blocks) gives only the links that connect its members, so no pairs
-    are written out. Every link is confirmed on the full sets.
+    gives only the links that connect its members, so no pairs are written out. Large groups are
+    dealt to blocks, and only members that their block doesn't connect to the hub meet the other
+    blocks. Every link is confirmed on the full sets.
 
     A text without words (or null) has an empty set and no link. A null id is linked with
     nothing, has a null component and is kept. Rows that share an id are one node: their links
@@ -245,11 +283,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: st
     keys = classes.select("cls", "copies", "_sig").mapInArrow(_index(chunks), "key long, cls long, copies long")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1").select("key")
     index = written(keys.join(shared, "key"), "index")
-    groups = _groups(index, classes)
-    with_text = source.join(groups, (F.col("_id") == F.col("_rep")) & (F.col("_text_hash") == F.col("_hash")))
-    # The hub stands first in its groups.
-    ordered = with_text.repartition("group").sortWithinPartitions("group", F.col("cls") != F.col("hub"), "cls")
-    links = written(ordered.select("group", "cls", "block", "_text").mapInArrow(_link(percent, width), "a long, b long"), "links")
+    members = written(_members(index, classes), "hubs")
+
+    def linked(groups: DataFrame) -> DataFrame:
+        with_text = source.join(groups, (F.col("_id") == F.col("_rep")) & (F.col("_text_hash") == F.col("_hash")))
+        # The hub stands first in its groups, and of one class the row that asks.
+        ordered = with_text.repartition("group").sortWithinPartitions("group", F.col("cls") != F.col("hub"), "cls", F.col("asks").desc())
+        met = ordered.select("group", "cls", "asks", "known", "_text")
+        return written(met.mapInArrow(_link(percent, width), "a long, b long"), "links")
+
+    links = linked(_own_blocks(members))
+    if members.where("blocks > 1").limit(1).count():
+        links = links.unionByName(linked(_strays(members, links)))
     of_class = written(full.join(classes.select("_set", "cls"), "_set").select("_id", "cls"), "members")
     # Rows that share an id connect their classes.
     several = of_class.groupBy("_id").agg(F.min("cls").alias("a"), F.max("cls").alias("_hi")).where("a < _hi")
