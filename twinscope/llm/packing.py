@@ -80,7 +80,7 @@ class _Encoder:
         self.cut = re.compile(f"({longest})") if special else None
 
     def encode(self, text: str) -> bytes:
-        if self.cut and self.cut.search(text):
+        if any(t in text for t in self.special):
             return b"".join(self.special[part] if part in self.special else self._plain(part) for part in self.cut.split(text))
         return self._plain(text)
 
