@@ -311,3 +311,16 @@ def test_toxicity(spark, odd_docs, clash, no_docs):
     assert rows_of(toxicity.score_toxicity(no_docs, net)) == []
     assert toxicity.train(docs, labels.limit(0)) is None
     assert {r["score"] for r in rows_of(toxicity.score_toxicity(odd_docs, None))} == {0.0}
+
+
+def test_suffixes_from_a_table(spark):
+    hosts = spark.createDataFrame([(h,) for h in ("a.b.co.uk", "co.uk", "x.city.kobe.jp", "www.shop.example.com", "com", "", "1.2.3.4")], "host string")
+    suffixes = spark.createDataFrame([("co.uk",), ("com",), ("Kobe.JP",), ("jp",), (None,), ("com",), ("shop.example.com",)], "suffix string")
+    got = {r.host: (r.suffix, r.domain) for r in reputation.by_suffix_table(hosts, suffixes).collect()}
+    assert got == {
+        "a.b.co.uk": ("co.uk", "b.co.uk"), "co.uk": ("co.uk", "co.uk"), "x.city.kobe.jp": ("kobe.jp", "city.kobe.jp"),
+        "www.shop.example.com": ("shop.example.com", "www.shop.example.com"), "com": ("com", "com"), "": ("", ""), "1.2.3.4": ("4", "3.4"),
+    }
+    pages = spark.createDataFrame([(1, "http://a.b.co.uk/x"), (2, None)], "page_id long, url string")
+    outcomes = spark.createDataFrame([(1, 1)], "page_id long, bad int")
+    assert reputation.judge_urls(pages, outcomes, [("allow", "org/")], suffixes=suffixes).count() == 2

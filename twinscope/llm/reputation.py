@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Suffixes of two labels under which names are registered.
+from twinscope.llm.components import written
+
+#: Common suffixes of two labels under which names are registered, used where no
+#: table of suffixes is given.
 TWO_LABEL_SUFFIXES = ["co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.jp", "co.nz", "co.za", "com.br", "com.cn", "com.mx", "co.in", "co.kr"]
 #: Prior counts are kept in this range, so that a level without spread or with few groups is no certainty.
 LEAST_PRIOR, MOST_PRIOR = 1.0, 1000.0
@@ -28,6 +31,19 @@ def suffix_and_domain(host: Column) -> tuple[Column, Column]:
     return F.when(n == 2, tail(2)).otherwise(tail(1)), F.when(n == 2, tail(3)).otherwise(tail(2))
 
 
+def by_suffix_table(hosts: DataFrame, suffixes: DataFrame) -> DataFrame:
+    """``hosts`` with ``suffix`` and ``domain`` by a table with a column ``suffix``, such as a
+    public suffix list: the longest one that a host ends in, else its last label. Null suffixes
+    and repeats count for nothing; a host that is a suffix itself is its own domain."""
+    labels = F.split("host", r"\.")
+    tails = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.struct(k.alias("k"), F.array_join(F.slice(labels, -k, k), ".").alias("suffix")))
+    known = suffixes.where("suffix is not null").select(F.lower("suffix").alias("suffix")).distinct()
+    found = hosts.select("host", F.explode(tails).alias("t")).select("host", "t.*").join(known, "suffix").groupBy("host").agg(F.max("k").alias("_k"))
+    n = F.coalesce("_k", F.lit(1))
+    tail = lambda k: F.when(F.size(labels) > k, F.array_join(F.slice(labels, -k, k), ".")).otherwise(F.col("host"))
+    return hosts.join(found, "host", "left").withColumns({"suffix": tail(n), "domain": tail(n + 1)}).drop("_k")
+
+
 def _prior_counts(groups: DataFrame) -> DataFrame:
     """Strength of a beta prior from the spread of the groups' rates, by moments: one row."""
     totals = groups.agg(
@@ -47,7 +63,7 @@ def _prior_counts(groups: DataFrame) -> DataFrame:
     return totals.select(mean.alias("mean"), F.least(F.greatest(strength, F.lit(LEAST_PRIOR)), F.lit(MOST_PRIOR)).alias("prior"))
 
 
-def host_reputation(pages: DataFrame, outcomes: DataFrame, ident: str, z: float = 1.28) -> DataFrame:
+def host_reputation(pages: DataFrame, outcomes: DataFrame, ident: str, z: float = 1.28, suffixes: DataFrame | None = None) -> DataFrame:
     """Per host: labelled pages ``n``, bad ones ``bad``, posterior ``rate`` and its lower ``bound``.
 
     A host's rate is shrunk to its registered domain's, that to its suffix's, that to the overall
@@ -63,7 +79,9 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame, ident: str, z: float
         .agg(F.count("_bad").alias("n"), F.coalesce(F.sum("_bad"), F.lit(0)).cast("long").alias("bad"))
     )
     suffix, domain = suffix_and_domain(F.col("host"))
-    hosts = hosts.withColumns({"suffix": suffix, "domain": domain})
+    named = hosts.withColumns({"suffix": suffix, "domain": domain}) if suffixes is None else by_suffix_table(hosts, suffixes)
+    # Every level reads the hosts.
+    hosts = written(named, "hosts")
     domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
 
@@ -88,21 +106,22 @@ def _fits(rule: str) -> Column:
 
 
 def judge_urls(
-    pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str]], ident: str = "page_id", url: str = "url", most_bad: float = 0.25, z: float = 1.28
+    pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str]], ident: str = "page_id", url: str = "url", most_bad: float = 0.25, z: float = 1.28, suffixes: DataFrame | None = None
 ) -> DataFrame:
     """Rows of ``pages`` with ``host``, ``path``, ``rule``, ``bad_bound`` and ``verdict``.
 
     ``rules`` are (verdict, host and path): a rule fits its host and all subdomains where the path
     starts with the rule's; the longest wins (of equal ones the first). Pages that no rule fits
     are blocked if the lower posterior bound of their host's rate of bad pages is over
-    ``most_bad``. The rule list is a stated set of a few hundred at most, as it becomes part of
+    ``most_bad``. ``suffixes`` is a table of public suffixes (see ``by_suffix_table``); without it
+    a short list of common ones stands in. The rule list is a stated set of a few hundred at most, as it becomes part of
     the plan. A null url has empty host and path, and is judged as the host without a name;
     repeated pages are judged each; columns named like the added ones are replaced.
     """
     pages = pages.drop("host", "path", "rule", "verdict", "bad_bound")
     host, path = host_and_path(F.col(url))
     named = pages.withColumns({"host": host, "path": path})
-    reputation = host_reputation(named.select(ident, "host"), outcomes.select(ident, "bad"), ident, z)
+    reputation = host_reputation(named.select(ident, "host"), outcomes.select(ident, "bad"), ident, z, suffixes)
     ordered = sorted(rules, key=lambda r: -len(r[1]))
     rule = F.coalesce(*[F.when(_fits(r), F.lit(r)) for _, r in ordered], F.lit(None).cast("string"))
     by_rule = F.coalesce(*[F.when(F.col("rule") == r, F.lit(v)) for v, r in ordered], F.lit(None).cast("string"))
