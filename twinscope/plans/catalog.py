@@ -477,7 +477,10 @@ def incremental_questions(spark, d):
 def resumed_questions(spark, d):
     """Words of all questions, done in chunks that are committed one by one; a first run ended
     after two chunks, a second one does the rest."""
-    questions = turn_questions(spark, d)
+    # Every chunk reads the table, so it is written first.
+    source = scratch_path(spark, "questions")
+    turn_questions(spark, d).write.parquet(source)
+    questions = spark.read.parquet(source)
     work = resume.ChunkedWork(spark, scratch_path(spark, "chunks"), questions, "qid", chunks=8)
 
     def count_words(chunk: DataFrame) -> DataFrame:
