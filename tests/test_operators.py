@@ -105,7 +105,7 @@ def test_merged_sketches_estimate_distinct_values(spark):
 def test_corpus_tfidf(spark):
     texts = {1: "aa bb bb", 2: "bb cc", 3: "cc dd dd", 4: "", 5: "x y"}
     docs = spark.createDataFrame([*texts.items(), (6, None)], "key long, text string")
-    weighted = tfidf.weights(docs, "key", "text")
+    weighted = tfidf.sparse_vectors(docs, "key", "text")
     words = {k: [w for w in t.split() if len(w) > 1] for k, t in texts.items()}
     df = {w: sum(w in ws for ws in words.values()) for ws in words.values() for w in ws}
     vectors = {k: {w: ws.count(w) * (np.log(7 / (1 + df[w])) + 1) for w in ws} for k, ws in words.items()}

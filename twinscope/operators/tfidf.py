@@ -6,41 +6,78 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinscope.operators.joins import dictionary_join
+from twinscope.sources.scratch import scratch_path
 
 #: Words are runs of two or more word characters.
 WORD = r"[\p{L}\p{N}_]{2,}"
 
 
-def term_frequencies(docs: DataFrame, key: str, column: str) -> DataFrame:
-    """``(key, word, tf)``: each word of each document with its count; a null text has none."""
-    words = F.regexp_extract_all(F.lower(F.col(column)), F.lit(WORD), F.lit(0))
-    return docs.select(key, F.explode(words).alias("word")).groupBy(key, "word").agg(F.count(F.lit(1)).alias("tf"))
+def term_counts(docs: DataFrame, key: str, column: str) -> DataFrame:
+    """``(key, terms)``: the distinct words of each document with their counts, in order of the
+    word, from one sort per text. Nothing is shuffled. A null text has no words."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(column, F.lit(""))), F.lit(WORD), F.lit(0))
+    counted = docs.select(key, F.sort_array(words).alias("_w")).withColumn("_n", F.size("_w"))
+    starts = F.filter(
+        F.when(F.col("_n") > 0, F.sequence(F.lit(0), F.col("_n") - 1)).otherwise(F.array().cast("array<int>")),
+        lambda i: (i == 0) | (F.get("_w", i) != F.get("_w", i - 1)),
+    )
+    counted = counted.withColumn("_at", starts)
+    ends = F.concat(F.slice("_at", F.lit(2), F.col("_n")), F.array("_n"))
+    return counted.select(
+        key,
+        F.zip_with(
+            F.col("_at"),
+            F.slice(ends, F.lit(1), F.size("_at")),
+            lambda a, b: F.struct(F.get("_w", a).alias("word"), (b - a).alias("tf")),
+        ).alias("terms"),
+    )
 
 
-def document_frequencies(frequencies: DataFrame) -> DataFrame:
-    """``(word, df)`` from term frequencies; the counts are partial before the shuffle."""
-    return frequencies.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+def document_frequencies(counts: DataFrame) -> DataFrame:
+    """``(word, df)`` from written term counts; partial sums are made before the shuffle."""
+    return counts.select(F.explode("terms.word").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
 
 
-def weights(docs: DataFrame, key: str, column: str) -> DataFrame:
-    """``(key, word, weight)``: tf times ln((1 + n) / (1 + df)) + 1, each document of length one.
+def sparse_vectors(docs: DataFrame, key: str, column: str) -> DataFrame:
+    """``(key, terms, weights)``: word numbers of each document in order and their weights, which
+    are tf times ln((1 + n) / (1 + df)) + 1 over the length of the whole vector. ``key`` is unique.
 
-    ``n`` counts all documents, those without words included. Frequent words get their document
-    frequency in place, the others by a shuffled join; no vector is wider than its document.
+    ``n`` counts all documents, those without words (which have no row here) included.
+    Counts are written once for both passes over them, and frequencies with a number for each word.
+    Frequent words are looked up in place, the others by a shuffled join; no vector is wider than
+    its document.
     """
-    frequencies = term_frequencies(docs, key, column)
-    n = docs.agg(F.count(F.lit(1))).first()[0]
-    found = dictionary_join(frequencies, document_frequencies(frequencies), "word")
-    raw = found.select(key, "word", (F.col("tf") * (F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0)).alias("raw"))
-    lengths = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_length"))
-    return raw.join(lengths, key).select(key, "word", (F.col("raw") / F.col("_length")).alias("weight"))
-
-
-def pair_cosines(links: DataFrame, weighted: DataFrame, key: str, pair: str, left: str, right: str) -> DataFrame:
-    """``(pair, cosine)`` of all links ``(pair, left, right)``: the words of the left side meet
-    those of the right side by document and word. Pairs without a common word have 0."""
-    first = weighted.select(F.col(key).alias(left), "word", F.col("weight").alias("_w1"))
-    second = weighted.select(F.col(key).alias(right), "word", F.col("weight").alias("_w2"))
-    met = links.select(pair, left, right).join(first, left).join(second, [right, "word"])
-    sums = met.groupBy(pair).agg(F.sum(F.col("_w1") * F.col("_w2")).alias("_dot"))
-    return links.select(pair).join(sums, pair, "left").select(pair, F.coalesce("_dot", F.lit(0.0)).alias("cosine"))
+    spark = docs.sparkSession
+    counted, path = term_counts(docs, key, column), scratch_path(spark, "term-counts")
+    counted.write.parquet(path)
+    counts = spark.read.schema(counted.schema).parquet(path)
+    path = scratch_path(spark, "document-frequencies")
+    document_frequencies(counts).withColumn("term", F.monotonically_increasing_id()).write.parquet(path)
+    known = spark.read.schema("word string, df long, term long").parquet(path)
+    n = counts.count()
+    idf = (F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0).alias("idf")
+    entries = known.select("word", "term", idf)
+    tokens = counts.select(key, F.explode("terms").alias("t")).select(key, "t.word", "t.tf")
+    found = dictionary_join(tokens, entries, "word", known.select("word", F.col("df").alias("_n")))
+    raw = found.select(key, "term", (F.col("tf") * F.col("idf")).alias("raw"))
+    whole = raw.groupBy(key).agg(
+        F.sort_array(F.collect_list(F.struct("term", "raw"))).alias("_v"), F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("_length")
+    )
+    return whole.select(key, F.col("_v.term").alias("terms"), F.transform("_v.raw", lambda x: x / F.col("_length")).alias("weights"))
+
+
+def pair_cosines(links: DataFrame, vectors: DataFrame, key: str, pair: str, left: str, right: str) -> DataFrame:
+    """``(pair, cosine)`` of all links ``(pair, left, right)``; pairs without a common word have 0.
+
+    The two vectors of a pair, one row each, are merged by one sort: equal word numbers lie
+    side by side then. No row per word is made.
+    """
+    for side, own in (("_1", left), ("_2", right)):
+        vector = vectors.select(F.col(key).alias(own), F.arrays_zip(F.col("terms").alias("t"), F.col("weights").alias("w")).alias(side))
+        links = links.select(pair, left, right, *[c for c in links.columns if c == "_1"]).join(vector, own, "left")
+    merged = links.select(pair, F.sort_array(F.concat("_1", "_2")).alias("_m"))
+    width = F.greatest(F.size("_m") - 1, F.lit(0))
+    products = F.zip_with(
+        F.slice("_m", F.lit(1), width), F.slice("_m", F.lit(2), width), lambda a, b: F.when(a["t"] == b["t"], a["w"] * b["w"]).otherwise(0.0)
+    )
+    return merged.select(pair, F.coalesce(F.aggregate(products, F.lit(0.0), lambda a, x: a + x), F.lit(0.0)).alias("cosine"))

@@ -405,9 +405,10 @@ def tfidf_cosine(spark, d):
 @query
 def corpus_tfidf_cosine(spark, d):
     """Cosine of two documents' TF-IDF vectors over the whole corpus."""
-    path = scratch_path(spark, "weights")
-    tfidf.weights(cleaned_docs(spark, d), "key", "text").write.parquet(path)
-    cosines = tfidf.pair_cosines(tables.document_links(spark, d), spark.read.parquet(path), "key", "id", "qid1", "qid2")
+    path = scratch_path(spark, "vectors")
+    vectors = tfidf.sparse_vectors(cleaned_docs(spark, d), "key", "text")
+    vectors.write.parquet(path)
+    cosines = tfidf.pair_cosines(tables.document_links(spark, d), spark.read.schema(vectors.schema).parquet(path), "key", "id", "qid1", "qid2")
     return rounded(cosines, "cosine")
 
 
