@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinscope.operators.joins import dictionary_join
-from twinscope.sources.scratch import scratch_path
+from twinscope.sources.scratch import written
 
 #: Words are runs of two or more word characters.
 WORD = r"[\p{L}\p{N}_]{2,}"
@@ -47,13 +47,8 @@ def sparse_vectors(docs: DataFrame, key: str, column: str) -> DataFrame:
     Frequent words are looked up in place, the others by a shuffled join; no vector is wider than
     its document.
     """
-    spark = docs.sparkSession
-    counted, path = term_counts(docs, key, column), scratch_path(spark, "term-counts")
-    counted.write.parquet(path)
-    counts = spark.read.schema(counted.schema).parquet(path)
-    path = scratch_path(spark, "document-frequencies")
-    document_frequencies(counts).withColumn("term", F.monotonically_increasing_id()).write.parquet(path)
-    known = spark.read.schema("word string, df long, term long").parquet(path)
+    counts = written(term_counts(docs, key, column), "term-counts")
+    known = written(document_frequencies(counts).withColumn("term", F.monotonically_increasing_id()), "document-frequencies")
     n = counts.count()
     idf = (F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0).alias("idf")
     entries = known.select("word", "term", idf)

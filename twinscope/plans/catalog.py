@@ -14,7 +14,7 @@ from twinscope.operators.lemma import lemma_table, lemmatise
 from twinscope.plans import bayes, models, nets, scoring
 from twinscope.sources import pairs as io
 from twinscope.sources import tables
-from twinscope.sources.scratch import ensure_checkpoint_dir, scratch_path
+from twinscope.sources.scratch import ensure_checkpoint_dir, scratch_path, written
 from twinscope.streaming import scoring as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -405,10 +405,8 @@ def tfidf_cosine(spark, d):
 @query
 def corpus_tfidf_cosine(spark, d):
     """Cosine of two documents' TF-IDF vectors over the whole corpus."""
-    path = scratch_path(spark, "vectors")
-    vectors = tfidf.sparse_vectors(cleaned_docs(spark, d), "key", "text")
-    vectors.write.parquet(path)
-    cosines = tfidf.pair_cosines(tables.document_links(spark, d), spark.read.schema(vectors.schema).parquet(path), "key", "id", "qid1", "qid2")
+    vectors = written(tfidf.sparse_vectors(cleaned_docs(spark, d), "key", "text"), "vectors")
+    cosines = tfidf.pair_cosines(tables.document_links(spark, d), vectors, "key", "id", "qid1", "qid2")
     return rounded(cosines, "cosine")
 
 

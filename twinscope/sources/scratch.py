@@ -42,6 +42,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The table, written to this application's folder once; all that follow read it there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _state(spark: SparkSession, path: str) -> tuple:
     """Names, sizes and times of the files behind a table."""
     context = spark.sparkContext
