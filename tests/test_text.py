@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from twinscope.functions import text
-from twinscope.operators.lemma import lemma_table, lemmatise
+from twinscope.operators.lemma import ENDINGS, lemma_table, lemmatise
 
 
 def one(spark, value, expr):
@@ -60,3 +60,11 @@ def test_lemmas(spark):
     assert out == {1: "dog bus wolf box waltz church dish man city a goose cats dog", 2: "", 3: "none here"}
     plain = {r["word"]: r["lemma"] for r in lemma_table(lexicon).collect()}
     assert plain["men"] == "man" and "geese" not in plain
+
+
+def test_lemmas_by_ending_are_all_lemmas(spark):
+    words = ["glass", "glas", "woman", "women", "knife", "knives", "knif", "boxes", "box", "fly", "flies", "church", "churches", "s", "men"]
+    table = lemma_table(spark.createDataFrame([(w,) for w in words], "word string"))
+    df = spark.createDataFrame([(1, " ".join(words)), (2, ""), (3, None), (4, "flies flies")], "id long, t string")
+    whole, by_ending = (sorted(lemmatise(df, "id", ["t"], table, e).collect()) for e in (None, ENDINGS))
+    assert whole == by_ending and by_ending[3]["t"] == "fly fly"

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinscope.functions import text
@@ -21,6 +23,9 @@ SUFFIX_RULES = [
     ("ies", "y"),
 ]
 
+#: Every form of a lemma table without exceptions ends in one of these.
+ENDINGS = [a for a, _ in SUFFIX_RULES if not any(a != b and a.endswith(b) for b, _ in SUFFIX_RULES)]
+
 
 def lemma_table(lexicon: DataFrame, exceptions: DataFrame | None = None) -> DataFrame:
     """``(word, lemma)`` for every surface form that has a different lemma.
@@ -59,20 +64,22 @@ def lemma_table(lexicon: DataFrame, exceptions: DataFrame | None = None) -> Data
     )
 
 
-def lemmatise(df: DataFrame, key: str, columns: list[str], lemmas: DataFrame) -> DataFrame:
+def lemmatise(df: DataFrame, key: str, columns: list[str], lemmas: DataFrame, endings: list[str] | None = None) -> DataFrame:
     """Replace each word of the text columns by its lemma; ``key`` is unique.
 
     Only the distinct words of a row meet the lemma table, and only those that
-    change come back, as one small map per row. The join is left to AQE: the lemma
+    change come back, as one small map per row. With ``endings`` (``ENDINGS`` for a table
+    without exceptions) words that end in none of them stay and aren't looked up. The join is left to AQE: the lemma
     table is broadcast while its measured size allows, else the join is sort-merge
     with skewed words split.
     """
+    # An inner explode would get a filter on the size of its array, which computes the words twice.
+    distinct = F.array_distinct(F.flatten(F.array(*[text.words(text.fill_empty(c)) for c in columns])))
+    asked = df.select(key, F.explode_outer(distinct).alias("word"))
+    if endings is not None:
+        asked = asked.where(reduce(Column.__or__, [F.col("word").endswith(e) for e in endings], F.lit(False)))
     found = (
-        df.select(
-            key,
-            F.explode(F.array_distinct(F.flatten(F.array(*[text.words(text.fill_empty(c)) for c in columns])))).alias("word"),
-        )
-        .join(lemmas.select("word", "lemma"), "word")
+        asked.join(lemmas.select("word", "lemma"), "word")
         .groupBy(key)
         .agg(F.map_from_entries(F.collect_list(F.struct("word", "lemma"))).alias("_lemmas"))
     )

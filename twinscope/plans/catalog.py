@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from twinscope.functions import text
 from twinscope.operators import corpus, evaluate, features, joins, prepare, profile, resume, sampling, tfidf
-from twinscope.operators.lemma import lemma_table, lemmatise
+from twinscope.operators.lemma import ENDINGS, lemma_table, lemmatise
 from twinscope.plans import bayes, models, nets, scoring
 from twinscope.sources import pairs as io
 from twinscope.sources import tables
@@ -65,7 +65,7 @@ def cleaned_docs(spark: SparkSession, d: str) -> DataFrame:
 
     def build() -> DataFrame:
         docs = doc_texts(spark, d).where(F.col("text").isNotNull()).select(F.col("doc_id").alias("key"), text.normalise(F.col("text")).alias("text"))
-        return lemmatise(docs, "key", ["text"], lemmas(spark, d))
+        return lemmatise(docs, "key", ["text"], lemmas(spark, d), ENDINGS)
 
     return tables.kept_table(spark, d, "cleaned-documents", ["documents"], build)
 
@@ -75,7 +75,7 @@ def cleaned_messages(spark: SparkSession, d: str) -> DataFrame:
 
     def build() -> DataFrame:
         messages = tables.messages(spark, d).where(F.col("text").isNotNull()).select("key", text.normalise(F.col("text")).alias("text"))
-        return lemmatise(messages, "key", ["text"], lemmas(spark, d))
+        return lemmatise(messages, "key", ["text"], lemmas(spark, d), ENDINGS)
 
     return tables.kept_table(spark, d, "cleaned-messages", ["documents", "conversations"], build)
 
@@ -301,7 +301,7 @@ def norm_punct(spark, d):
 @query
 def norm_lemma(spark, d):
     docs = doc_texts(spark, d).select("doc_id", text.normalise("text").alias("text"))
-    return lemmatise(docs, "doc_id", ["text"], lemmas(spark, d))
+    return lemmatise(docs, "doc_id", ["text"], lemmas(spark, d), ENDINGS)
 
 
 @query

@@ -152,8 +152,10 @@ def open_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that occur at least twice in the documents."""
+    """Words that occur at least twice in the documents.
+
+    An inner explode would get a filter on the size of its array, which computes the words twice."""
     words = text_table(spark, sf_dir, "documents").select(
-        F.explode(text.words(text.normalise(F.col("text")))).alias("word")
+        F.explode_outer(text.words(text.normalise(F.col("text")))).alias("word")
     )
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= 2).select("word")
+    return words.where(F.col("word").isNotNull()).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= 2).select("word")
