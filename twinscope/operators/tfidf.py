@@ -67,10 +67,12 @@ def pair_cosines(links: DataFrame, vectors: DataFrame, key: str, pair: str, left
     The two vectors of a pair, one row each, are merged by one sort: equal word numbers lie
     side by side then. No row per word is made.
     """
-    for side, own in (("_1", left), ("_2", right)):
-        vector = vectors.select(F.col(key).alias(own), F.arrays_zip(F.col("terms").alias("t"), F.col("weights").alias("w")).alias(side))
-        links = links.select(pair, left, right, *[c for c in links.columns if c == "_1"]).join(vector, own, "left")
-    merged = links.select(pair, F.sort_array(F.concat("_1", "_2")).alias("_m"))
+    for n, own in (("1", left), ("2", right)):
+        side = vectors.select(F.col(key).alias(own), F.col("terms").alias(f"_t{n}"), F.col("weights").alias(f"_w{n}"))
+        links = links.join(side, own, "left")
+    # Term and weight are put together after the joins: an array of structs is twice as large as two arrays.
+    entries = [F.arrays_zip(F.col(f"_t{n}").alias("t"), F.col(f"_w{n}").alias("w")) for n in ("1", "2")]
+    merged = links.select(pair, F.sort_array(F.concat(*entries)).alias("_m"))
     width = F.greatest(F.size("_m") - 1, F.lit(0))
     products = F.zip_with(
         F.slice("_m", F.lit(1), width), F.slice("_m", F.lit(2), width), lambda a, b: F.when(a["t"] == b["t"], a["w"] * b["w"]).otherwise(0.0)

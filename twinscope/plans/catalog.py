@@ -64,8 +64,7 @@ def cleaned_docs(spark: SparkSession, d: str) -> DataFrame:
     """``(key, text)``: every document cleaned and lemmatised once, however many pairs and queries it is in."""
 
     def build() -> DataFrame:
-        docs = doc_texts(spark, d).where(F.col("text").isNotNull()).select(F.col("doc_id").alias("key"), text.normalise(F.col("text")).alias("text"))
-        return lemmatise(docs, "key", ["text"], lemmas(spark, d), ENDINGS)
+        return lemmatise(tables.normalised_documents(spark, d), "key", ["text"], lemmas(spark, d), ENDINGS)
 
     return tables.kept_table(spark, d, "cleaned-documents", ["documents"], build)
 

@@ -151,11 +151,20 @@ def open_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_open_texts(open_links(spark, sf_dir), messages(spark, sf_dir).select("key", "text"))
 
 
+def normalised_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(key, text)``: every document normalised once, for the lexicon and the cleaned texts."""
+
+    def build() -> DataFrame:
+        docs = text_table(spark, sf_dir, "documents").where(F.col("text").isNotNull())
+        return docs.select(F.col("doc_id").alias("key"), text.normalise(F.col("text")).alias("text"))
+
+    return kept_table(spark, sf_dir, "normalised-documents", ["documents"], build)
+
+
 def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that occur at least twice in the documents.
 
     An inner explode would get a filter on the size of its array, which computes the words twice."""
-    words = text_table(spark, sf_dir, "documents").select(
-        F.explode_outer(text.words(text.normalise(F.col("text")))).alias("word")
-    )
-    return words.where(F.col("word").isNotNull()).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= 2).select("word")
+    # Normalised words have one space between them.
+    words = normalised_documents(spark, sf_dir).select(F.explode_outer(text.space_tokens("text")).alias("word"))
+    return words.where(F.col("word") != "").groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= 2).select("word")
