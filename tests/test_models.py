@@ -104,3 +104,11 @@ def test_batch_equals_stream_and_saved_model_agrees(spark, tmp_path):
         stream.read_requests(spark, source), lambda df: scoring.score_pairs(df, loaded, lemmas=lemmas), again, str(tmp_path / "state2")
     ).awaitTermination()
     assert spark.read.parquet(again).count() == 3
+
+
+def test_forest_keeps_nodes_of_rows_and_grows_the_same_trees(spark):
+    train, _ = models.training_tables(numeric(spark), ["a", "b"], "y", "id")
+    forest = models.random_forest(trees=5)
+    assert forest.getCacheNodeIds()
+    plain = forest.copy({forest.cacheNodeIds: False})
+    assert forest.fit(train).toDebugString.split("\n")[1:] == plain.fit(train).toDebugString.split("\n")[1:]
