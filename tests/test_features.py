@@ -102,3 +102,28 @@ def test_long_repetitive_text(spark):
     df = spark.createDataFrame([(1, text, text + " tail")], "id long, question1 string, question2 string")
     r = fe.with_ngrams(fe.with_distances(df, *Q), *Q, 2, "n").first()
     assert r["n"] == 5999 and r["cityblock_distance"] > 0
+
+
+def test_pair_kernels_match_brute_force(spark, monkeypatch):
+    """Pairs of a batch are sorted at once, in chunks; no lambda runs over a vector."""
+    import random
+
+    rnd = random.Random(7)
+    words = ["a", "b", "ab", "é", "日本", "𝄞", "ﬀ", *[f"w{k}" for k in range(9)]]
+    texts = [[[rnd.choice(words) for _ in range(rnd.choice([0, 1, 2, 5, 40]))] for _ in Q] for _ in range(60)]
+    rows = [(k, *map(" ".join, pair)) for k, pair in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id long, question1 string, question2 string").coalesce(1)
+    monkeypatch.setattr(bags, "_CHUNK_WORDS", 30)
+    full = fe.with_ngrams(fe.with_ngrams(fe.with_distances(fe.with_vectors(df, *Q), *Q), *Q, 2, "n2"), *Q, 3, "n3")
+    assert "lambda" not in full._jdf.queryExecution().toString()
+    rows = by_id(full)
+    for k, (a, b) in enumerate(texts):
+        vocab = sorted({*a, *b}, key=lambda w: w.encode())
+        u, v = ([0] * len(y) + sorted(vocab.index(w) + 1 for w in x) for x, y in ((a, b), (b, a)))
+        assert (rows[k]["vec1"], rows[k]["vec2"]) == (u, v)
+        assert rows[k]["cityblock_distance"] == sum(abs(x - y) for x, y in zip(u, v))
+        assert rows[k]["euclidean_distance"] == math.sqrt(sum((x - y) ** 2 for x, y in zip(u, v)))
+        assert abs(rows[k]["canberra_distance"] - sum(abs(x - y) / (x + y) for x, y in zip(u, v) if x + y)) < 1e-9
+        for n in (2, 3):
+            grams = [[tuple(x[i : i + n]) for i in range(len(x) - n + 1)] for x in (a, b)]
+            assert rows[k][f"n{n}"] == sum(g in grams[1] for g in grams[0])
