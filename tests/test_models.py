@@ -112,3 +112,34 @@ def test_forest_keeps_nodes_of_rows_and_grows_the_same_trees(spark):
     assert forest.getCacheNodeIds()
     plain = forest.copy({forest.cacheNodeIds: False})
     assert forest.fit(train).toDebugString.split("\n")[1:] == plain.fit(train).toDebugString.split("\n")[1:]
+
+
+def test_penalised_search_fits_all_models_side_by_side(spark):
+    """Coefficients are those of Spark's own regressions run to the end, for both penalties; a
+    search takes a job or two per pass, not per model and pass."""
+    import numpy as np
+
+    from twinscope.plans import logistic
+
+    rows = numeric(spark, 300).withColumn("y", F.when(F.col("id") % 7 == 0, 1 - F.col("y")).otherwise(F.col("y")))
+    train, _ = models.training_tables(rows, ["a", "b"], "y", "id")
+    data = models.folded(train, 3)
+    settings = [(reg, ratio) for ratio in (0.0, 1.0) for reg in (0.003, 0.03)]
+    blocks = logistic.packed(data)
+    own = np.repeat(np.arange(3.0), len(settings))
+    reg, ratio = (np.tile([s[k] for s in settings], 3) for k in (0, 1))
+    betas = logistic.fit(blocks, own, reg, ratio, 100, 1e-5)
+    hits = []
+    for beta, fold, r, e in zip(betas, own, reg, ratio):
+        exact = models.LogisticRegression(maxIter=500, tol=1e-12, regParam=float(r), elasticNetParam=float(e), standardization=False)
+        model = exact.fit(data.where(F.col("fold") != fold))
+        assert np.abs(beta - [model.intercept, *model.coefficients]).max() < 1e-3
+        hits.append(accuracy(models.scored(model, data.where(F.col("fold") == fold))))
+    found = logistic.fold_accuracies(data, settings, 3, 100, 1e-5)
+    assert np.abs(found.ravel() - hits).max() < 1e-9
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("search", "")
+    models.fit_penalised(train, l1=True, folds=3)
+    count = len(jobs.getJobIdsForGroup("search"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert count < 400
