@@ -209,3 +209,27 @@ def test_no_rows(spark):
     fitted = nets.fit(shards, Net((2,)), 2)
     assert fitted.history.shape == (3, 4, 6) and not fitted.history.any() and nets.predictions(shards, fitted).count() == 0
     assert math.isclose(fitted.accuracies(2).sum(), 0)
+
+
+def test_driver_holds_only_the_parts_that_train_together(spark, monkeypatch):
+    import threading
+
+    shards = nets.feature_shards(table(spark, 120), 3)
+    net, one_round = Net((4,), "relu", "adam"), nets._one_round
+    whole = nets.fit(shards, net, 4)
+    at_once, most, lock = [0], [0], threading.Lock()
+
+    def counted(shards, net, state, epochs):
+        with lock:
+            at_once[0] += len(state.models)
+            most[0] = max(most[0], at_once[0])
+        try:
+            return one_round(shards, net, state, epochs)
+        finally:
+            with lock:
+                at_once[0] -= len(state.models)
+
+    monkeypatch.setattr(nets, "_one_round", counted)
+    parts = nets.fit(shards, net, 4, split=4, together=1)
+    assert most[0] == 1
+    assert np.allclose(whole.history, parts.history) and np.allclose(whole.state.weights, parts.state.weights)
