@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinscope.llm.components import connected_components, written
+from twinscope.llm.linededup import maybe_in
 from twinscope.llm.textbytes import WHITE_SPACE, buffers, hash_words, mix, slices
 
 #: Positions of a chunk; one of them may differ, so each chunk gives this many keys.
@@ -285,16 +286,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, text: st
     index = written(keys.join(shared, "key"), "index")
     members = written(_members(index, classes), "hubs")
 
-    def linked(groups: DataFrame) -> DataFrame:
-        with_text = source.join(groups, (F.col("_id") == F.col("_rep")) & (F.col("_text_hash") == F.col("_hash")))
+    def linked(groups: DataFrame, members: DataFrame) -> DataFrame:
+        # Only texts of members are moved, and few others.
+        wanted = members.select(F.col("_rep").alias("_id"), F.col("_hash").alias("_text_hash"))
+        texts = maybe_in(source, wanted, "_id, _text_hash", members.count())
+        with_text = texts.join(groups, (F.col("_id") == F.col("_rep")) & (F.col("_text_hash") == F.col("_hash")))
         # The hub stands first in its groups, and of one class the row that asks.
         ordered = with_text.repartition("group").sortWithinPartitions("group", F.col("cls") != F.col("hub"), "cls", F.col("asks").desc())
         met = ordered.select("group", "cls", "asks", "known", "_text")
         return written(met.mapInArrow(_link(percent, width), "a long, b long"), "links")
 
-    links = linked(_own_blocks(members))
+    links = linked(_own_blocks(members), members)
     if members.where("blocks > 1").limit(1).count():
-        links = links.unionByName(linked(_strays(members, links)))
+        links = links.unionByName(linked(_strays(members, links), members.where("blocks > 1")))
     of_class = written(full.join(classes.select("_set", "cls"), "_set").select("_id", "cls"), "members")
     # Rows that share an id connect their classes.
     several = of_class.groupBy("_id").agg(F.min("cls").alias("a"), F.max("cls").alias("_hi")).where("a < _hi")
