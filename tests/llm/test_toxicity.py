@@ -60,3 +60,28 @@ def test_thresholds_are_the_best_over_all_rows(spark):
             if 2 * sum(over) >= len(over) and f1 > top:
                 top, best = f1, (cut + (values[k + 1] if k + 1 < len(values) else cut - 1)) / 2
         assert abs(got[group] - best) < 1e-12
+
+
+def test_labelled_texts_are_moved_once(spark, monkeypatch):
+    """Where the labels were too many to broadcast, texts once went through the join's shuffle and the workers'."""
+    rows = [(i, f"text {i}", "en") for i in range(60)] + [(7, "another text 7", "de"), (8, None, None), (None, "no id", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 50)] + [(7, 1), (90, 1), (None, 0), (51, None)], "doc_id long, toxic int")
+    plans, write = {}, toxicity.written
+
+    def watched(df, name):
+        plans[name] = df._jdf.queryExecution().explainString(df._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        return write(df, name)
+
+    monkeypatch.setattr(toxicity, "written", watched)
+    monkeypatch.setattr(toxicity, "WORKER_ROWS", 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = toxicity._labelled(docs, labels, "text", "doc_id").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moves = [part for part in plans["labelled"].split("\n\n") if ") Exchange" in part and "text#" in part]
+    assert len(moves) == 1
+    want = [(t or "", g or "", int(i % 2)) for i, t, g in rows if i is not None and i < 50]
+    assert sorted((r.text, r.lang, r.toxic) for r in got) == sorted(want)
+    assert len({r.worker for r in got}) > 1 and {r.held for r in got} == {True, False}

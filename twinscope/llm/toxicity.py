@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinscope.llm.components import written
@@ -300,7 +300,9 @@ def _one_round(rows: DataFrame, state: Training, epochs: range) -> None:
     context = rows.sparkSession.sparkContext
     # Plain values are broadcast: the executors needn't have this package.
     shipped = context.broadcast((dict(vars(state.net)), state.seen, state.learns))
-    sums = rows.select("worker", "toxic", "text").mapInArrow(_round(shipped, epochs), _SUMS_SCHEMA)
+    # A task sends one sum of all its workers, so that a round moves as many nets as there are cores at most.
+    dealt = rows.select("worker", "toxic", "text").coalesce(context.defaultParallelism)
+    sums = dealt.mapInArrow(_round(shipped, epochs), _SUMS_SCHEMA)
     slots = 2 + BUCKETS // SLOT
     means = sums.repartition(min(slots, context.defaultParallelism), "slot").sortWithinPartitions("slot", "part").mapInArrow(_means, _SUMS_SCHEMA)
     found = means.collect()
@@ -359,16 +361,21 @@ def _labelled(docs: DataFrame, labels: DataFrame, text: str, ident: str) -> Data
     workers = max(1, n // WORKER_ROWS)
     lang = F.coalesce("lang", F.lit("")) if "lang" in docs.columns else F.lit("")
     texts = docs.select(F.col(ident).alias("_id"), lang.alias("lang"), F.coalesce(text, F.lit("")).alias("text"))
-    # Texts without a label aren't moved.
-    rows = maybe_in(texts, known, "_id", n).join(known, "_id")
+    # Texts without a label aren't moved, the others once: labels come to them as rows of their own,
+    # since a shuffled join would be followed by the move to the workers.
+    labelled = known.withColumns({"lang": F.lit(""), "text": F.lit(None).cast("string")})
+    rows = labelled.unionByName(maybe_in(texts, known, "_id", n), allowMissingColumns=True)
     placed = rows.withColumns(
         {
             "worker": F.pmod(F.xxhash64(F.lit(17), "_id"), F.lit(workers)).cast("int"),
             "place": F.xxhash64(F.lit(11), "_id"),
         }
-    )
+    ).repartition(workers, "worker")
+    # A label's row has no text and comes first.
+    own = Window.partitionBy("worker", "place", "_id").orderBy(F.col("text").asc_nulls_first(), "lang").rowsBetween(Window.unboundedPreceding, 0)
+    placed = placed.withColumns({c: F.max(c).over(own) for c in ("toxic", "held")}).where("text is not null and toxic is not null")
     order = ["worker", "place", "_id", "text", "lang"]
-    return written(placed.repartition(workers, "worker").sortWithinPartitions(*order).select("worker", "held", "toxic", "lang", "text"), "labelled")
+    return written(placed.sortWithinPartitions(*order).select("worker", "held", "toxic", "lang", "text"), "labelled")
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", ident: str = "doc_id") -> Net | None:
