@@ -5,6 +5,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from twinscope.plans import models, nets
@@ -233,3 +234,38 @@ def test_driver_holds_only_the_parts_that_train_together(spark, monkeypatch):
     parts = nets.fit(shards, net, 4, split=4, together=1)
     assert most[0] == 1
     assert np.allclose(whole.history, parts.history) and np.allclose(whole.state.weights, parts.state.weights)
+
+
+@pytest.mark.parametrize("net", [Net((4, 3), "relu", "adam", batch=7), Net((4,), "tanh", "sgd", batch=7, l1=0.01, l2=0.1), Net((3,), "relu", "rmsprop", batch=50)])
+def test_workers_side_by_side_learn_as_each_alone(net):
+    """Workers of several sizes, one of which has fewer rows than a mini-batch and one none to learn from."""
+    rng = np.random.default_rng(3)
+    group = []
+    for worker, n in enumerate([40, 3, 63, 35, 9]):
+        fold = np.full(n, -1) if worker == 4 else rng.integers(0, 2, n)
+        rows = dense_rows(rng.standard_normal((n, 5)), rng.integers(0, 2, n).astype(float), fold)
+        if worker == 4:
+            rows.held = np.ones(n, bool)
+            rows.learning = np.flatnonzero(rows.fold >= 0)
+        group.append((worker, rows))
+    state = nets.State.of(net, nets.start_weights(net, 5, 3, float))
+    state.steps = 11.0
+    for (worker, rows), (seen, own) in zip(group, nets.run_side_by_side(net, 5, state, group, 4)):
+        alone = state.copy()
+        assert np.array_equal(seen, nets.run_epochs(net, 5, alone, rows, range(4, 5), worker))
+        assert own.steps == alone.steps and np.allclose(own.weights, alone.weights, rtol=1e-12, atol=1e-14)
+
+
+def test_workers_share_files_and_come_back_as_they_were_written(spark):
+    """Opening a file for every worker took longer than its epoch."""
+    cores = spark.sparkContext.defaultParallelism
+    rows = 2000 * (2 * cores + 3)
+    df = spark.range(rows).select("id", (F.col("id") % 2).cast("double").alias("label"), array_to_vector(F.array(F.col("id") * 1.0, F.col("id") * 0.5)).alias("features"))
+    df = df.withColumns({"fold": (F.col("id") % 3).cast("int"), "held": F.col("id") % 5 == 0})
+    shards = nets.feature_shards(df, 3)
+    assert shards.workers == 2 * cores + 3 and len(shards.frame.inputFiles()) <= 2 * cores
+    found = {}
+    for batch in shards.frame.toArrow().to_batches():
+        for _, part in nets._shard_rows([batch], 0):
+            found |= zip(part.ids.to_pylist(), zip(part.y, part.fold, part.held, part.x.tolist()))
+    assert found == {k: (k % 2, k % 3, k % 5 == 0, [k * 1.0, k * 0.5]) for k in range(rows)}
