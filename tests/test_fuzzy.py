@@ -154,3 +154,14 @@ def test_one_score_alone_is_the_same(edge_pairs):
     for name in fuzzy.SCORES:
         alone = fuzzy.with_fuzzy_scores(edge_pairs.na.fill(""), "question1", "question2", [name])
         assert {r.id: r[name] for r in alone.collect()} == {i: r[name] for i, r in whole.items()}
+
+
+def test_full_process_keeps_ascii_letters_digits_and_underscores(spark):
+    """Every ASCII character and some others, alone and between words; and no negated list of ranges."""
+    texts = [f"{c}a{c}B_9{c}{c}z{c}" for c in [*map(chr, range(1, 128)), "é", "ß", "٣", " ", "\U0001f600", "İ"]]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    got = {r.t: r.p for r in df.select("t", fuzzy.full_process(F.col("t")).alias("p")).collect()}
+    for t in texts:
+        kept = "".join(ch if ch.isalnum() or ch == "_" else " " for ch in t if ord(ch) < 128)
+        assert got[t] == kept.lower().strip(" ")
+    assert "A-Z" not in str(fuzzy.full_process(F.col("t")))
