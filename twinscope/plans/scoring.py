@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from twinscope.operators import prepare
 from twinscope.operators.features import FEATURES, clean_pairs, pair_features
-from twinscope.plans import models
+from twinscope.plans import forest, models
 
 
 def scoring_features(
@@ -24,8 +24,7 @@ def fit_scorer(features: DataFrame, label: str, trees: int = 300) -> PipelineMod
     """Forest on the raw features, with its assembler, as one saveable model."""
     train = features.select(F.col(label).cast("double").alias("label"), *FEATURES)
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep")
-    forest = models.random_forest(trees).fit(assembler.transform(train))
-    return PipelineModel(stages=[assembler, forest])
+    return PipelineModel(stages=[assembler, forest.fit(assembler.transform(train).select("label", "features"), trees)])
 
 
 def score_pairs(
