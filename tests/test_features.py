@@ -127,3 +127,24 @@ def test_pair_kernels_match_brute_force(spark, monkeypatch):
         for n in (2, 3):
             grams = [[tuple(x[i : i + n]) for i in range(len(x) - n + 1)] for x in (a, b)]
             assert rows[k][f"n{n}"] == sum(g in grams[1] for g in grams[0])
+
+
+def test_tfidf_cosine_of_pairs_against_brute_force(spark):
+    """Words by a kernel in Python, no lambda for each word: with every word and with the most frequent ones."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    words = [f"w{k}" for k in range(12)]
+    texts = [(i, *(" ".join(rng.choice(words, rng.integers(0, 15))) for _ in range(2))) for i in range(60)] + [(60, None, "w1"), (61, "w1", None)]
+    df = spark.createDataFrame(texts, "id long, question1 string, question2 string")
+    for most in (None, 4):
+        out = fe.with_tfidf_cosine(df, "question1", "question2", most)
+        assert "ArrowEvalPython" in out._jdf.queryExecution().optimizedPlan().toString()
+        got = {r.id: r.tfidf_cosine for r in out.collect()}
+        assert got[60] is None and got[61] is None
+        for i, a, b in texts[:60]:
+            a, b = a.split(), b.split()
+            vocab = sorted(set(a + b), key=lambda w: (-(a + b).count(w), w))[:most]
+            u, v = (np.array([t.count(w) * (1.0 if w in a and w in b else 1 + np.log(1.5)) for w in vocab]) for t in (a, b))
+            norm = np.sqrt((u * u).sum()) * np.sqrt((v * v).sum())
+            assert abs(got[i] - (u @ v / norm if norm else 0)) < 1e-12
