@@ -199,3 +199,26 @@ def test_word_vector_text(spark, tmp_path):
     path.write_text("the 0.5 -1.25\ncafé 3 4e-2\n")
     rows = {r["word"]: [round(x, 4) for x in r["vector"]] for r in io.read_word_vectors(spark, str(path)).collect()}
     assert rows == {"the": [0.5, -1.25], "café": [3.0, 0.04]}
+
+
+def test_query_vectors_are_summed_where_the_words_are(spark):
+    """A shard of questions gets each of its words' vectors once: nothing else with a vector is shuffled.
+    Repeated and null keys, and words with several vectors, are summed as before."""
+    vectors = spark.createDataFrame(
+        [("a", [3.0, 4.0]), ("b", [0.0, 2.0]), ("b", [5.0, 0.0]), ("zero", [0.0, 0.0]), ("none", None)], "word string, vector array<float>"
+    )
+    rows = [(1, "a a x"), (1, "zero"), (2, "b"), (None, "a"), (None, "b"), (3, "x"), (4, ""), (5, None), (6, "none"), (7, "zero")]
+    df = spark.createDataFrame(rows, "qid long, question string")
+    for shard_words in (1, 1000):
+        got = {r.qid: r for r in joins.query_vectors(df, "qid", "question", vectors, shard_words).collect()}
+        assert set(got) == {1, 2, None, 7}
+        want = {1: (0.6, 0.8, ["a", "zero"]), 2: (0.5**0.5, 0.5**0.5, ["b"]), 7: (0.0, 0.0, ["zero"])}
+        norm = (1.6**2 + 1.8**2) ** 0.5  # (3, 4) / 5 and both of b
+        want[None] = (1.6 / norm, 1.8 / norm, ["a", "b"])
+        for key, (x, y, own) in want.items():
+            assert np.allclose(got[key].query, [x, y]) and got[key].own == own
+    many = spark.range(2000).select(F.col("id").alias("qid"), F.lit("a b a b").alias("question"))
+    plan = joins.query_vectors(many, "qid", "question", vectors)
+    plan.collect()
+    executed = plan._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in executed and "summarizer" not in executed.lower()
